@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from opsloom.functions.rounding import round_binary
+
 # A key with more rows than this is spread over many tasks. At most total/HOT_ROWS keys can be hot,
 # which bounds what is broadcast: 10^12 rows give at most 500,000 keys.
 HOT_ROWS = 2_000_000
@@ -173,8 +175,9 @@ def exact_percentiles(
     coarse: int = 1_000_000,
     fine: int = 1_000,
 ) -> DataFrame:
-    """Exact interpolated percentiles of an integer column per group.
+    """Exact interpolated percentiles of an integer column per group, to two decimals.
 
+    For levels in whole percent the interpolated value of integers has no further decimals.
     Values are counted per (group, value) before any shuffle and the ranks come from `running`, so
     neither the rows nor the distinct values of a large group have to fit in one task.
     """
@@ -201,6 +204,6 @@ def exact_percentiles(
         position = F.lit(p) * (F.col("_size") - 1)
         low = F.col(f"_lo_{name}").cast("double")
         high = F.col(f"_hi_{name}").cast("double")
-        return (low + (high - low) * (position - F.floor(position))).alias(name)
+        return round_binary(low + (high - low) * (position - F.floor(position)), 2).alias(name)
 
     return edges.select(*keys, *[blended(n, p) for n, p in levels.items()])
