@@ -10,10 +10,15 @@ ISO_TIMESTAMP = (
     r"^(\d{4}-\d{2}-\d{2})(?:.(\d{2})(?:(:\d{2})(?:(:\d{2})(?:[.,](\d{1,6})\d*)?)?)?"
     r"(Z|[+-]\d{2}:?\d{2})?)?$"
 )
+# Fixed value: the usual spelling, which Spark's own cast reads as it stands.
+PLAIN_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?$"
 
 
 def parse_iso(text: Column) -> Column:
-    """Timestamp of an ISO-8601 text, NULL when it is not one. Texts without offset are UTC."""
+    """Timestamp of an ISO-8601 text, NULL when it is not one. Texts without offset are UTC.
+
+    The rarer spellings are rebuilt from their parts; the usual one takes one match and a cast.
+    """
 
     def part(n: int) -> Column:
         return F.regexp_extract(text, ISO_TIMESTAMP, n)
@@ -26,7 +31,9 @@ def parse_iso(text: Column) -> Column:
         part(1), F.lit("T"), filled(2, "00"), filled(3, ":00"), filled(4, ":00"),
         F.lit("."), filled(5, "0"), filled(6, "Z", offset),
     )
-    return F.when(text.rlike(ISO_TIMESTAMP), spelled.try_cast("timestamp"))
+    return F.when(text.rlike(PLAIN_TIMESTAMP), text.try_cast("timestamp")).when(
+        text.rlike(ISO_TIMESTAMP), spelled.try_cast("timestamp")
+    )
 
 
 def with_calendar(df: DataFrame, ts: str = "timestamp") -> DataFrame:

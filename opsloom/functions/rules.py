@@ -8,6 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsloom.functions.barrier import computed_once
 from opsloom.functions.rounding import round_binary
 
 # Default weights of the five factors and thresholds of the SLA states.
@@ -70,7 +71,7 @@ def with_sla_state(
     warn: float = WARN_RATIO,
     breach: float = BREACH_RATIO,
 ) -> DataFrame:
-    """Elapsed and remaining minutes, consumption ratio and SLA status at the clock.
+    """Elapsed and remaining minutes, consumption ratio, waiting hours and SLA status at the clock.
 
     The order of rounding is part of the contract: the ratio comes from the rounded minutes and
     the status from the rounded ratio.
@@ -78,21 +79,22 @@ def with_sla_state(
     micros = F.greatest(F.unix_micros(clock) - F.unix_micros(start), F.lit(0))
     minutes = micros.cast("double") / F.lit(1e6) / F.lit(60.0)
     allowed = F.greatest(F.lit(1), F.col(target)).cast("double")
+    timed = df.withColumn("elapsed_minutes", round_binary(minutes, 2)).withColumns(
+        {
+            "remaining_minutes": round_binary(F.col(target) - F.col("elapsed_minutes"), 2),
+            "consumption_ratio": round_binary(F.col("elapsed_minutes") / allowed, 4),
+            "unassigned_hours": unassigned_hours(F.col("elapsed_minutes")),
+        }
+    )
+    fixed = computed_once(
+        timed, ["elapsed_minutes", "remaining_minutes", "consumption_ratio", "unassigned_hours"]
+    )
     ratio = F.col("consumption_ratio")
-    return (
-        df.withColumn("elapsed_minutes", round_binary(minutes, 2))
-        .withColumns(
-            {
-                "remaining_minutes": round_binary(F.col(target) - F.col("elapsed_minutes"), 2),
-                "consumption_ratio": round_binary(F.col("elapsed_minutes") / allowed, 4),
-            }
-        )
-        .withColumn(
-            "sla_status",
-            F.when(ratio >= F.lit(breach), "BREACHED")
-            .when(ratio >= F.lit(warn), "AT_RISK")
-            .otherwise("ON_TRACK"),
-        )
+    return fixed.withColumn(
+        "sla_status",
+        F.when(ratio >= F.lit(breach), "BREACHED")
+        .when(ratio >= F.lit(warn), "AT_RISK")
+        .otherwise("ON_TRACK"),
     )
 
 
@@ -250,21 +252,17 @@ def with_priority(
         + F.lit(w["age"]) * s_age(c(hours))
         + F.lit(w["criticality"]) * s_criticality(c(severity))
     )
-    return (
-        df.withColumn("_raw_score", raw)
-        .withColumn(
-            "priority_score",
-            F.least(F.lit(100.0), F.greatest(F.lit(0.0), round_binary(c("_raw_score"), 2))),
-        )
-        .withColumns(
-            {
-                "priority_band": priority_band(c("priority_score")),
-                "reason_drivers": priority_drivers(
-                    c(status), c(remaining), c(tier), c(exposure), c(hours), c(severity)
-                ),
-            }
-        )
-        .drop("_raw_score")
+    scored = df.withColumn("_raw_score", raw).withColumn(
+        "priority_score",
+        F.least(F.lit(100.0), F.greatest(F.lit(0.0), round_binary(c("_raw_score"), 2))),
+    )
+    return computed_once(scored.drop("_raw_score"), ["priority_score"]).withColumns(
+        {
+            "priority_band": priority_band(c("priority_score")),
+            "reason_drivers": priority_drivers(
+                c(status), c(remaining), c(tier), c(exposure), c(hours), c(severity)
+            ),
+        }
     )
 
 

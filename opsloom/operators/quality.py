@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom import schemas as S
+from opsloom.functions.barrier import computed_once
 from opsloom.functions.calendar import parse_iso
 from opsloom.functions.rounding import round_binary
 from opsloom.operators.scale import all_of, any_of, join_back, lookup, running
+from opsloom.session import staged
 
 Clock = str | datetime | Column
 
@@ -38,14 +40,14 @@ def null_mandatory(columns: Sequence[str] = (*DIMENSION_KEYS, "timestamp")) -> C
     return F.when(any_of([missing(c) for c in columns]), F.lit(S.ERR_NULL_MANDATORY))
 
 
-def invalid_timestamp(column: str = "timestamp") -> Column:
-    bad = ~missing(column) & parse_iso(F.col(column)).isNull()
-    return F.when(bad, F.lit(S.ERR_INVALID_TIMESTAMP))
+def invalid_timestamp(column: str = "timestamp", parsed: str | None = None) -> Column:
+    time = parse_iso(F.col(column)) if parsed is None else F.col(parsed)
+    return F.when(~missing(column) & time.isNull(), F.lit(S.ERR_INVALID_TIMESTAMP))
 
 
-def future_timestamp(as_of: Clock, column: str = "timestamp") -> Column:
-    late = parse_iso(F.col(column)) > clock_column(as_of)
-    return F.when(late, F.lit(S.ERR_FUTURE_TIMESTAMP))
+def future_timestamp(as_of: Clock, column: str = "timestamp", parsed: str | None = None) -> Column:
+    time = parse_iso(F.col(column)) if parsed is None else F.col(parsed)
+    return F.when(time > clock_column(as_of), F.lit(S.ERR_FUTURE_TIMESTAMP))
 
 
 def negative_duration(column: str = "duration_ms") -> Column:
@@ -65,12 +67,14 @@ def clock_skew(as_of: Clock, start: str = "start_time") -> Column:
 
 
 def mark_duplicates(
-    df: DataFrame, keys: Sequence[str], seq: str, flag: str = "_duplicate", **hot: int
+    df: DataFrame, keys: Sequence[str], seq: str, flag: str = "_duplicate", stage: bool = False, **hot: int
 ) -> DataFrame:
     """Flag every row whose key occurred at a smaller ordinal; rows without a key are never flagged.
 
     Only ids that occur more than once go back to the rows. A window over the id would sort a hot
-    id's rows in one task; a minimum per id is combined before the shuffle.
+    id's rows in one task; a minimum per id is combined before the shuffle. With `stage` the
+    repeated ids are written first: Catalyst then knows their size, and when they are few the rows
+    are not shuffled at all.
     """
     lacks_key = any_of([missing(k) for k in keys])
     repeated = (
@@ -79,6 +83,8 @@ def mark_duplicates(
         .agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
     )
+    if stage:
+        repeated = staged(repeated, "repeated-ids")
     joined = join_back(df, repeated, keys, "_copies", [seq], unmatched=lacks_key, **hot)
     later = F.coalesce(F.col(seq) > F.col("_first"), F.lit(False))
     return joined.withColumn(flag, later).drop("_first", "_copies")
@@ -108,12 +114,12 @@ def _coded(flag: str, code: str) -> Column:
 
 
 def reasons(as_of: Clock) -> Column:
-    """All codes of a row in rule order, repeats kept. Reads the flags of the marking operators."""
+    """All codes of a row in rule order, repeats kept. Reads the parsed time and the marked flags."""
     return F.array_compact(
         F.array(
             F.coalesce(null_id(), _coded("_duplicate", S.ERR_DUPLICATE_ID)),
             null_mandatory(),
-            F.coalesce(invalid_timestamp(), future_timestamp(as_of)),
+            F.coalesce(invalid_timestamp(parsed="_time"), future_timestamp(as_of, parsed="_time")),
             negative_duration(),
             status_range(),
             _coded("_no_customer", S.ERR_FK_CUSTOMER_ORPHAN),
@@ -138,9 +144,11 @@ def with_reasons(
         (locations, "location_id", "_no_location"),
     ):
         df = mark_orphans(df, dim, key, flag, spread_by)
-    return df.withColumn("rejection_reasons", reasons(as_of)).drop(
-        "_duplicate", "_no_customer", "_no_service", "_no_location"
+    timed = df.withColumn("_time", parse_iso(F.col("timestamp")))
+    judged = timed.withColumn("rejection_reasons", reasons(as_of)).drop(
+        "_time", "_duplicate", "_no_customer", "_no_service", "_no_location"
     )
+    return computed_once(judged, ["rejection_reasons"])
 
 
 def validate_events(
@@ -150,10 +158,10 @@ def validate_events(
     services: DataFrame | None = None,
     locations: DataFrame | None = None,
     seq: str = "seq",
-    **hot: int,
+    **options: int | bool,
 ) -> DataFrame:
     """Raw events plus `rejection_reasons`; an empty array means the row is valid."""
-    flagged = mark_duplicates(df, ["event_id"], seq, **hot)
+    flagged = mark_duplicates(df, ["event_id"], seq, **options)
     return with_reasons(flagged, as_of, customers, services, locations, [seq])
 
 

@@ -15,25 +15,21 @@ from opsloom.operators.scale import lookup
 from opsloom.operators.star import with_case_terms, without_known
 
 
-def score_cases(
+def open_cases(
     events: DataFrame,
     customers: DataFrame,
     services: DataFrame,
     as_of: Clock,
     existing: DataFrame | None = None,
-    exposures: DataFrame | None = None,
     limit: int | None = None,
     target_severity: Column | str = "High",
-    score_severity: Column | None = None,
-    team_pattern: str = "Payment",
     warn: float = R.WARN_RATIO,
     breach: float = R.BREACH_RATIO,
-    weights: Mapping[str, float] | None = None,
 ) -> DataFrame:
-    """One wide row per failed event that has no exception yet.
+    """One row per failed event that has no exception yet, with its SLA state.
 
-    `as_of` is a literal or a column of `events`. `exposures` gives the measured exposure per
-    customer; customers without one get the repeatable stand-in of their tier.
+    `as_of` is a literal or a column of `events`. A `limit` takes the oldest after leaving out the
+    known ones.
     """
     failed = events.where(F.col("status_code") >= 500).select(
         "event_id",
@@ -48,29 +44,54 @@ def score_cases(
     if limit is not None:
         failed = failed.orderBy("start_time", "event_id").limit(limit)
     cases = with_case_terms(failed, customers, services)
+    severity = F.lit(target_severity) if isinstance(target_severity, str) else target_severity
+    target = R.sla_target(F.col("tier"), severity, F.col("default_sla_minutes"))
+    cases = R.with_sla_state(cases.withColumn("target_minutes", target), warn=warn, breach=breach)
+    event_id = F.col("event_id")
+    return cases.withColumns(
+        {
+            "sla_id": R.sla_id(event_id),
+            "case_id": R.case_id(event_id),
+            "due_time": R.due_time(F.col("start_time"), F.col("target_minutes")),
+        }
+    )
+
+
+def score_cases(
+    events: DataFrame,
+    customers: DataFrame,
+    services: DataFrame,
+    as_of: Clock,
+    exposures: DataFrame | None = None,
+    score_severity: Column | None = None,
+    team_pattern: str = "Payment",
+    weights: Mapping[str, float] | None = None,
+    **sla_options,
+) -> DataFrame:
+    """Open cases with score, band, reasons and team: one wide row per case.
+
+    `exposures` gives the measured exposure per customer; customers without one get the repeatable
+    stand-in of their tier.
+    """
+    cases = open_cases(events, customers, services, as_of, **sla_options)
     if exposures is None:
         cases = cases.withColumn("_measured", F.lit(None).cast("double"))
     else:
         measured = exposures.select("customer_id", F.col("financial_exposure").cast("double").alias("_measured"))
         cases = lookup(cases, measured, "customer_id", ["event_id"])
-    severity = F.lit(target_severity) if isinstance(target_severity, str) else target_severity
-    tier = F.col("tier")
+    tier, event_id = F.col("tier"), F.col("event_id")
     cases = cases.withColumns(
         {
-            "target_minutes": R.sla_target(tier, severity, F.col("default_sla_minutes")),
             # The stored exposure has two decimals, the score uses the value as given.
-            "_exposure": F.coalesce("_measured", R.exposure_fallback(tier, F.col("event_id"))),
+            "_exposure": F.coalesce("_measured", R.exposure_fallback(tier, event_id)),
             "severity": R.scoring_severity(tier) if score_severity is None else score_severity,
         }
     )
-    cases = R.with_sla_state(cases, warn=warn, breach=breach)
-    cases = cases.withColumn("unassigned_hours", R.unassigned_hours(F.col("elapsed_minutes")))
     cases = R.with_priority(cases, weights, exposure="_exposure")
-    event_id = F.col("event_id")
     return cases.select(
-        R.sla_id(event_id).alias("sla_id"),
+        "sla_id",
         R.exception_id(event_id).alias("exception_id"),
-        R.case_id(event_id).alias("case_id"),
+        "case_id",
         "event_id",
         "customer_id",
         "service_id",
@@ -79,7 +100,7 @@ def score_cases(
         "severity",
         "start_time",
         "clock",
-        R.due_time(F.col("start_time"), F.col("target_minutes")).alias("due_time"),
+        "due_time",
         "target_minutes",
         "elapsed_minutes",
         "remaining_minutes",
@@ -110,7 +131,9 @@ def exception_records(cases: DataFrame) -> DataFrame:
     ).select(*S.EXCEPTION_RECORD.names)
 
 
-def detect_exceptions(events: DataFrame, customers: DataFrame, services: DataFrame, as_of: Clock, **options):
+def detect_exceptions(
+    events: DataFrame, customers: DataFrame, services: DataFrame, as_of: Clock, **options
+) -> tuple[DataFrame, DataFrame]:
     """(SLA records, exception records). To write both, stage `score_cases` once and project twice."""
     cases = score_cases(events, customers, services, as_of, **options)
     return sla_records(cases), exception_records(cases)

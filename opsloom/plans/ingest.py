@@ -47,7 +47,7 @@ def ingest(
     The flagged rows are staged once, split by outcome, so lake and quarantine each read only their
     half and the rules run a single time.
     """
-    flagged = Q.validate_events(raw, as_of, customers, services, locations)
+    flagged = Q.validate_events(raw, as_of, customers, services, locations, stage=True)
     table = staged(flagged.withColumn("_rejected", Q.is_rejected()), "flagged", ("_rejected",))
     valid = table.where(~F.col("_rejected")).drop("_rejected", "rejection_reasons")
     rejected = table.where("_rejected").drop("_rejected")

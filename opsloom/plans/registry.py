@@ -19,7 +19,7 @@ from opsloom.operators import star as J
 from opsloom.operators import triage as Tr
 from opsloom.operators import windows as Wn
 from opsloom.plans import ingest as G
-from opsloom.plans.cases import exception_records, score_cases, sla_records
+from opsloom.plans.cases import exception_records, open_cases, score_cases, sla_records
 from opsloom.session import prepare, scratch_path
 from opsloom.sources import binding as B
 from opsloom.sources import catalog as C
@@ -83,7 +83,8 @@ def exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sla(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sla_records(cases(spark, sf_dir))
+    s = B.bind_star(spark, sf_dir)
+    return sla_records(open_cases(s.events, s.customers, s.services, F.col("clock")))
 
 
 def transition_log(spark: SparkSession, sf_dir: str) -> DataFrame:
