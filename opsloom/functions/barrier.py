@@ -1,10 +1,10 @@
-"""Keep expensive computed columns computed once."""
+"""Expression shapes that stay in code generation."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,3 +17,11 @@ def computed_once(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """
     others = [c for c in df.columns if c not in names]
     return df.select(*others, F.inline(F.array(F.struct(*names)))).select(*df.columns)
+
+
+def present(*texts: Column) -> Column:
+    """Array of the non-NULL texts in order. The texts themselves are never empty.
+
+    The same as compacting an array, which Spark interprets row by row; removing a value compiles.
+    """
+    return F.array_remove(F.array(*[F.coalesce(t, F.lit("")) for t in texts]), "")

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.functions.barrier import computed_once
+from opsloom.functions.barrier import computed_once, present
 from opsloom.functions.rounding import round_binary
 
 # Default weights of the five factors and thresholds of the SLA states.
@@ -218,17 +218,22 @@ def priority_drivers(
     waiting = F.concat(
         F.lit("Unassigned waiting time ("), _fixed(hours, 1), F.lit(" hrs) exceeds SLA triage standard")
     )
-    found = F.array_compact(
-        F.array(
-            F.when(status == "BREACHED", overdue).when(status == "AT_RISK", imminent),
-            F.when(F.upper(tier).contains("ENTERPRISE"), F.lit("Tier 1 Enterprise customer account")),
-            F.when(exposure >= 25000, money),
-            F.when(hours >= 4.0, waiting),
-            F.when(F.upper(severity).contains("CRITICAL"), F.lit("Mission-critical service failure")),
-        )
+    found = [
+        F.when(status == "BREACHED", overdue).when(status == "AT_RISK", imminent),
+        F.when(F.upper(tier).contains("ENTERPRISE"), F.lit("Tier 1 Enterprise customer account")),
+        F.when(exposure >= 25000, money),
+        F.when(hours >= 4.0, waiting),
+        F.when(F.upper(severity).contains("CRITICAL"), F.lit("Mission-critical service failure")),
+    ]
+    plain = (
+        ~status.isin("BREACHED", "AT_RISK")
+        & ~F.upper(tier).contains("ENTERPRISE")
+        & ~(exposure >= 25000)
+        & ~(hours >= 4.0)
+        & ~F.upper(severity).contains("CRITICAL")
     )
-    fallback = F.array(F.lit("Standard operational queue ranking"))
-    return F.when(F.size(found) == 0, fallback).otherwise(found)
+    fallback = F.when(plain, F.lit("Standard operational queue ranking"))
+    return present(*found, fallback)
 
 
 def with_priority(

@@ -9,11 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom import schemas as S
-from opsloom.functions.barrier import computed_once
+from opsloom.functions.barrier import computed_once, present
 from opsloom.functions.calendar import parse_iso
 from opsloom.functions.rounding import round_binary
 from opsloom.operators.scale import all_of, any_of, join_back, lookup, running
-from opsloom.session import staged
 
 Clock = str | datetime | Column
 
@@ -67,14 +66,13 @@ def clock_skew(as_of: Clock, start: str = "start_time") -> Column:
 
 
 def mark_duplicates(
-    df: DataFrame, keys: Sequence[str], seq: str, flag: str = "_duplicate", stage: bool = False, **hot: int
+    df: DataFrame, keys: Sequence[str], seq: str, flag: str = "_duplicate", **hot: int
 ) -> DataFrame:
     """Flag every row whose key occurred at a smaller ordinal; rows without a key are never flagged.
 
     Only ids that occur more than once go back to the rows. A window over the id would sort a hot
-    id's rows in one task; a minimum per id is combined before the shuffle. With `stage` the
-    repeated ids are written first: Catalyst then knows their size, and when they are few the rows
-    are not shuffled at all.
+    id's rows in one task; a minimum per id is combined before the shuffle. The repeated ids are
+    ready before the rows move, so where they are measured small the rows are not shuffled at all.
     """
     lacks_key = any_of([missing(k) for k in keys])
     repeated = (
@@ -83,8 +81,6 @@ def mark_duplicates(
         .agg(F.min(seq).alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
     )
-    if stage:
-        repeated = staged(repeated, "repeated-ids")
     joined = join_back(df, repeated, keys, "_copies", [seq], unmatched=lacks_key, **hot)
     later = F.coalesce(F.col(seq) > F.col("_first"), F.lit(False))
     return joined.withColumn(flag, later).drop("_first", "_copies")
@@ -115,17 +111,15 @@ def _coded(flag: str, code: str) -> Column:
 
 def reasons(as_of: Clock) -> Column:
     """All codes of a row in rule order, repeats kept. Reads the parsed time and the marked flags."""
-    return F.array_compact(
-        F.array(
-            F.coalesce(null_id(), _coded("_duplicate", S.ERR_DUPLICATE_ID)),
-            null_mandatory(),
-            F.coalesce(invalid_timestamp(parsed="_time"), future_timestamp(as_of, parsed="_time")),
-            negative_duration(),
-            status_range(),
-            _coded("_no_customer", S.ERR_FK_CUSTOMER_ORPHAN),
-            _coded("_no_service", S.ERR_FK_SERVICE_ORPHAN),
-            _coded("_no_location", S.ERR_FK_LOCATION_ORPHAN),
-        )
+    return present(
+        F.coalesce(null_id(), _coded("_duplicate", S.ERR_DUPLICATE_ID)),
+        null_mandatory(),
+        F.coalesce(invalid_timestamp(parsed="_time"), future_timestamp(as_of, parsed="_time")),
+        negative_duration(),
+        status_range(),
+        _coded("_no_customer", S.ERR_FK_CUSTOMER_ORPHAN),
+        _coded("_no_service", S.ERR_FK_SERVICE_ORPHAN),
+        _coded("_no_location", S.ERR_FK_LOCATION_ORPHAN),
     )
 
 
@@ -158,10 +152,10 @@ def validate_events(
     services: DataFrame | None = None,
     locations: DataFrame | None = None,
     seq: str = "seq",
-    **options: int | bool,
+    **hot: int,
 ) -> DataFrame:
     """Raw events plus `rejection_reasons`; an empty array means the row is valid."""
-    flagged = mark_duplicates(df, ["event_id"], seq, **options)
+    flagged = mark_duplicates(df, ["event_id"], seq, **hot)
     return with_reasons(flagged, as_of, customers, services, locations, [seq])
 
 
@@ -287,7 +281,7 @@ def contracts() -> dict[str, dict[str, Column]]:
 def with_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Names of the violated rules per row."""
     return df.withColumn(
-        "violations", F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in rules.items()]))
+        "violations", present(*[F.when(bad, F.lit(name)) for name, bad in rules.items()])
     )
 
 

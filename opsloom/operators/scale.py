@@ -72,7 +72,11 @@ def join_back(
         return per_key.where(kept).select(*keys, *[F.col(c).alias(prefix + c) for c in extra])
 
     hot = side(F.col(count_col) > hot_rows, "_hot_")
-    cold = side(F.col(count_col) <= hot_rows, "_cold_").withColumn("_salt", F.lit(0).cast("long"))
+    # Always 0, but not a literal: a literal would be folded out of the join keys and with it the
+    # salt out of the shuffle.
+    cold = side(F.col(count_col) <= hot_rows, "_cold_").withColumn(
+        "_salt", F.pmod(F.col("_cold_" + count_col), F.lit(1)).cast("long")
+    )
     apart = F.col(f"_hot_{count_col}").isNotNull() | any_of([F.col(k).isNull() for k in keys])
     if unmatched is not None:
         apart = apart | unmatched
