@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opsloom.functions.rounding import round_binary
+from opsloom.session import staged
 
 # A key with more rows than this is spread over many tasks. At most total/HOT_ROWS keys can be hot,
 # which bounds what is broadcast: 10^12 rows give at most 500,000 keys.
@@ -99,7 +100,8 @@ def lookup(rows: DataFrame, side: DataFrame, key: str, spread_by: Sequence[str])
     if estimated_bytes(side) <= broadcast_limit(side):
         return rows.join(side, key, "left").select(*rows.columns, *[c for c in side.columns if c != key])
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return join_back(rows, counts.join(side, key), [key], "_n", spread_by).drop("_n")
+    # Keys the dimension lacks stay in, so that a hot unknown key is split as well.
+    return join_back(rows, counts.join(side, key, "left"), [key], "_n", spread_by).drop("_n")
 
 
 def running(
@@ -171,6 +173,23 @@ def running(
     )
 
 
+def positions(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
+    """The rows with their 0-based place in the global order, without one task seeing them all.
+
+    The range-partitioned sort is staged with each row's partition and place in it; the partition
+    sizes, one row per partition, then give the offsets.
+    """
+    placed = df.orderBy(*order).withColumns(
+        {"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}
+    )
+    table = staged(placed, "sorted")
+    sizes = table.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.col("_row") - F.col("_first")
+    return table.join(F.broadcast(starts), "_part").select(*df.columns, place.alias(name))
+
+
 def exact_percentiles(
     df: DataFrame,
     keys: Sequence[str],

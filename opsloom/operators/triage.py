@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from opsloom.schemas import CLOSED_STATES
 from opsloom.operators.quality import Clock, clock_column
+from opsloom.operators.scale import positions
 from opsloom.operators.windows import latest_by_key
 
 PAGE_LIMIT = 500
 RISK_LIMIT = 200
+# Up to here the first rows are kept in a bounded heap per task; beyond, rows get global positions.
+HEAP_ROWS = 100_000
 
 
-def _order() -> list[Column]:
+def queue_order() -> list[Column]:
     return [F.col("priority_score").desc_nulls_last(), F.col("exception_id").asc_nulls_last()]
 
 
@@ -100,17 +103,24 @@ def slice_triage(
 def triage_queue(items: DataFrame, version: str | None = None) -> DataFrame:
     """Live items by score, then id. With `version`, the last push of an id replaces earlier ones."""
     live = items if version is None else latest_by_key(items, "exception_id", version)
-    return live.orderBy(*_order())
+    return live.orderBy(*queue_order())
 
 
 def peek(items: DataFrame, version: str | None = None) -> DataFrame:
     return triage_queue(items, version).limit(1)
 
 
-def take(items: DataFrame, n: int, version: str | None = None) -> tuple[DataFrame, DataFrame]:
+def take(
+    items: DataFrame, n: int, version: str | None = None, heap_rows: int = HEAP_ROWS
+) -> tuple[DataFrame, DataFrame]:
     """(the first n items, the remaining queue)."""
     live = items if version is None else latest_by_key(items, "exception_id", version)
-    first = live.orderBy(*_order()).limit(n)
+    if n > heap_rows:
+        placed = positions(live, queue_order())
+        return placed.where(F.col("position") < n).drop("position"), placed.where(
+            F.col("position") >= n
+        ).drop("position")
+    first = live.orderBy(*queue_order()).limit(n)
     return first, live.join(first.select("exception_id"), "exception_id", "left_anti")
 
 
@@ -118,18 +128,23 @@ def exception_page(
     exceptions: DataFrame,
     limit: int = 50,
     offset: int = 0,
+    heap_rows: int = HEAP_ROWS,
     **filters: str | None,
 ) -> tuple[DataFrame, DataFrame]:
     """(one row with `total` before paging, the page by score and id).
 
     The page is found on score and id alone and then fetched, so only ids travel to the task that
-    cuts it.
+    cuts it; a deep page is found by global position instead.
     """
     if not 1 <= limit <= PAGE_LIMIT or offset < 0:
         raise ValueError(f"limit must be 1-{PAGE_LIMIT} and offset >= 0, got {limit} and {offset}")
     kept = filter_exceptions(exceptions, **filters)
     total = kept.agg(F.count(F.lit(1)).alias("total"))
-    ids = kept.select("priority_score", "exception_id").orderBy(*_order()).offset(offset).limit(limit)
+    ids = kept.select("priority_score", "exception_id")
+    if offset + limit > heap_rows:
+        ids = positions(ids, queue_order()).where(F.col("position").between(offset, offset + limit - 1))
+    else:
+        ids = ids.orderBy(*queue_order()).offset(offset).limit(limit)
     # At most PAGE_LIMIT ids: a bounded broadcast.
     page = kept.join(F.broadcast(ids.select("exception_id")), "exception_id", "left_semi").select(
         F.col("exception_id").alias("id"),
@@ -172,4 +187,4 @@ def sla_risk(sla: DataFrame, limit: int = 50) -> DataFrame:
 
 
 def top_p1(exceptions: DataFrame, n: int = 10) -> DataFrame:
-    return filter_exceptions(exceptions, priority="P1").orderBy(*_order()).limit(n)
+    return filter_exceptions(exceptions, priority="P1").orderBy(*queue_order()).limit(n)

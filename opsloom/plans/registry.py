@@ -15,6 +15,7 @@ from opsloom.functions import rules as R
 from opsloom.operators import impact as I
 from opsloom.operators import quality as Q
 from opsloom.operators import reports as A
+from opsloom.operators import scale as Sc
 from opsloom.operators import star as J
 from opsloom.operators import triage as Tr
 from opsloom.operators import windows as Wn
@@ -372,6 +373,18 @@ def triage_queue(spark, sf_dir):
     return Tr.triage_queue(live).select("exception_id", "priority_score")
 
 
+def triage_positions(spark, sf_dir):
+    """Queue places of the active backlog, from the distributed sort."""
+    live = Tr.active_backlog(exceptions(spark, sf_dir)).select("exception_id", "priority_score")
+    return Sc.positions(live, Tr.queue_order())
+
+
+def exception_page_deep(spark, sf_dir):
+    """A page in the middle of the backlog, found by position rather than by skipping rows."""
+    backlog = exceptions(spark, sf_dir)
+    return shown(Tr.exception_page(backlog, limit=50, offset=60, heap_rows=0)[1])
+
+
 def _take(spark, sf_dir, part):
     return Tr.take(exceptions(spark, sf_dir), 25)[part].select("exception_id", "priority_score")
 
@@ -435,6 +448,8 @@ def _measure(names):
 
 BACKLOG: dict[str, Query] = {
     "triage_queue": triage_queue,
+    "triage_positions": triage_positions,
+    "exception_page_deep": exception_page_deep,
     "triage_top": lambda spark, sf_dir: Tr.peek(exceptions(spark, sf_dir)).select("exception_id", "priority_score"),
     "triage_take": partial(_take, part=0),
     "triage_rest": partial(_take, part=1),

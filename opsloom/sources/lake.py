@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from opsloom import schemas as S
 from opsloom.functions.calendar import parse_iso, with_calendar
+from opsloom.operators.scale import all_of
 
 NO_METRICS = "NO_METRICS_LOGGED"
 
@@ -41,20 +42,26 @@ def write_event_lake(df: DataFrame, path: str, whole_days: bool = True) -> None:
 
 
 def new_lake_rows(rows: DataFrame, path: str) -> DataFrame:
-    """Rows whose event id their own day in the lake does not hold; only those days are read."""
-    spark = rows.sparkSession
+    """Rows whose event id their own day in the lake does not hold, one per id.
+
+    The days of the batch, at most one per calendar day, become literals, so the scan of the lake
+    opens only their folders.
+    """
     keys = [*S.LAKE_PARTITIONS, "event_id"]
-    first = rows.groupBy("event_id").agg(F.min(F.struct(*[c for c in rows.columns if c != "event_id"])).alias("_row"))
-    unique = first.select("event_id", "_row.*").select(*rows.columns)
+    rest = [c for c in rows.columns if c != "event_id"]
+    unique = rows.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_row"))
+    unique = unique.select("event_id", "_row.*").select(*rows.columns)
     try:
-        stored = read_event_lake(spark, path).select(*keys)
+        stored = read_event_lake(rows.sparkSession, path).select(*keys)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return unique
-    days = rows.select(*S.LAKE_PARTITIONS).distinct()
-    touched = stored.join(days, list(S.LAKE_PARTITIONS), "left_semi")
-    return unique.join(touched, keys, "left_anti")
+    days = rows.select(*S.LAKE_PARTITIONS).distinct().collect()
+    touched = F.lit(False)
+    for day in days:
+        touched = touched | all_of([F.col(c) == day[c] for c in S.LAKE_PARTITIONS])
+    return unique.join(stored.where(touched), keys, "left_anti")
 
 
 def read_event_lake(spark: SparkSession, path: str) -> DataFrame:

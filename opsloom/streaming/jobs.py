@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from opsloom import schemas as S
+from opsloom.functions.calendar import date_text
 from opsloom.operators import quality as Q
 from opsloom.operators.windows import breach_rate, trailing_window
 from opsloom.plans.cases import score_cases
@@ -68,8 +69,14 @@ def late_rows(query: StreamingQuery) -> int:
 # --- batch tables -------------------------------------------------------------------------------
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType, before: int) -> DataFrame:
-    """What earlier batches wrote; rows of `before` itself are a replay's and do not count."""
+def _stored(
+    spark: SparkSession, path: str, schema: T.StructType, before: int, keep: int | None = None
+) -> DataFrame:
+    """What earlier batches wrote, or the last `keep` of them.
+
+    Rows of `before` itself are a replay's and do not count. The batch is a partition key, so only
+    the folders asked for are read.
+    """
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
     try:
         table = spark.read.schema(full).parquet(path)
@@ -77,7 +84,10 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType, before: int) -
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    return table.where(F.col(BATCH) < before).drop(BATCH)
+    wanted = F.col(BATCH) < before
+    if keep is not None:
+        wanted = wanted & (F.col(BATCH) >= before - keep)
+    return table.where(wanted).drop(BATCH)
 
 
 def write_batch(df: DataFrame, batch: int, path: str, partitions: Sequence[str] = ()) -> None:
@@ -107,21 +117,28 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 # --- batch handlers -----------------------------------------------------------------------------
 
 
-def dedup_handler(path: str, seq: str = "seq") -> Callable[[DataFrame, int], None]:
+def dedup_handler(
+    path: str, seq: str = "seq", keep: int | None = None
+) -> Callable[[DataFrame, int], None]:
     """First occurrences and duplicates, also of ids from earlier batches; nothing is dropped.
 
-    Writes every row with `is_duplicate`. Only ids, not rows, of earlier batches are read.
+    Writes every row with `is_duplicate`. Only ids, not rows, of earlier batches are read; `keep`
+    bounds how many batches an id is remembered.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(with_seen_ids(batch, path, batch_id, seq), batch_id, path, ("is_duplicate",))
+        marked = with_seen_ids(batch, path, batch_id, seq, keep)
+        write_batch(marked, batch_id, path, ("is_duplicate",))
 
     return handle
 
 
-def with_seen_ids(batch: DataFrame, path: str, batch_id: int, seq: str = "seq") -> DataFrame:
+def with_seen_ids(
+    batch: DataFrame, path: str, batch_id: int, seq: str = "seq", keep: int | None = None
+) -> DataFrame:
     key = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("is_duplicate", T.BooleanType())])
-    seen = _stored(batch.sparkSession, path, key, batch_id).where(~F.col("is_duplicate")).select("event_id")
+    seen = _stored(batch.sparkSession, path, key, batch_id, keep)
+    seen = seen.where(~F.col("is_duplicate")).select("event_id")
     # Ids of this batch that were seen before: one row per id, counted so that a hot id is split.
     ids = batch.where(~Q.missing("event_id")).groupBy("event_id").agg(F.count(F.lit(1)).alias("_copies"))
     old = ids.join(seen, "event_id", "left_semi").withColumn("_old", F.lit(True))
@@ -138,16 +155,22 @@ def trailing_handler(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fields = T.StructType([f for f in batch.schema.fields if f.name in {row_id, ts, flag, *by}])
-        fresh = staged(batch, "trailing")
-        oldest = fresh.agg(F.min(ts).alias("t")).scalar()
+        names = {row_id, ts, flag, *by}
+        fields = T.StructType([f for f in batch.schema.fields if f.name in names])
+        stored = T.StructType([*fields.fields, T.StructField("day", T.StringType())])
+        fresh = staged(batch.select(*fields.names), "trailing")
         gap = F.make_dt_interval(mins=F.lit(minutes))
-        history = _stored(spark, path, fields, batch_id).where(F.col(ts) >= oldest - gap)
-        both = fresh.select(*fields.names).withColumn("_new", F.lit(True)).unionByName(
-            history.withColumn("_new", F.lit(False))
+        reach = fresh.agg((F.min(ts) - gap).alias("t"))
+        since, first_day = reach.scalar(), reach.select(date_text(F.col("t"))).scalar()
+        # Only the days the window can reach are listed and read.
+        history = _stored(spark, path, stored, batch_id).where(
+            (F.col("day") >= first_day) & (F.col(ts) >= since)
+        )
+        both = fresh.withColumn("_new", F.lit(True)).unionByName(
+            history.drop("day").withColumn("_new", F.lit(False))
         )
         metrics = trailing_window(both, ts, F.col(flag), minutes, by, row_id).where("_new").drop("_new")
-        write_batch(metrics, batch_id, path)
+        write_batch(metrics.withColumn("day", date_text(F.col(ts))), batch_id, path, ("day",))
 
     return handle
 
