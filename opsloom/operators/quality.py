@@ -87,7 +87,12 @@ def mark_duplicates(
 
 
 def mark_orphans(
-    df: DataFrame, dim: DataFrame | None, key: str, flag: str, spread_by: Sequence[str] | None
+    df: DataFrame,
+    dim: DataFrame | None,
+    key: str,
+    flag: str,
+    spread_by: Sequence[str] | None,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Flag rows whose present key is not in the dimension; no dimension, or an empty one, flags none.
 
@@ -101,7 +106,7 @@ def mark_orphans(
     if spread_by is None:
         joined = df.join(marked, key, "left").select(*df.columns, "_known")
     else:
-        joined = lookup(df, marked, key, spread_by)
+        joined = lookup(df, marked, key, spread_by, counted_on)
     return joined.withColumn(flag, filled & ~missing(key) & F.col("_known").isNull()).drop("_known")
 
 
@@ -130,14 +135,16 @@ def with_reasons(
     services: DataFrame | None = None,
     locations: DataFrame | None = None,
     spread_by: Sequence[str] | None = None,
+    counted_on: DataFrame | None = None,
 ) -> DataFrame:
     """Row-level rules on rows that already carry `_duplicate`."""
+    counted_on = df if counted_on is None else counted_on
     for dim, key, flag in (
         (customers, "customer_id", "_no_customer"),
         (services, "service_id", "_no_service"),
         (locations, "location_id", "_no_location"),
     ):
-        df = mark_orphans(df, dim, key, flag, spread_by)
+        df = mark_orphans(df, dim, key, flag, spread_by, counted_on)
     timed = df.withColumn("_time", parse_iso(F.col("timestamp")))
     judged = timed.withColumn("rejection_reasons", reasons(as_of)).drop(
         "_time", "_duplicate", "_no_customer", "_no_service", "_no_location"
@@ -156,7 +163,7 @@ def validate_events(
 ) -> DataFrame:
     """Raw events plus `rejection_reasons`; an empty array means the row is valid."""
     flagged = mark_duplicates(df, ["event_id"], seq, **hot)
-    return with_reasons(flagged, as_of, customers, services, locations, [seq])
+    return with_reasons(flagged, as_of, customers, services, locations, [seq], counted_on=df)
 
 
 # --- routing and reports ------------------------------------------------------------------------

@@ -90,16 +90,24 @@ def join_back(
     )
 
 
-def lookup(rows: DataFrame, side: DataFrame, key: str, spread_by: Sequence[str]) -> DataFrame:
+def lookup(
+    rows: DataFrame,
+    side: DataFrame,
+    key: str,
+    spread_by: Sequence[str],
+    counted_on: DataFrame | None = None,
+) -> DataFrame:
     """Left-join a dimension that is unique on `key`.
 
     A side that Catalyst sizes below the session's broadcast limit is left to Catalyst, which
     broadcasts it. A larger one meets the fact's distinct keys first (counted map-side, so a hot key
-    is one row), and the matched keys go back to the rows with hot keys split off.
+    is one row), and the matched keys go back to the rows with hot keys split off. `counted_on` is
+    an earlier form of `rows` with the same keys, which spares running the steps between again.
     """
     if estimated_bytes(side) <= broadcast_limit(side):
         return rows.join(side, key, "left").select(*rows.columns, *[c for c in side.columns if c != key])
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    source = rows if counted_on is None else counted_on
+    counts = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     # Keys the dimension lacks stay in, so that a hot unknown key is split as well.
     return join_back(rows, counts.join(side, key, "left"), [key], "_n", spread_by).drop("_n")
 

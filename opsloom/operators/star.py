@@ -16,10 +16,11 @@ def star(
     locations: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows with the attributes of the given dimensions; rows without a match keep NULLs."""
+    joined = events
     for dim, key in ((customers, "customer_id"), (services, "service_id"), (locations, "location_id")):
         if dim is not None:
-            events = lookup(events, dim, key, ["event_id"])
-    return events
+            joined = lookup(joined, dim, key, ["event_id"], counted_on=events)
+    return joined
 
 
 def with_case_terms(events: DataFrame, customers: DataFrame, services: DataFrame) -> DataFrame:
@@ -52,18 +53,16 @@ def exception_detail(
     """Exceptions with nested customer and service and their SLA state; an unknown id gives no row."""
     picked = exceptions if exception_id is None else exceptions.where(F.col("exception_id") == exception_id)
     spread = ["exception_id"]
-    picked = lookup(
-        picked, customers.select("customer_id", "customer_name", "tier"), "customer_id", spread
-    )
-    picked = lookup(
-        picked, services.select("service_id", "service_name", "service_category"), "service_id", spread
-    )
-    picked = picked.join(sla.select("case_id", "sla_status", "remaining_minutes"), "case_id", "left")
+    customer = customers.select("customer_id", "customer_name", "tier")
+    service = services.select("service_id", "service_name", "service_category")
+    rows = lookup(picked, customer, "customer_id", spread)
+    rows = lookup(rows, service, "service_id", spread, counted_on=picked)
+    rows = rows.join(sla.select("case_id", "sla_status", "remaining_minutes"), "case_id", "left")
 
     def known(name: str, default: object):
         return F.coalesce(F.col(name), F.lit(default))
 
-    return picked.select(
+    return rows.select(
         F.col("exception_id").alias("id"),
         "case_id",
         "event_id",
@@ -95,9 +94,8 @@ def triage_table(
     """The dense triage list: who, which service, how much time is left and why."""
     spread = ["exception_id"]
     rows = lookup(exceptions, customers.select("customer_id", "customer_name"), "customer_id", spread)
-    rows = lookup(
-        rows, services.select("service_id", "service_name", "service_category"), "service_id", spread
-    )
+    service = services.select("service_id", "service_name", "service_category")
+    rows = lookup(rows, service, "service_id", spread, counted_on=exceptions)
     rows = rows.join(sla.select("case_id", "sla_status", "remaining_minutes"), "case_id", "left")
     return rows.select(
         "exception_id",

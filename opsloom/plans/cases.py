@@ -78,7 +78,8 @@ def score_cases(
         cases = cases.withColumn("_measured", F.lit(None).cast("double"))
     else:
         measured = exposures.select("customer_id", F.col("financial_exposure").cast("double").alias("_measured"))
-        cases = lookup(cases, measured, "customer_id", ["event_id"])
+        failed = events.where(F.col("status_code") >= 500)
+        cases = lookup(cases, measured, "customer_id", ["event_id"], counted_on=failed)
     tier, event_id = F.col("tier"), F.col("event_id")
     cases = cases.withColumns(
         {

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from opsloom.session import prepare, scratch_path
 from opsloom.sources import binding as B
 from opsloom.sources import catalog as C
 from opsloom.sources import lake as L
-from opsloom.sources.raw import read_raw_events
+from opsloom.sources.raw import read_dimension, read_raw_events
 from opsloom.streaming import jobs as St
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,7 +95,7 @@ def transition_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     raw = (
-        spark.readStream.schema(B.EVENTS_FILE)
+        spark.readStream.schema(B.TABLES["events"])
         .option("pathGlobFilter", "events.parquet")
         .option("maxFilesPerTrigger", 1)
         .parquet(sf_dir)
@@ -207,6 +207,21 @@ def ingest_batch(spark, sf_dir):
     return days(L.read_event_lake(spark, zones.lake))
 
 
+def quarantine_table(spark, sf_dir):
+    """Rejected rows written with their envelope as dated JSON, read back per date of quarantine."""
+    _, rejected = Q.route(flagged(spark, sf_dir))
+    path = scratch_path(spark, "quarantine")
+    L.write_quarantine(Q.quarantine_envelope(rejected, B.DIRTY_AS_OF), path, "json")
+    held = spark.read.schema(
+        "raw_record struct<event_type: string>, rejection_reasons array<string>, "
+        "quarantined_at timestamp, year string, month string, day string"
+    ).json(path)
+    return held.groupBy("year", "month", "day", F.col("raw_record.event_type").alias("event_type")).agg(
+        F.count(F.lit(1)).alias("rows_rejected"),
+        F.sum(F.size("rejection_reasons").cast("long")).alias("reasons"),
+    )
+
+
 def dq_constraints(spark, sf_dir):
     return Q.check_constraints(dirty(spark, sf_dir), Q.contracts()["event"])
 
@@ -254,6 +269,7 @@ QUALITY: dict[str, Query] = {
     "dq_metrics_document": dq_metrics_document,
     "raw_json_errors": partial(raw_errors, fmt="json"),
     "raw_csv_errors": partial(raw_errors, fmt="csv"),
+    "quarantine_table": quarantine_table,
     "ingest_batch": ingest_batch,
     "dq_constraints": dq_constraints,
     "dq_constraints_cases": dq_constraints_cases,
@@ -532,6 +548,9 @@ WINDOWS: dict[str, Query] = {
     "trailing_60m": _trailing(()),
     "trailing_by_customer": _trailing(("customer_id",)),
     "window_as_of": report(lambda s: Wn.window_metrics(s.events, "timestamp", is_failure(), AS_OF)),
+    "recent_events": report(
+        lambda s: Tr.recent(s.events, "timestamp", AS_OF, 24).select("event_id", "timestamp", "status_code")
+    ),
     "velocity": report(
         lambda s: Wn.failure_velocity(Tr.failed_events(s.events), "timestamp", 60, ["location_id"])
     ),
@@ -562,6 +581,20 @@ def _written_star(spark, sf_dir) -> str:
     return root
 
 
+def dimension_tables(spark, sf_dir):
+    """The stored dimensions read back with their declared schemas: rows and distinct keys of each."""
+    root = _written_star(spark, sf_dir)
+    sizes = []
+    for folder, schema in C.DIMENSIONS.values():
+        dim = read_dimension(spark, f"{root}/{folder}", schema, "parquet")
+        sizes.append(
+            dim.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(schema.names[0]).alias("n_keys")).select(
+                F.lit(folder).alias("dimension"), "n_rows", "n_keys"
+            )
+        )
+    return reduce(DataFrame.union, sizes)
+
+
 def lake_roundtrip(spark, sf_dir):
     root, _ = _written_lake(spark, sf_dir)
     return days(L.read_event_lake(spark, f"{root}/{C.FACT}"))
@@ -590,6 +623,7 @@ def report_views(spark, sf_dir):
 
 
 LAKE: dict[str, Query] = {
+    "dimension_tables": dimension_tables,
     "lake_roundtrip": lake_roundtrip,
     "lake_pruned_day": lake_pruned_day,
     "catalog_tables": catalog_tables,

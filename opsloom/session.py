@@ -24,6 +24,8 @@ def build_session(app: str = "opsloom", master: str | None = None, **conf: str)
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
+    # Building a plan need not record the Python line of every expression.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
     for key, value in conf.items():

@@ -14,9 +14,24 @@ from pyspark.sql import functions as F
 from opsloom.schemas import struct
 from opsloom.session import prepare
 
-EVENTS_FILE = struct(
-    "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-)
+# Declared, so that opening a table reads no file.
+TABLES = {
+    "events": struct(
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    ),
+    "customer": struct(
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "part": struct(
+        "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "nation": struct("n_nationkey int, n_name string, n_regionkey int"),
+    "region": struct("r_regionkey int, r_name string"),
+    "orders": struct(
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+}
 DIRTY_AS_OF = "2024-02-01 00:00:00"
 
 
@@ -30,7 +45,7 @@ class Star:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     prepare(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def event_key(id_col: Column) -> Column:
