@@ -55,6 +55,17 @@ def date_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd")
 
 
+def on_days(df: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Where the rows carry the lake's partition keys, keep the days from `first` to `last` only.
+
+    The condition reads nothing but partition keys, so folders of other days are never opened.
+    """
+    if not {"year", "month", "day"} <= set(df.columns):
+        return df
+    key = F.concat("year", "month", "day")
+    return df.where(key.between(F.date_format(first, "yyyyMMdd"), F.date_format(last, "yyyyMMdd")))
+
+
 def build_dim_date(bounds: DataFrame) -> DataFrame:
     """One row per day between `first_day` and `last_day` of the one-row `bounds`."""
     days = bounds.select(

@@ -100,18 +100,25 @@ def tier_exposure(events: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def hourly_trend(events: DataFrame) -> DataFrame:
+    """Per hour of the day; the lake's stored hour is read instead of the wider timestamp."""
+    hour = F.col("hour") if "hour" in events.columns else F.hour("timestamp")
     return (
-        events.groupBy(F.hour("timestamp").alias("hour"))
+        events.groupBy(hour.alias("hour"))
         .agg(F.count(F.lit(1)).alias("total_events"), server_errors().alias("error_events"))
         .orderBy("hour")
     )
 
 
 def daily_summary(events: DataFrame) -> DataFrame:
-    """Per UTC date, service and location."""
-    by_day = events.withColumn("event_date", F.to_date("timestamp"))
-    return _event_stats(by_day, ["event_date", "service_id", "location_id"]).select(
-        "event_date",
+    """Per UTC date, service and location; over the lake the date comes from the partition keys."""
+    if set(S.LAKE_PARTITIONS) <= set(events.columns):
+        keys: list[str | Column] = list(S.LAKE_PARTITIONS)
+        date = F.make_date(*[F.col(c).cast("int") for c in S.LAKE_PARTITIONS])
+    else:
+        keys = [F.to_date("timestamp").alias("_date")]
+        date = F.col("_date")
+    return _event_stats(events, [*keys, "service_id", "location_id"]).select(
+        date.alias("event_date"),
         "service_id",
         "location_id",
         F.col("_events").alias("total_events"),
@@ -237,27 +244,34 @@ def summary_kpis(exceptions: DataFrame, sla: DataFrame) -> DataFrame:
         "reason_drivers",
     )
     rank = F.struct((-F.col("priority_score")).alias("s"), F.col("exception_id").alias("i"))
+    totals = exceptions.agg(
+        F.count(F.lit(1)).alias("total_exceptions"),
+        F.count_if(is_active()).alias("active_backlog"),
+        F.min_by(F.when(is_active(), item), F.when(is_active(), rank)).alias("_top"),
+    )
     cases = sla.agg(
         F.struct(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("sla_status") == "AT_RISK").alias("at_risk"),
             F.count_if(F.col("sla_status") == "BREACHED").alias("breached"),
-        ).alias("c")
+        )
     ).scalar()
-    totals = exceptions.agg(
-        F.count(F.lit(1)).alias("total_exceptions"),
-        F.count_if(is_active()).alias("active_backlog"),
-        F.min_by(F.when(is_active(), item), F.when(is_active(), rank)).alias("highest_priority_exception"),
-    ).withColumn("_c", cases)
+    # One row, so the SLA table is filtered where it lies.
+    top_case = totals.select(F.col("_top.case_id").alias("case_id"))
+    state = sla.join(F.broadcast(top_case), "case_id", "left_semi").agg(
+        F.first(F.struct("sla_status", "remaining_minutes"))
+    )
+    row = totals.withColumns({"_c": cases, "_state": state.scalar()})
+    top = F.struct("_top.*", "_state.sla_status", "_state.remaining_minutes")
     share = F.col("_c.breached").cast("double") / F.greatest(F.lit(1), F.col("_c.n")).cast("double") * F.lit(100.0)
-    return totals.select(
+    return row.select(
         "total_exceptions",
         "active_backlog",
         F.col("_c.at_risk").alias("sla_at_risk_count"),
         F.col("_c.breached").alias("sla_breached_count"),
         round_binary(share, 2).alias("sla_breach_rate_pct"),
         F.col("active_backlog").alias("priority_queue_size"),
-        "highest_priority_exception",
+        F.when(F.col("_top").isNotNull(), top).alias("highest_priority_exception"),
     )
 
 

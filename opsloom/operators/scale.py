@@ -36,8 +36,10 @@ def chunk(at: Column, width: int) -> Column:
     return F.call_function("div", at - F.pmod(at, F.lit(width)), F.lit(width))
 
 
-def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner equi-join in which a NULL key matches a NULL key."""
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """Inner equi-join; with `null_safe` a NULL key matches a NULL key, at the cost of a shuffle."""
+    if not null_safe:
+        return left.join(right, list(keys))
     other = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     matches = all_of([F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(other, matches).drop(*[f"_r_{k}" for k in keys])
@@ -121,6 +123,8 @@ def running(
     fine: int,
     inclusive: bool = True,
     tie_break: Sequence[str] = (),
+    totals: bool = False,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Running sums or maxima per key along the integer column `at`, in bounded groups.
 
@@ -165,19 +169,24 @@ def running(
     fine_offsets = fine_totals.select(
         *keys, "_coarse", "_fine", *[fold(n, F.col(f"_f_{n}")).over(before_fine).alias(f"_pf_{n}") for n in folds]
     )
+    whole = {n: fold(n, F.col(f"_c_{n}")).over(W.partitionBy(*keys)) for n in folds if totals}
     coarse_offsets = coarse_totals.select(
-        *keys, "_coarse", *[fold(n, F.col(f"_c_{n}")).over(before_coarse).alias(f"_pc_{n}") for n in folds]
+        *keys,
+        "_coarse",
+        *[fold(n, F.col(f"_c_{n}")).over(before_coarse).alias(f"_pc_{n}") for n in folds],
+        *[c.alias(f"{n}_total") for n, c in whole.items()],
     )
-    offsets = join_on(fine_offsets, coarse_offsets, [*keys, "_coarse"])
+    offsets = join_on(fine_offsets, coarse_offsets, [*keys, "_coarse"], null_safe)
     within = chunked.select(
         *steps.columns,
         "_coarse",
         "_fine",
         *[fold(n, F.col(f"_in_{n}")).over(inside).alias(f"_w_{n}") for n in folds],
     )
-    return join_on(within, offsets, [*keys, "_coarse", "_fine"]).select(
+    return join_on(within, offsets, [*keys, "_coarse", "_fine"], null_safe).select(
         *steps.columns,
         *[merge(n, F.col(f"_w_{n}"), F.col(f"_pf_{n}"), F.col(f"_pc_{n}")).alias(n) for n in folds],
+        *[f"{n}_total" for n in whole],
     )
 
 
@@ -212,16 +221,15 @@ def exact_percentiles(
     Values are counted per (group, value) before any shuffle and the ranks come from `running`, so
     neither the rows nor the distinct values of a large group have to fit in one task.
     """
-    if not keys:
-        return exact_percentiles(df.withColumn("_all", F.lit(0)), ["_all"], value, levels, coarse, fine).drop("_all")
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("long").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranked = running(counts, keys, "_value", {"_cum": ("sum", F.col("_n"))}, coarse, fine)
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    placed = join_on(ranked, sizes, list(keys))
+    folds = {"_cum": ("sum", F.col("_n"))}
+    placed = running(
+        counts, keys, "_value", folds, coarse, fine, totals=True, null_safe=True
+    ).withColumnRenamed("_cum_total", "_size")
     lows, highs = {}, {}
     for name, p in levels.items():
         position = F.lit(p) * (F.col("_size") - 1)

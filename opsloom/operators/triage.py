@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsloom.schemas import CLOSED_STATES
+from opsloom.functions.calendar import on_days
 from opsloom.operators.quality import Clock, clock_column
 from opsloom.operators.scale import positions
 from opsloom.operators.windows import latest_by_key
+from opsloom.schemas import CLOSED_STATES
 
 PAGE_LIMIT = 500
 RISK_LIMIT = 200
@@ -73,8 +74,10 @@ def partition_range(lake: DataFrame, year: str, month: str, first_day: str, last
 
 
 def recent(df: DataFrame, ts: str, as_of: Clock, hours: int) -> DataFrame:
+    """Rows of the last hours; on the lake only their days are read."""
     clock = clock_column(as_of)
-    return df.where(F.col(ts).between(clock - F.make_dt_interval(hours=F.lit(hours)), clock))
+    start = clock - F.make_dt_interval(hours=F.lit(hours))
+    return on_days(df, start, clock).where(F.col(ts).between(start, clock))
 
 
 def slice_triage(

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from opsloom.functions.calendar import on_days
 from opsloom.functions.rounding import round_binary
 from opsloom.operators.quality import Clock, clock_column
-from opsloom.operators.scale import HOT_ROWS, join_back, running
+from opsloom.operators.scale import HOT_ROWS, all_of, join_back, running
 
 MINUTE = 60_000_000
 HOUR = 60 * MINUTE
@@ -34,8 +35,9 @@ def trailing_counts(
     at = F.unix_micros(ts)
     hit = flag.cast("long")
     none = F.lit(0).cast("long")
+    keyed = df.where(all_of([F.col(k).isNotNull() for k in by])) if by else df
     steps = (
-        df.select(
+        keyed.select(
             *by,
             F.inline(
                 F.array(
@@ -68,7 +70,10 @@ def trailing_window(
     row_id: str = "event_id",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Every event with count, breach count and breach rate of the minutes up to it, old end included."""
+    """Every event with count, breach count and breach rate of the minutes up to it, old end included.
+
+    Events without a `by` key belong to no window and get NULLs.
+    """
     counts = trailing_counts(df, ts, flag, minutes, by)
     keyed = df.withColumn("_at", F.unix_micros(ts))
     joined = join_back(keyed, counts, [*by, "_at"], "_rows", [row_id], hot_rows=hot_rows)
@@ -80,8 +85,9 @@ def trailing_window(
 def window_metrics(df: DataFrame, ts: str, flag: Column, as_of: Clock, minutes: int = 60) -> DataFrame:
     """One row: counts over [as_of - minutes, as_of]; an empty window has rate 0."""
     clock = clock_column(as_of)
-    inside = F.col(ts).between(clock - F.make_dt_interval(mins=F.lit(minutes)), clock)
-    totals = df.where(inside).agg(
+    start = clock - F.make_dt_interval(mins=F.lit(minutes))
+    inside = on_days(df, start, clock).where(F.col(ts).between(start, clock))
+    totals = inside.agg(
         F.count(F.lit(1)).alias("rolling_event_count"), F.count_if(flag).alias("rolling_breach_count")
     )
     return totals.select(

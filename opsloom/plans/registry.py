@@ -452,7 +452,13 @@ def triage_table(spark, sf_dir):
 def summary_kpis(spark, sf_dir):
     kpis = A.summary_kpis(exceptions(spark, sf_dir), sla(spark, sf_dir))
     top = F.col("highest_priority_exception")
-    return kpis.withColumns({"top_id": top.id, "top_score": top.priority_score}).drop("highest_priority_exception")
+    shown_top = {
+        "top_id": top.id,
+        "top_score": top.priority_score,
+        "top_status": top.sla_status,
+        "top_remaining": top.remaining_minutes,
+    }
+    return kpis.withColumns(shown_top).drop("highest_priority_exception")
 
 
 def _measure(names):
@@ -608,6 +614,18 @@ def lake_pruned_day(spark, sf_dir):
     )
 
 
+def scan_profile_day(spark, sf_dir):
+    """Count and mean duration of one day of the stored lake."""
+    root, _ = _written_lake(spark, sf_dir)
+    lake = L.read_event_lake(spark, f"{root}/{C.FACT}")
+    return A.scan_profile(Tr.partition_range(lake, "2024", "01", "16", "16"))
+
+
+def lake_daily_summary(spark, sf_dir):
+    root, _ = _written_lake(spark, sf_dir)
+    return shown(A.daily_summary(L.read_event_lake(spark, f"{root}/{C.FACT}")))
+
+
 def catalog_tables(spark, sf_dir):
     root = _written_star(spark, sf_dir)
     db = "ops_" + root.rsplit("-", 1)[1]
@@ -626,6 +644,8 @@ LAKE: dict[str, Query] = {
     "dimension_tables": dimension_tables,
     "lake_roundtrip": lake_roundtrip,
     "lake_pruned_day": lake_pruned_day,
+    "lake_daily_summary": lake_daily_summary,
+    "scan_profile_day": scan_profile_day,
     "catalog_tables": catalog_tables,
     "report_views": report_views,
 }

@@ -10,6 +10,7 @@ from opsloom import schemas as S
 from opsloom.operators import quality as Q
 from opsloom.operators import reports as A
 from opsloom.operators import triage as Tr
+from opsloom.operators import windows as W
 from opsloom.plans import ingest as G
 from opsloom.sources import catalog as C
 from opsloom.sources import lake as L
@@ -47,7 +48,14 @@ def test_lake_round_trip_and_pruning(spark, scratch):
     assert (row.event_id, row.hour, row.day_of_week, row.is_weekend) == ("EVT-2", 1, "Saturday", True)
     assert "day#" in partitions_read(day)
     narrow = A.hourly_trend(lake)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<timestamp:timestamp,status_code:bigint>" in narrow
+    assert "ReadSchema: struct<status_code:bigint,hour:int>" in narrow
+    recent = Tr.recent(lake, "timestamp", "2026-01-17 02:00:00", 24)
+    assert "year#" in partitions_read(recent) and [r.event_id for r in recent.collect()] == ["EVT-2"]
+    window = W.window_metrics(lake, "timestamp", F.col("status_code") >= 500, "2026-01-17 02:00:00")
+    assert tuple(window.first()) == (60, 1, 1, 100.0)
+    dates = A.daily_summary(lake)
+    assert "timestamp" not in dates._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    assert sorted(str(r.event_date) for r in dates.collect()) == ["2026-01-15", "2026-01-17"]
 
 
 def test_whole_day_rerun_replaces_and_partial_batch_appends(spark, scratch):

@@ -100,7 +100,7 @@ def test_running(spark, inclusive):
 
 def test_running_keeps_null_keys_apart(spark):
     steps = spark.createDataFrame([(None, 1, 1), (None, 90, 1), ("a", 50, 1)], "k string, t long, v long")
-    got = Sc.running(steps, ["k"], "t", {"n": ("sum", F.col("v"))}, 40, 10).collect()
+    got = Sc.running(steps, ["k"], "t", {"n": ("sum", F.col("v"))}, 40, 10, null_safe=True).collect()
     assert {(r.k, r.t): r.n for r in got} == {(None, 1): 1, (None, 90): 2, ("a", 50): 1}
 
 
