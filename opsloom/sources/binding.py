@@ -49,7 +49,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_key(id_col: Column) -> Column:
-    return F.format_string("EVT-%08d", id_col)
+    """EVT- and the number, at least eight digits."""
+    digits = id_col.cast("string")
+    return F.concat(F.lit("EVT-"), F.lpad(digits, F.greatest(F.length(digits), F.lit(8)), F.lit("0")))
 
 
 def bind_events(raw: DataFrame) -> DataFrame:
@@ -151,10 +153,7 @@ def bind_dirty_events(events: DataFrame) -> DataFrame:
     n = F.col("seq")
     text = F.concat(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
     return events.select(
-        F.when(n % 97 == 1, event_key(n - 1))
-        .when(n % 101 == 0, F.lit(None))
-        .otherwise(F.col("event_id"))
-        .alias("event_id"),
+        F.when((n % 97 == 1) | (n % 101 != 0), event_key(n - (n % 97 == 1).cast("long"))).alias("event_id"),
         F.when(n % 67 == 0, "not-a-ts")
         .when(n % 83 == 0, "2999-01-01T00:00:00+00:00")
         .otherwise(text)

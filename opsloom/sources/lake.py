@@ -10,7 +10,8 @@ from opsloom import schemas as S
 from opsloom.functions.calendar import parse_iso, with_calendar
 from opsloom.operators.scale import all_of
 
-NO_METRICS = "NO_METRICS_LOGGED"
+# The answer before the first validation run.
+NO_METRICS = ("NO_METRICS_LOGGED", "Validation pipeline has not run yet.")
 
 
 def conform_events(df: DataFrame) -> DataFrame:
@@ -106,9 +107,7 @@ def read_dq_metrics(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame(
-            [(NO_METRICS, "Validation pipeline has not run yet.")], "status string, detail string"
-        )
+        return spark.createDataFrame([NO_METRICS], "status string, detail string")
 
 
 def write_cases(sla: DataFrame, exceptions: DataFrame, path: str, mode: str = "append") -> None:

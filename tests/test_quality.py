@@ -47,6 +47,7 @@ def reasons(spark, changes, empty=(), **hot):
 
 
 NULL, DUP = S.ERR_NULL_MANDATORY, S.ERR_DUPLICATE_ID
+# A changed field and the codes it must raise.
 ROW_CASES = [
     *[({"status_code": c}, []) for c in (100, 200, 201, 400, 404, 500, 503, 599)],
     *[({"status_code": c}, [S.ERR_INVALID_STATUS_CODE]) for c in (99, 600, 999, -1, None)],

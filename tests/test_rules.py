@@ -11,6 +11,7 @@ from opsloom.functions.rounding import mean2, percent, round_binary
 
 START = datetime(2026, 1, 15, 12, tzinfo=timezone.utc)
 
+# SLA minutes per tier and severity.
 TARGETS = [
     ("Enterprise", "Critical", 180, 60),
     ("Enterprise", "High", 180, 120),
@@ -37,6 +38,7 @@ def test_sla_target(spark):
     assert got.where("got <> expected").collect() == []
 
 
+# SLA status at the boundaries.
 STATES = [
     *[(m, 100, "ON_TRACK") for m in (0, 10, 50, 75, 79.0, 79.9)],
     *[(m, 100, "AT_RISK") for m in (80.0, 80.1, 85.0, 90.0, 95.0, 99.0, 99.9)],
@@ -82,6 +84,7 @@ def test_sla_edges(spark):
     assert never.sla_status == "AT_RISK"
 
 
+# Band per case.
 BANDS = [
     ("BREACHED", 1.5, -30.0, "Enterprise", 200000.0, 10.0, "Critical", "P1"),
     ("AT_RISK", 0.95, 5.0, "Enterprise", 150000.0, 6.0, "Critical", "P1"),
@@ -117,6 +120,7 @@ def test_priority_bands(spark):
     assert all(0 <= g.priority_score <= 100 for g in got)
 
 
+# Reason texts per case.
 DRIVERS = [
     (("BREACHED", 1.2, -15.5, "Retail", 100.0, 0.0, "Low"), ["SLA breached (overdue by 15.5 min)"]),
     (("AT_RISK", 0.85, 12.4, "Retail", 100.0, 0.0, "Low"), ["SLA breach imminent in 12.4 minutes"]),

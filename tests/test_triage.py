@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from opsloom.operators import triage as Tr
 
+# Pushed scores and their order.
 ORDERS = [
     ([10, 20, 30, 40, 50], [50, 40, 30, 20, 10]),
     ([50, 40, 30, 20, 10], [50, 40, 30, 20, 10]),

@@ -10,6 +10,7 @@ from opsloom.operators import windows as Wn
 
 BASE = datetime(2026, 1, 15, 12, tzinfo=timezone.utc)
 
+# Event offsets in minutes, breach flags, window, expected counts.
 SCENARIOS = [
     ([-10, -5, -2], [True, False, True], 60, (3, 2)),
     ([-90, -70, -10], [True, True, False], 60, (1, 0)),
