@@ -1,6 +1,6 @@
 """Headline timings. Prints one JSON line.
 
-`queries` are seconds at $BENCH_SF_DIR, the best of two runs after one warm-up. `events_per_sec`
+`queries` are seconds at $BENCH_SF_DIR, the best of three runs after one warm-up. `events_per_sec`
 repeats the event table of that folder to a fixed number of rows, where work outweighs the fixed
 cost of a Spark job, for the operations the baseline gives rates for.
 """
@@ -53,7 +53,7 @@ def run(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def best(action, runs: int = 2) -> float:
+def best(action, runs: int = 3) -> float:
     action()
     times = []
     for _ in range(runs):
