@@ -147,8 +147,10 @@ def running(
 
     chunked = steps.withColumns(
         {
-            "_coarse": chunk(F.col(at), coarse),
-            "_fine": chunk(F.col(at), fine),
+            # Never NULL: otherwise each consumer would filter the steps in its own way, and Spark
+            # could not share their shuffle.
+            "_coarse": F.coalesce(chunk(F.col(at), coarse), F.lit(0).cast("long")),
+            "_fine": F.coalesce(chunk(F.col(at), fine), F.lit(0).cast("long")),
             **{f"_in_{n}": column for n, (_, column) in folds.items()},
         }
     )

@@ -34,31 +34,25 @@ def trailing_counts(
     width = minutes * MINUTE
     at = F.unix_micros(ts)
     hit = flag.cast("long")
-    none = F.lit(0).cast("long")
-    keyed = df.where(all_of([F.col(k).isNotNull() for k in by])) if by else df
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def step(moment: Column, enters: Column, leaves: Column, hits: Column) -> Column:
+        return F.struct(moment.alias("_at"), enters.alias("_rows"), leaves.alias("_left"), hits.alias("_hits"))
+
+    keyed = df.where(all_of([F.col(c).isNotNull() for c in (ts, *by)]))
     steps = (
         keyed.select(
-            *by,
-            F.inline(
-                F.array(
-                    F.struct(
-                        at.alias("_at"), F.lit(1).cast("long").alias("_n"), hit.alias("_b"), F.lit(1).cast("long").alias("_rows")
-                    ),
-                    F.struct(
-                        (at + F.lit(width + 1)).alias("_at"), F.lit(-1).cast("long").alias("_n"), (-hit).alias("_b"), none.alias("_rows")
-                    ),
-                )
-            ),
+            *by, F.inline(F.array(step(at, one, none, hit), step(at + F.lit(width + 1), none, one, -hit)))
         )
         .groupBy(*by, "_at")
-        .agg(F.sum("_n").alias("_n"), F.sum("_b").alias("_b"), F.sum("_rows").alias("_rows"))
+        .agg(F.sum("_rows").alias("_rows"), F.sum("_left").alias("_left"), F.sum("_hits").alias("_hits"))
     )
     folds = {
-        "rolling_event_count": ("sum", F.col("_n")),
-        "rolling_breach_count": ("sum", F.col("_b")),
+        "rolling_event_count": ("sum", F.col("_rows") - F.col("_left")),
+        "rolling_breach_count": ("sum", F.col("_hits")),
     }
     totals = running(steps, by, "_at", folds, coarse=HOUR, fine=MINUTE // 60)
-    return totals.where(F.col("_rows") > 0).drop("_n", "_b")
+    return totals.where(F.col("_rows") > 0).drop("_left", "_hits")
 
 
 def trailing_window(

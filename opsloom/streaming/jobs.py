@@ -60,7 +60,7 @@ def stream_sliding(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped so far, from the query's own progress reports."""
+    """Rows the watermark dropped, over the progress reports the query keeps (its latest batches)."""
     return sum(
         op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
     )
