@@ -324,7 +324,8 @@ def assert_score_bounds(exceptions: DataFrame) -> DataFrame:
 
 # --- lifecycle and reconciliation ---------------------------------------------------------------
 
-HOUR = 3_600_000_000
+# Microseconds.
+DAY = 86_400_000_000
 SECOND = 1_000_000
 
 
@@ -340,9 +341,9 @@ def illegal_transitions(log: DataFrame) -> DataFrame:
     maximum in bounded time chunks, so a case with very many changes is not one task.
     """
     steps = log.withColumn("_at", F.unix_micros("changed_at"))
-    latest = F.struct("_at", "seq", "state")
+    latest = {"_prev": ("max", F.struct("_at", "seq", "state"))}
     seen = running(
-        steps, ["case_id"], "_at", {"_prev": ("max", latest)}, 24 * HOUR, 60 * SECOND, inclusive=False, tie_break=["seq"]
+        steps, ["case_id"], "_at", latest, coarse=DAY, fine=SECOND, inclusive=False, tie_break=["seq"]
     )
     before = F.col("_prev.state")
     return seen.where(before.isNotNull() & ~_is_legal(before, F.col("state"))).select(

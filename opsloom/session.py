@@ -13,7 +13,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Where every partition of one join side is measured small, hash it instead of sorting both.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

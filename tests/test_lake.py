@@ -12,6 +12,7 @@ from opsloom.operators import reports as A
 from opsloom.operators import triage as Tr
 from opsloom.operators import windows as W
 from opsloom.plans import ingest as G
+from opsloom.plans.cases import detect_exceptions
 from opsloom.sources import catalog as C
 from opsloom.sources import lake as L
 from opsloom.sources.raw import read_dimension, read_raw_events
@@ -155,6 +156,17 @@ def test_case_job_is_incremental(spark, scratch):
     assert limited.count() == 1
 
 
+def test_detected_records_have_the_declared_types(spark, scratch):
+    events = L.conform_events(raw(spark, scratch))
+    none = spark.createDataFrame([], S.CUSTOMER), spark.createDataFrame([], S.SERVICE)
+    sla, exceptions = detect_exceptions(events, *none, "2026-01-18 00:00:00")
+    for df, declared in ((sla, S.SLA_RECORD), (exceptions, S.EXCEPTION_RECORD)):
+        assert df.dtypes == [(f.name, f.dataType.simpleString()) for f in declared]
+    (row,) = exceptions.collect()
+    assert 200 <= row.financial_exposure <= 4000 and row.created_at == row.updated_at
+    assert sla.first().target_minutes == 120
+
+
 def test_incremental_loads(spark):
     target = spark.createDataFrame([("a", "old")], "customer_id string, industry string")
     incoming = spark.createDataFrame(
