@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from opsloom.functions.barrier import computed_once
 from opsloom.functions.rounding import round_binary
 from opsloom.session import staged
 
@@ -70,16 +71,18 @@ def join_back(
     columns that tell rows apart.
     """
     extra = [c for c in per_key.columns if c not in keys]
+    # Always 0 and never NULL, but not a literal: a literal would be folded out of the join keys and
+    # with it the salt out of the shuffle. Both sides below read this one shuffle; the count is fixed
+    # above it, or the two filters would move below and make it two.
+    zero = F.coalesce(F.pmod(F.col(count_col), F.lit(1)).cast("long"), F.lit(0).cast("long"))
+    salted_keys = per_key.withColumn("_salt", zero)
+    shared = computed_once(salted_keys.repartition(*keys, "_salt"), [count_col])
 
-    def side(kept: Column, prefix: str) -> DataFrame:
-        return per_key.where(kept).select(*keys, *[F.col(c).alias(prefix + c) for c in extra])
+    def side(kept: Column, prefix: str, *salt: str) -> DataFrame:
+        return shared.where(kept).select(*keys, *salt, *[F.col(c).alias(prefix + c) for c in extra])
 
     hot = side(F.col(count_col) > hot_rows, "_hot_")
-    # Always 0, but not a literal: a literal would be folded out of the join keys and with it the
-    # salt out of the shuffle.
-    cold = side(F.col(count_col) <= hot_rows, "_cold_").withColumn(
-        "_salt", F.pmod(F.col("_cold_" + count_col), F.lit(1)).cast("long")
-    )
+    cold = side(F.col(count_col) <= hot_rows, "_cold_", "_salt")
     apart = F.col(f"_hot_{count_col}").isNotNull() | any_of([F.col(k).isNull() for k in keys])
     if unmatched is not None:
         apart = apart | unmatched
