@@ -102,10 +102,30 @@ def write_batch(df: DataFrame, batch: int, path: str, partitions: Sequence[str]
     )
 
 
+def adaptive(handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """Run a batch handler with adaptive execution, which a stream's session has switched off.
+
+    The handler's own queries are plain batch queries; they need it for measured joins and for
+    splitting a day that holds most of a batch.
+    """
+    name = "spark.sql.adaptive.enabled"
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        conf = batch.sparkSession.conf
+        before = conf.get(name)
+        conf.set(name, "true")
+        try:
+            handle(batch, batch_id)
+        finally:
+            conf.set(name, before)
+
+    return run
+
+
 def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Feed everything that is there to `handle`, batch by batch, and stop."""
     query = (
-        stream.writeStream.foreachBatch(handle)
+        stream.writeStream.foreachBatch(adaptive(handle))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
