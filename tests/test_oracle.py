@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from opsloom.plans import oracle, registry
 from oracle_check import connect, difference
 
 ROWS_ONLY = {"latency_approx", "defects", "exposure_fallback"}
@@ -14,11 +15,12 @@ def con(sf):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(registry.queries()) - set(oracle.oracle_sql()) == ROWS_ONLY
+    assert set(oracle.oracle_sql()) <= set(registry.queries())
+    assert set(registry.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, con, sf, name):
     df = entry.queries()[name](spark, sf)
     if name in ROWS_ONLY:
