@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsloom.llm import simhash
+from opsloom.llm import simhash, substrings
 from opsloom.llm.common import table
 
 
@@ -14,8 +14,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.selectExpr("doc_id", "_n_words AS n_words", "_n_removed AS n_removed", "_kept_sha256 AS kept_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_simhash": op5_simhash}
+    return {"op5_simhash": op5_simhash, "op7_substrings": op7_substrings}
 
 
 def oracle_sql() -> dict[str, str]:
