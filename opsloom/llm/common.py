@@ -15,7 +15,7 @@ __all__ = ["ready", "table", "staged", "text_or_empty", "mapped", "held_out", "s
 # Python workers see texts in batches of this many rows, and numpy sees at most this many bytes of
 # them at a time (a longer single text is taken alone).
 ROWS_PER_BATCH = 1000
-BYTES_PER_SLICE = 2_000_000
+BYTES_PER_SLICE = 500_000
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 

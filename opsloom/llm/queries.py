@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsloom.llm import simhash, substrings
+from opsloom.llm import mixing, packing, simhash, substrings
 from opsloom.llm.common import table
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -19,8 +23,12 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "_n_words AS n_words", "_n_removed AS n_removed", "_kept_sha256 AS kept_sha256")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_simhash": op5_simhash, "op7_substrings": op7_substrings}
+    return {"op3_mixing": op3_mixing, "op5_simhash": op5_simhash, "op7_substrings": op7_substrings, "op8_packing": op8_packing}
 
 
 def oracle_sql() -> dict[str, str]:

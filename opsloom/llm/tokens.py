@@ -7,7 +7,7 @@ hash of any range follows from two running sums, whatever the length of the rang
 
 from __future__ import annotations
 
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 
@@ -15,10 +15,9 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-@cache
-def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    base = int(np.random.default_rng([seed, 1]).integers(1 << 62, 1 << 63)) * 2 + 1
-    base %= 1 << 64
+@lru_cache(maxsize=8)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    base = int(np.random.default_rng(1).integers(1 << 61, 1 << 63)) * 2 + 1
     out = []
     for b in (base, pow(base, -1, 1 << 64)):
         steps = np.full(size, b, np.uint64)
@@ -27,9 +26,9 @@ def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def powers(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n of a seeded odd base and of its inverse, modulo 2^64."""
-    return _powers(seed, 1 << max(16, (n + 1).bit_length()))
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0..n of a fixed odd base and of its inverse, modulo 2^64."""
+    return _powers(1 << max(16, (n + 1).bit_length()))
 
 
 @cache
@@ -82,13 +81,13 @@ class Words:
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         first = np.flatnonzero(self.text[:n] == self.text[size - 1 :])
-        up, down = powers(seed, len(hashes))
+        up, down = powers(len(hashes))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)])])
-        return first, mix((sums[first + size] - sums[first]) * down[first])
+        return first, mix((sums[first + size] - sums[first]) * down[first] + byte_values(seed)[0])
 
 
 def range_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-    up, down = powers(seed, len(buffer))
+    up, down = powers(len(buffer))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(byte_values(seed)[buffer] * up[: len(buffer)])])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
