@@ -6,14 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opsloom.llm import mixing, packing, simhash, substrings
+from opsloom.llm import chat, mixing, packing, quality, rules, simhash, substrings, toxicity
 from opsloom.llm.common import table
 
 
+SCORED = ("doc_id", "held_out", "score", "predicted")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(*SCORED)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.line_rules(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return found.drop("lost", "clean_text")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,9 +39,26 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(*SCORED)
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.format_turns(chat.probe_turns(table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_mixing": op3_mixing, "op5_simhash": op5_simhash, "op7_substrings": op7_substrings, "op8_packing": op8_packing}
+    return {
+        "op2_quality": op2_quality,
+        "op3_mixing": op3_mixing,
+        "op4_line_rules": op4_line_rules,
+        "op5_simhash": op5_simhash,
+        "op7_substrings": op7_substrings,
+        "op8_packing": op8_packing,
+        "op9_toxicity": op9_toxicity,
+        "op10_chat": op10_chat,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_line_rules": rules.SQL, "op10_chat": chat.SQL}
