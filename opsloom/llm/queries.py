@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opsloom.llm import chat, mixing, packing, quality, rules, simhash, substrings, toxicity
+from opsloom.llm import chat, embeddings, html, mixing, packing, quality, rules, simhash, substrings, toxicity
 from opsloom.llm.common import table
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
 SCORED = ("doc_id", "held_out", "score", "predicted")
 
 
@@ -30,6 +36,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.selectExpr("doc_id", "_n_words AS n_words", "_n_removed AS n_removed", "_kept_sha256 AS kept_sha256")
@@ -49,10 +59,12 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_main_text": op1_main_text,
         "op2_quality": op2_quality,
         "op3_mixing": op3_mixing,
         "op4_line_rules": op4_line_rules,
         "op5_simhash": op5_simhash,
+        "op6_embeddings": op6_embeddings,
         "op7_substrings": op7_substrings,
         "op8_packing": op8_packing,
         "op9_toxicity": op9_toxicity,
