@@ -94,7 +94,7 @@ def rates(spark: SparkSession, sf_dir: str) -> dict[str, float]:
         run(Q.validate_events(raw, B.DIRTY_AS_OF, star.customers, star.services, star.locations))
 
     def write() -> None:
-        L.write_event_lake(spark.read.parquet(clean), lake)
+        L.write_event_lake(spark.read.parquet(clean), lake, whole_days=True)
 
     seconds = {"validate": best(validate, 1), "lake_write": best(write, 1)}
     stored = L.read_event_lake(spark, lake)

@@ -40,24 +40,33 @@ def ingest(
     customers: DataFrame | None = None,
     services: DataFrame | None = None,
     locations: DataFrame | None = None,
-    whole_days: bool = True,
+    whole_days: bool = False,
+    run: str | None = None,
 ) -> DataFrame:
     """Validate a raw batch, write its three outputs and return the metrics row.
 
     The flagged rows are staged once, split by outcome, so lake and quarantine each read only their
-    half and the rules run a single time.
+    half and the rules run a single time. A batch may be run again: the lake takes only new ids, and
+    the quarantine keeps one copy per `run`, which is by default a hash of the batch's rows.
     """
     flagged = Q.validate_events(raw, as_of, customers, services, locations)
     table = staged(flagged.withColumn("_rejected", Q.is_rejected()), "flagged", ("_rejected",))
     valid = table.where(~F.col("_rejected")).drop("_rejected", "rejection_reasons")
     rejected = table.where("_rejected").drop("_rejected")
     L.write_event_lake(valid, zones.lake, whole_days)
-    L.write_quarantine(Q.quarantine_envelope(rejected, as_of), zones.quarantine)
+    L.write_quarantine(Q.quarantine_envelope(rejected, as_of), zones.quarantine, run=run or _batch_id(table))
     metrics = Q.dq_metrics(table)
     L.write_dq_metrics(metrics, zones.metrics)
     return metrics
 
 
+def _batch_id(batch: DataFrame) -> str:
+    """Equal for equal rows, in any order."""
+    row = F.xxhash64(*[c for c in batch.columns if c != "seq"])
+    total, size = batch.agg(F.sum(row.cast("decimal(38,0)")), F.count(F.lit(1))).first()
+    return f"{size}-{int(total or 0) % (1 << 64):x}" if size else "0"
+
+
 def build_cases(
     spark: SparkSession,
     events: DataFrame,
@@ -68,7 +77,12 @@ def build_cases(
     known: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """Score new failures, append SLA and exception records and return the staged cases."""
+    """Score new failures, append SLA and exception records and return the staged cases.
+
+    `known` are the exceptions that exist; by default those the target holds.
+    """
+    if known is None:
+        known = L.stored_or_none(lambda: L.read_exceptions(spark, zones.cases))
     cases = staged(
         score_cases(events, customers, services, as_of, existing=known, **options), "cases"
     )

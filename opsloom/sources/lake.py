@@ -2,38 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsloom import schemas as S
 from opsloom.functions.calendar import parse_iso, with_calendar
-from opsloom.operators.scale import all_of
 
 # The answer before the first validation run.
 NO_METRICS = ("NO_METRICS_LOGGED", "Validation pipeline has not run yet.")
 
 
-def conform_events(df: DataFrame) -> DataFrame:
-    """Declared column list, order and types of the lake, with calendar columns; texts are parsed."""
+def conform_events(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Declared column list, order and types of the lake, with calendar columns; texts are parsed.
+    Columns to `keep` follow as they are."""
     ts = F.col("timestamp")
     if dict(df.dtypes)["timestamp"] == "string":
         ts = parse_iso(ts)
     absent = {f.name: F.lit(None) for f in S.EVENT.fields if f.name not in df.columns}
     typed = with_calendar(df.withColumns({**absent, "timestamp": ts.cast("timestamp")}))
-    return typed.select(*[F.col(f.name).cast(f.dataType) for f in S.LAKE_EVENT.fields])
+    return typed.select(*[F.col(f.name).cast(f.dataType) for f in S.LAKE_EVENT.fields], *keep)
 
 
-def write_event_lake(df: DataFrame, path: str, whole_days: bool = True) -> None:
+def write_event_lake(df: DataFrame, path: str, whole_days: bool = False) -> None:
     """Write valid events as Snappy Parquet below year/month/day.
 
-    A batch of whole days replaces exactly its days, so running it again changes nothing. A partial
-    or late batch (`whole_days` off) appends only event ids its days do not hold yet. The rebalance
-    hint splits a day with much of the data over several tasks and joins small ones.
+    A batch appends the event ids the lake does not hold yet, so running it again, in parts or late
+    loses and doubles nothing. Only a batch known to have every row of its days may replace them
+    (`whole_days`). The rebalance hint splits a day with much of the data over several tasks and
+    joins small ones.
     """
-    rows = conform_events(df)
-    if not whole_days:
-        rows = new_lake_rows(rows, path)
+    rows = conform_events(df) if whole_days else new_lake_rows(df, path)
     writer = rows.hint("rebalance", *S.LAKE_PARTITIONS).write.option("compression", "snappy")
     if whole_days:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -42,27 +43,35 @@ def write_event_lake(df: DataFrame, path: str, whole_days: bool = True) -> None:
     writer.partitionBy(*S.LAKE_PARTITIONS).parquet(path)
 
 
-def new_lake_rows(rows: DataFrame, path: str) -> DataFrame:
-    """Rows whose event id their own day in the lake does not hold, one per id.
+def new_lake_rows(df: DataFrame, path: str) -> DataFrame:
+    """Rows whose event id the lake does not hold on any day; of a repeated id the first by `seq`.
 
-    The days of the batch, at most one per calendar day, become literals, so the scan of the lake
-    opens only their folders.
+    Ids are unique over the whole table, so the check reads the id column of all of it, and no
+    other. Rows without an id are all new. Without `seq` the least row of an id counts as its first.
     """
-    keys = [*S.LAKE_PARTITIONS, "event_id"]
-    rest = [c for c in rows.columns if c != "event_id"]
-    unique = rows.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_row"))
-    unique = unique.select("event_id", "_row.*").select(*rows.columns)
+    order = ["seq"] if "seq" in df.columns else []
+    kept = conform_events(df, order)
+    rest = [c for c in kept.columns if c not in ("event_id", *order)]
+    at = F.col("seq") if order else F.struct(*rest)
+    has_id = F.col("event_id").isNotNull()
+    first = kept.where(has_id).groupBy("event_id").agg(F.min_by(F.struct(*rest), at).alias("_row"))
+    fresh = first.select("event_id", "_row.*")
+    spark = df.sparkSession
+    stored = stored_or_none(lambda: read_event_lake(spark, path).select("event_id"))
+    if stored is not None:
+        fresh = fresh.join(stored, "event_id", "left_anti")
+    names = S.LAKE_EVENT.names
+    return fresh.select(*names).unionByName(kept.where(~has_id).select(*names))
+
+
+def stored_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """A table that an earlier run may have written."""
     try:
-        stored = read_event_lake(rows.sparkSession, path).select(*keys)
+        return read()
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return unique
-    days = rows.select(*S.LAKE_PARTITIONS).distinct().collect()
-    touched = F.lit(False)
-    for day in days:
-        touched = touched | all_of([F.col(c) == day[c] for c in S.LAKE_PARTITIONS])
-    return unique.join(stored.where(touched), keys, "left_anti")
+        return None
 
 
 def read_event_lake(spark: SparkSession, path: str) -> DataFrame:
@@ -76,8 +85,13 @@ def write_dimensions(dims: dict[str, DataFrame], path: str) -> None:
         df.hint("rebalance").write.mode("overwrite").option("compression", "snappy").parquet(f"{path}/{name}")
 
 
-def write_quarantine(envelope: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
-    """Rejected rows with their envelope below the date of quarantine."""
+def write_quarantine(
+    envelope: DataFrame, path: str, fmt: str = "parquet", mode: str = "append", run: str | None = None
+) -> None:
+    """Rejected rows with their envelope below the date of quarantine.
+
+    With a `run` they lie below run_id=<run>, and writing the same run again replaces them.
+    """
     at = F.col("quarantined_at")
     dated = envelope.withColumns(
         {
@@ -86,7 +100,11 @@ def write_quarantine(envelope: DataFrame, path: str, fmt: str = "parquet", mode:
             "day": F.date_format(at, "dd"),
         }
     )
-    dated.hint("rebalance").write.mode(mode).partitionBy(*S.LAKE_PARTITIONS).format(fmt).save(path)
+    writer = dated.hint("rebalance").write.mode(mode)
+    if run is not None:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "static")
+        path = f"{path}/run_id={run}"
+    writer.partitionBy(*S.LAKE_PARTITIONS).format(fmt).save(path)
 
 
 def write_dq_metrics(metrics: DataFrame, path: str) -> None:
@@ -111,7 +129,15 @@ def read_dq_metrics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_cases(sla: DataFrame, exceptions: DataFrame, path: str, mode: str = "append") -> None:
-    """SLA records by year and month of their start; exceptions beside them."""
+    """SLA records by year and month of their start; exceptions beside them.
+
+    Appending leaves out records whose id the table holds, in each table for itself: a run that is
+    repeated, or that ended between the two writes, completes both and doubles nothing.
+    """
+    if mode == "append":
+        spark = sla.sparkSession
+        sla = _absent(sla, stored_or_none(lambda: read_sla(spark, path)), "sla_id")
+        exceptions = _absent(exceptions, stored_or_none(lambda: read_exceptions(spark, path)), "exception_id")
     start = F.col("start_time")
     dated = sla.withColumns({"year": F.date_format(start, "yyyy"), "month": F.date_format(start, "MM")})
     dated.hint("rebalance", "year", "month").write.mode(mode).partitionBy("year", "month").parquet(
@@ -120,6 +146,10 @@ def write_cases(sla: DataFrame, exceptions: DataFrame, path: str, mode: str = "a
     exceptions.hint("rebalance").write.mode(mode).parquet(f"{path}/fact_exception")
 
 
+def _absent(rows: DataFrame, stored: DataFrame | None, key: str) -> DataFrame:
+    return rows if stored is None else rows.join(stored.select(key), key, "left_anti").select(*rows.columns)
+
+
 def read_sla(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.SLA_RECORD).parquet(f"{path}/fact_sla_record").select(*S.SLA_RECORD.names)
 
