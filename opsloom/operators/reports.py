@@ -243,7 +243,8 @@ def summary_kpis(exceptions: DataFrame, sla: DataFrame) -> DataFrame:
         "financial_exposure",
         "reason_drivers",
     )
-    rank = F.struct((-F.col("priority_score")).alias("s"), F.col("exception_id").alias("i"))
+    score = F.col("priority_score")
+    rank = F.struct(score.isNull().alias("n"), (-score).alias("s"), F.col("exception_id").alias("i"))
     totals = exceptions.agg(
         F.count(F.lit(1)).alias("total_exceptions"),
         F.count_if(is_active()).alias("active_backlog"),

@@ -94,11 +94,11 @@ def transition_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
+    # A pattern names a single file as well as a folder of part files.
     raw = (
         spark.readStream.schema(B.TABLES["events"])
-        .option("pathGlobFilter", "events.parquet")
         .option("maxFilesPerTrigger", 1)
-        .parquet(sf_dir)
+        .parquet(f"{sf_dir}/[e]vents.parquet")
     )
     return B.bind_events(raw)
 

@@ -173,3 +173,16 @@ def test_lake_stream_equals_batch_and_survives_replay(spark, sf, scratch):
     assert outcome() == want
     m = spark.read.parquet(paths[2])
     assert m.count() == PARTS and m.agg(F.sum("rows_processed")).first()[0] == 1000
+
+
+def test_table_as_a_folder_of_part_files(spark, sf, scratch):
+    from opsloom.plans import registry
+
+    spark.read.parquet(f"{sf}/events.parquet").repartition(3).write.parquet(f"{scratch}/events.parquet")
+    one, many = (registry.event_stream(spark, d).drop("clock") for d in (sf, scratch))
+    counts = []
+    for i, stream in enumerate((one, many)):
+        query = stream.writeStream.format("memory").queryName(f"rows_{i}").trigger(availableNow=True).start()
+        query.awaitTermination()
+        counts.append((spark.table(f"rows_{i}").count(), len([p for p in query.recentProgress if p["numInputRows"]])))
+    assert counts[0][0] == counts[1][0] > 0 and counts[1][1] == 3
