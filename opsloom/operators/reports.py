@@ -1,7 +1,7 @@
 """Aggregated reports and measures.
 
 Facts are aggregated by their own key first, with partial sums before the shuffle, and dimensions
-are joined to the aggregates, so the row-level fact is shuffled by no report.
+are joined to the aggregates. Only the latency distribution joins row-level facts first.
 """
 
 from __future__ import annotations
