@@ -143,18 +143,23 @@ def rounded(rows: DataFrame, seed: int) -> DataFrame:
 
 def _closer(taken: DataFrame) -> DataFrame:
     """Per source, add or drop the one extra copy that brings its words closest to the target."""
-    delta = F.when(F.col("prob") > 0, -F.col("size")).otherwise(F.col("size"))
-    sums = taken.groupBy("source_row").agg(
-        (F.first("target") - F.sum((F.col("base") + F.col("prob")) * F.col("size"))).alias("miss")
+    totals = taken.groupBy("source_row").agg(
+        F.first("target").alias("target"), F.sum((F.col("base") + F.col("prob")) * F.col("size")).alias("words")
     )
-    better = F.abs(F.col("miss") - F.col("delta")) < F.abs("miss")
-    best = (
+    sums = totals.select("source_row", (F.col("target") - F.col("words")).alias("miss"))
+    # One candidate per source, size and state is enough, so a hot source is combined before the join.
+    candidates = (
         taken.where("may_round")
-        .withColumn("delta", delta)
-        .join(sums, "source_row")
-        .where(better)
+        .groupBy("source_row", "size", "prob")
+        .agg(F.min(F.struct("key", "row")).alias("least"))
+        .withColumn("delta", F.when(F.col("prob") > 0, -F.col("size")).otherwise(F.col("size")))
+    )
+    after = F.abs(F.col("miss") - F.col("delta"))
+    best = (
+        candidates.join(sums, "source_row")
+        .where(after < F.abs("miss"))
         .groupBy("source_row")
-        .agg(F.min(F.struct(F.abs(F.col("miss") - F.col("delta")), "key", "row")).alias("best"))
+        .agg(F.min(F.struct(after, "least.key", "least.row")).alias("best"))
         .select(F.col("best.row").alias("row"), F.lit(True).alias("_flip"))
     )
     flipped = F.when(F.col("_flip"), 1 - F.col("prob")).otherwise(F.col("prob"))
