@@ -121,7 +121,9 @@ def rounded(rows: DataFrame, seed: int) -> DataFrame:
         *[c.split()[0] for c in ROW.split(", ")]
     )
     keys = ["source_row", "band", "sub"]
-    out = staged(split.groupBy(*keys).applyInPandas(_chained(seed, 0), ROW), "chained")
+    # Dealt out by the parts as well: the join's deal by source and band would satisfy the grouping.
+    dealt = split.repartition(*keys)
+    out = staged(dealt.groupBy(*keys).applyInPandas(_chained(seed, 0), ROW), "chained")
     done = out.where(~_open())
     left = out.where(_open())
     most, span = left.agg(F.max("sub"), F.max("band")).first()
