@@ -93,16 +93,36 @@ def transition_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    """The table, a file or a folder of part files, as a stream."""
     # A pattern names a single file as well as a folder of part files.
-    raw = (
-        spark.readStream.schema(B.TABLES["events"])
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{sf_dir}/[e]vents.parquet")
-    )
+    return _file_stream(spark, f"{sf_dir}/[e]vents.parquet")
+
+
+def _file_stream(spark: SparkSession, path: str) -> DataFrame:
+    prepare(spark)
+    raw = spark.readStream.schema(B.TABLES["events"]).option("maxFilesPerTrigger", 1).parquet(path)
     return B.bind_events(raw)
 
 
+DELIVERIES = 3
+
+
+def delivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events as a stream of three deliveries, out of order.
+
+    Each holds ten days of the month, but a fifth of the rows, and every row that repeats an id once
+    it is made dirty, come one delivery late.
+    """
+    path = scratch_path(spark, "deliveries")
+    events, n = B.table(spark, sf_dir, "events"), F.col("event_id")
+    block = F.floor((F.dayofmonth(F.col("ts").cast("timestamp")) - 1) / 10).cast("int")
+    moved = (n % 97 != 0) & ((n % 97 == 1) | (n % 5 == 2))
+    part = F.least(block + moved.cast("int"), F.lit(DELIVERIES - 1))
+    for i in range(DELIVERIES):
+        events.where(part == i).write.mode("append").parquet(path)
+    return _file_stream(spark, path)
+
+
 def days(lake: DataFrame) -> DataFrame:
     return lake.groupBy(*S.LAKE_PARTITIONS).agg(
         F.count(F.lit(1)).alias("total_events"), F.sum("duration_ms").alias("total_duration_ms")
@@ -670,30 +690,49 @@ def _sink_to_files(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 def stream_validate(spark, sf_dir):
     s = B.bind_star(spark, sf_dir)
-    raw = B.bind_dirty_events(event_stream(spark, sf_dir))
+    raw = B.bind_dirty_events(delivered_events(spark, sf_dir))
     checked = St.stream_validate(raw, s.customers, s.services, s.locations, B.DIRTY_AS_OF)
     return shown(_sink_to_files(spark, checked.select("seq", "event_id", "rejection_reasons")))
 
 
 def stream_dedup(spark, sf_dir):
     out = scratch_path(spark, "dedup")
-    raw = B.bind_dirty_events(event_stream(spark, sf_dir)).select("seq", "event_id")
+    raw = B.bind_dirty_events(delivered_events(spark, sf_dir)).select("seq", "event_id")
     St.run_available(raw, St.dedup_handler(out), scratch_path(spark, "checkpoint"))
     return spark.read.schema("seq long, event_id string, is_duplicate boolean").parquet(out).drop(St.BATCH)
 
 
 def stream_sliding(spark, sf_dir):
-    return shown(_sink_to_files(spark, St.stream_sliding(event_stream(spark, sf_dir), "timestamp", is_failure())))
+    out = scratch_path(spark, "sliding")
+    # Deliveries are up to twenty days out of order.
+    windows = St.stream_sliding(delivered_events(spark, sf_dir), "timestamp", is_failure(), late="30 days")
+    St.run_available(windows, St.sliding_handler(out), scratch_path(spark, "checkpoint"), "update")
+    return shown(St.current_windows(spark, out))
 
 
-def stream_trailing(spark, sf_dir):
+def _run_trailing(spark, sf_dir, late_days):
     out = scratch_path(spark, "trailing")
-    rows = event_stream(spark, sf_dir).select(
+    rows = delivered_events(spark, sf_dir).select(
         "event_id", "customer_id", "timestamp", is_failure().alias("is_breach")
     )
-    handler = St.trailing_handler(out, "timestamp", "is_breach", 60, ("customer_id",))
+    handler = St.trailing_handler(
+        out, "timestamp", "is_breach", 60, ("customer_id",), late_minutes=late_days * 24 * 60
+    )
     St.run_available(rows, handler, scratch_path(spark, "checkpoint"))
-    return spark.read.parquet(out).select(*TRAILING_COLUMNS)
+    return out
+
+
+def stream_trailing(spark, sf_dir):
+    """What the watermark closed, and the rest as it stands at the end of the input."""
+    out = _run_trailing(spark, sf_dir, 11)
+    closed = spark.read.parquet(f"{out}/metrics").select(*TRAILING_COLUMNS)
+    rest = St.held_metrics(spark, out, "timestamp", "is_breach", 60, ("customer_id",))
+    return closed.unionByName(rest.select(*TRAILING_COLUMNS))
+
+
+def late_rows(spark, sf_dir):
+    """With one day of patience, what a delivery late costs."""
+    return St.late_rows(spark, _run_trailing(spark, sf_dir, 1))
 
 
 def stream_exceptions(spark, sf_dir):
@@ -707,7 +746,7 @@ def stream_exceptions(spark, sf_dir):
         exposures=B.bind_exposures(B.table(spark, sf_dir, "orders")),
         team_pattern=TEAM_PATTERN,
     )
-    St.run_available(event_stream(spark, sf_dir), handler, scratch_path(spark, "checkpoint"))
+    St.run_available(delivered_events(spark, sf_dir), handler, scratch_path(spark, "checkpoint"))
     return shown(spark.read.parquet(out).drop(St.BATCH))
 
 
@@ -717,7 +756,7 @@ def stream_lake(spark, sf_dir):
     handler = St.lake_handler(
         f"{root}/lake", f"{root}/quarantine", f"{root}/metrics", s.customers, s.services, s.locations, B.DIRTY_AS_OF
     )
-    St.run_available(B.bind_dirty_events(event_stream(spark, sf_dir)), handler, scratch_path(spark, "checkpoint"))
+    St.run_available(B.bind_dirty_events(delivered_events(spark, sf_dir)), handler, scratch_path(spark, "checkpoint"))
     return days(L.read_event_lake(spark, f"{root}/lake"))
 
 
@@ -726,6 +765,7 @@ STREAMS: dict[str, Query] = {
     "stream_dedup": stream_dedup,
     "stream_sliding": stream_sliding,
     "stream_trailing": stream_trailing,
+    "late_rows": late_rows,
     "stream_exceptions": stream_exceptions,
     "stream_lake": stream_lake,
 }

@@ -7,6 +7,7 @@ batch below its own `batch_id` partition that a replay overwrites, so a restart
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,8 +60,11 @@ def stream_sliding(
     )
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped, over the progress reports the query keeps (its latest batches)."""
+def dropped_from_windows(query: StreamingQuery) -> int:
+    """Late rows as Spark counts them: once per window they belong to, over its latest progress reports.
+
+    `late_rows` has them as rows and from the first batch on.
+    """
     return sum(
         op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
     )
@@ -69,14 +73,8 @@ def late_rows(query: StreamingQuery) -> int:
 # --- batch tables -------------------------------------------------------------------------------
 
 
-def _stored(
-    spark: SparkSession, path: str, schema: T.StructType, before: int, keep: int | None = None
-) -> DataFrame:
-    """What earlier batches wrote, or the last `keep` of them.
-
-    Rows of `before` itself are a replay's and do not count. The batch is a partition key, so only
-    the folders asked for are read.
-    """
+def _stored(spark: SparkSession, path: str, schema: T.StructType, before: int) -> DataFrame:
+    """What earlier batches wrote; rows of `before` itself are a replay's and do not count."""
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
     try:
         table = spark.read.schema(full).parquet(path)
@@ -84,10 +82,7 @@ def _stored(
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    wanted = F.col(BATCH) < before
-    if keep is not None:
-        wanted = wanted & (F.col(BATCH) >= before - keep)
-    return table.where(wanted).drop(BATCH)
+    return table.where(F.col(BATCH) < before).drop(BATCH)
 
 
 def write_batch(df: DataFrame, batch: int, path: str, partitions: Sequence[str] = ()) -> None:
@@ -122,10 +117,13 @@ def adaptive(handle: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, i
     return run
 
 
-def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def run_available(
+    stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> StreamingQuery:
     """Feed everything that is there to `handle`, batch by batch, and stop."""
     query = (
         stream.writeStream.foreachBatch(adaptive(handle))
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -137,27 +135,22 @@ def run_available(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
 # --- batch handlers -----------------------------------------------------------------------------
 
 
-def dedup_handler(
-    path: str, seq: str = "seq", keep: int | None = None
-) -> Callable[[DataFrame, int], None]:
+def dedup_handler(path: str, seq: str = "seq") -> Callable[[DataFrame, int], None]:
     """First occurrences and duplicates, also of ids from earlier batches; nothing is dropped.
 
-    Writes every row with `is_duplicate`. Only ids, not rows, of earlier batches are read; `keep`
-    bounds how many batches an id is remembered.
+    Writes every row with `is_duplicate`. Only ids, not rows, of earlier batches are read.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        marked = with_seen_ids(batch, path, batch_id, seq, keep)
+        marked = with_seen_ids(batch, path, batch_id, seq)
         write_batch(marked, batch_id, path, ("is_duplicate",))
 
     return handle
 
 
-def with_seen_ids(
-    batch: DataFrame, path: str, batch_id: int, seq: str = "seq", keep: int | None = None
-) -> DataFrame:
+def with_seen_ids(batch: DataFrame, path: str, batch_id: int, seq: str = "seq") -> DataFrame:
     key = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("is_duplicate", T.BooleanType())])
-    seen = _stored(batch.sparkSession, path, key, batch_id, keep)
+    seen = _stored(batch.sparkSession, path, key, batch_id)
     seen = seen.where(~F.col("is_duplicate")).select("event_id")
     # Ids of this batch that were seen before: one row per id, counted so that a hot id is split.
     ids = batch.where(~Q.missing("event_id")).groupBy("event_id").agg(F.count(F.lit(1)).alias("_copies"))
@@ -168,33 +161,132 @@ def with_seen_ids(
     return joined.withColumn("is_duplicate", again).drop("_again", "_old", "_copies")
 
 
+def sliding_handler(path: str) -> Callable[[DataFrame, int], None]:
+    """Keeps what each batch says about the windows it touched, for `current_windows`.
+
+    Run `stream_sliding` with it in update mode: open windows are then known before the watermark
+    passes them, so the last hours of the input are not missing.
+    """
+    return lambda batch, batch_id: write_batch(batch, batch_id, path)
+
+
+def current_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The last state of every window. Rows here are windows times the batches that touched them."""
+    said = spark.read.parquet(path)
+    keys = ("window_start", "window_end")
+    values = [c for c in said.columns if c not in (*keys, BATCH)]
+    return said.groupBy(*keys).agg(F.max_by(F.struct(*values), BATCH).alias("_last")).select(*keys, "_last.*")
+
+
+DAY_TEXT = T.StructField("day", T.StringType())
+MARK = "watermark long"
+MICROS = 1_000_000
+
+
 def trailing_handler(
-    path: str, ts: str, flag: str, minutes: int = 60, by: Sequence[str] = (), row_id: str = "event_id"
+    path: str,
+    ts: str,
+    flag: str,
+    minutes: int = 60,
+    by: Sequence[str] = (),
+    row_id: str = "event_id",
+    late_minutes: int = 60,
 ) -> Callable[[DataFrame, int], None]:
-    """Exact trailing metrics per event against all events of earlier batches still in the window."""
+    """Trailing metrics per event, given once all events up to it are in, however batches are cut.
+
+    Rows are held below `path` until the watermark, the latest time seen less `late_minutes`, has
+    passed them; then their counts are final. A row that comes after its time was closed is not
+    counted but kept below `late`. Rows without a time get NULLs at once. `held_metrics` has what is
+    still open. Each batch reads the days between the last watermark, less the window, and its own,
+    and the mark of the batch before.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         names = {row_id, ts, flag, *by}
         fields = T.StructType([f for f in batch.schema.fields if f.name in names])
-        stored = T.StructType([*fields.fields, T.StructField("day", T.StringType())])
         fresh = staged(batch.select(*fields.names), "trailing")
-        gap = F.make_dt_interval(mins=F.lit(minutes))
-        reach = fresh.agg((F.min(ts) - gap).alias("t"))
-        since, first_day = reach.scalar(), reach.select(date_text(F.col("t"))).scalar()
-        # Only the days the window can reach are listed and read.
-        history = _stored(spark, path, stored, batch_id).where(
-            (F.col("day") >= first_day) & (F.col(ts) >= since)
-        )
-        both = fresh.withColumn("_new", F.lit(True)).unionByName(
-            history.drop("day").withColumn("_new", F.lit(False))
-        )
-        metrics = trailing_window(both, ts, F.col(flag), minutes, by, row_id).where("_new").drop("_new")
-        write_batch(metrics.withColumn("day", date_text(F.col(ts))), batch_id, path, ("day",))
+        at = F.unix_micros(ts)
+        closed = None
+        if batch_id:
+            closed = spark.read.schema(MARK).parquet(f"{path}/marks/{BATCH}={batch_id - 1}").first()[0]
+        newest = fresh.agg(F.max(at)).first()[0]
+        ends = [m for m in (closed, None if newest is None else newest - late_minutes * 60 * MICROS) if m is not None]
+        reached = max(ends, default=None)
+        late = F.lit(False) if closed is None else F.coalesce(at < closed, F.lit(False))
+        in_time = fresh.where(~late & F.col(ts).isNotNull()).withColumn("day", date_text(F.col(ts)))
+        write_batch(in_time, batch_id, f"{path}/rows", ("day",))
+        write_batch(fresh.where(late), batch_id, f"{path}/late")
+        ready = fresh.where(F.col(ts).isNull()).withColumn("_new", F.lit(True))
+        if reached is not None and reached != closed:
+            held = _held_rows(spark, path, fields, closed, reached, minutes, batch_id)
+            passed = F.lit(True) if closed is None else at >= closed
+            ready = ready.unionByName(held.where(at < reached).withColumn("_new", passed))
+        metrics = trailing_window(ready, ts, F.col(flag), minutes, by, row_id).where("_new").drop("_new")
+        write_batch(metrics.withColumn("day", date_text(F.col(ts))), batch_id, f"{path}/metrics", ("day",))
+        write_batch(spark.createDataFrame([(reached,)], MARK), batch_id, f"{path}/marks")
 
     return handle
 
 
+def _held_rows(
+    spark: SparkSession, path: str, fields: T.StructType, closed: int | None, reached: int, minutes: int, upto: int
+) -> DataFrame:
+    """Rows that came in time, from a window before `closed` on; only their days are listed and read."""
+    reader = spark.read.schema(T.StructType([*fields.fields, DAY_TEXT, T.StructField(BATCH, T.LongType())]))
+    folder = f"{path}/rows"
+    if closed is None:
+        held = reader.parquet(folder)
+    else:
+        first, last = (
+            datetime.fromtimestamp(m // MICROS, timezone.utc).date() for m in (closed - minutes * 60 * MICROS, reached)
+        )
+        days = [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+        try:
+            held = reader.option("basePath", folder).parquet(f"{folder}/day={{{','.join(days)}}}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            held = spark.createDataFrame([], T.StructType([*fields.fields, T.StructField(BATCH, T.LongType())]))
+    return held.where(F.col(BATCH) <= upto).select(*fields.names)
+
+
+def held_metrics(
+    spark: SparkSession,
+    path: str,
+    ts: str,
+    flag: str,
+    minutes: int = 60,
+    by: Sequence[str] = (),
+    row_id: str = "event_id",
+) -> DataFrame:
+    """Metrics of the rows the watermark has not passed, over what has come so far: the final ones
+    where nothing more comes."""
+    fields = spark.read.parquet(f"{path}/rows").drop("day", BATCH).schema
+    marks = spark.read.schema(f"{MARK}, {BATCH} long").parquet(f"{path}/marks")
+    closed = marks.agg(F.max("watermark")).first()[0]
+    held = spark.read.schema(T.StructType([*fields.fields, DAY_TEXT])).parquet(f"{path}/rows")
+    new = F.lit(True)
+    if closed is not None:
+        start = F.timestamp_micros(F.lit(closed - minutes * 60 * MICROS))
+        held = held.where((F.col("day") >= date_text(start)) & (F.col(ts) >= start))
+        new = F.unix_micros(ts) >= closed
+    both = held.select(*fields.names).withColumn("_new", new)
+    return trailing_window(both, ts, F.col(flag), minutes, by, row_id).where("_new").drop("_new")
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Per batch of a trailing stream, the rows that came after their time was closed; none is left out."""
+    marks = spark.read.schema(f"{MARK}, {BATCH} long").parquet(f"{path}/marks").select(BATCH)
+    try:
+        late = spark.read.schema(f"{BATCH} long").parquet(f"{path}/late").groupBy(BATCH).agg(F.count(F.lit(1)).alias("_n"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return marks.select(BATCH, F.lit(0).cast("long").alias("late_rows"))
+    return marks.join(late, BATCH, "left").select(BATCH, F.coalesce("_n", F.lit(0).cast("long")).alias("late_rows"))
+
+
 def cases_handler(
     path: str, customers: DataFrame, services: DataFrame, as_of: Q.Clock | None = None, **options
 ) -> Callable[[DataFrame, int], None]:

@@ -73,27 +73,67 @@ def test_dedup_across_batches_and_replay(spark, sf, scratch):
     assert spark.read.parquet(out).count() == 2000
 
 
-def test_dedup_can_forget(spark, scratch):
-    rows = spark.createDataFrame([(1, "a")], "seq long, event_id string")
-    handle = St.dedup_handler(f"{scratch}/out", keep=1)
-    handle(rows, 0)
-    handle(spark.createDataFrame([(2, "b")], rows.schema), 1)
-    handle(spark.createDataFrame([(3, "b"), (4, "a")], rows.schema), 2)
-    got = flags_of(spark, f"{scratch}/out")
-    assert got == {1: False, 2: False, 3: True, 4: False}
+def trailing_rows(spark, path, minutes):
+    names = ["event_id", "rolling_event_count", "rolling_breach_count", "rolling_breach_rate_pct"]
+    closed = spark.read.parquet(f"{path}/metrics").select(*names)
+    rest = St.held_metrics(spark, path, "timestamp", "bad", minutes, ("customer_id",)).select(*names)
+    return sorted(closed.collect()), sorted(rest.collect())
 
 
-def test_trailing_stream_equals_batch(spark, sf, scratch):
+def test_trailing_stream_equals_batch_however_it_is_cut(spark, sf, scratch):
     rows = events(spark, sf).select(
         "event_id", "customer_id", "timestamp", (F.col("status_code") >= 500).alias("bad"), "seq"
     )
-    out = f"{scratch}/out"
-    handler = St.trailing_handler(out, "timestamp", "bad", 24 * 60, ("customer_id",))
-    St.run_available(split_input(spark, rows, scratch), handler, f"{scratch}/checkpoint")
     names = ["event_id", "rolling_event_count", "rolling_breach_count", "rolling_breach_rate_pct"]
-    got = sorted(spark.read.parquet(out).select(*names).collect())
-    batch = trailing_window(rows, "timestamp", F.col("bad"), 24 * 60, ("customer_id",))
-    assert got == sorted(batch.select(*names).collect()) and len(got) == 1000
+    width = 24 * 60
+    want = sorted(trailing_window(rows, "timestamp", F.col("bad"), width, ("customer_id",)).select(*names).collect())
+    in_order = f"{scratch}/in-order"
+    handler = St.trailing_handler(in_order, "timestamp", "bad", width, ("customer_id",))
+    St.run_available(split_input(spark, rows, scratch), handler, f"{scratch}/checkpoint")
+    closed, rest = trailing_rows(spark, in_order, width)
+    assert sorted(closed + rest) == want and len(closed) > 900
+    # Rows up to six days out of order, three batches, the last one twice.
+    mixed = f"{scratch}/mixed"
+    handler = St.trailing_handler(mixed, "timestamp", "bad", width, ("customer_id",), late_minutes=11 * 24 * 60)
+    shifted = F.col("seq") + F.when(F.col("seq") % 4 == 0, 200).otherwise(0)
+    for batch in (0, 1, 2, 2):
+        handler(rows.where(F.least(F.floor(shifted / 400), F.lit(2)) == batch), batch)
+    closed, rest = trailing_rows(spark, mixed, width)
+    assert sorted(closed + rest) == want and len(closed) > 400 and len(rest) > 300
+    assert {r.batch_id: r.late_rows for r in St.late_rows(spark, mixed).collect()} == {0: 0, 1: 0, 2: 0}
+
+
+def test_trailing_stream_keeps_late_rows_and_rows_without_a_time(spark, scratch):
+    base = datetime(2026, 1, 1, 10, tzinfo=timezone.utc)
+    def rows(*found):
+        made = [(i, "B", None if m is None else base + timedelta(minutes=m), bad) for i, m, bad in found]
+        return spark.createDataFrame(made, "event_id long, customer_id string, timestamp timestamp, bad boolean")
+
+    out = f"{scratch}/out"
+    handler = St.trailing_handler(out, "timestamp", "bad", 60, ("customer_id",), late_minutes=60)
+    handler(rows((1, 0, False), (2, 30, False), (3, None, True)), 0)
+    handler(rows((4, 10, True), (5, 300, False)), 1)
+    handler(rows((6, 20, True), (7, 301, True)), 2)
+    handler(rows(), 3)
+    closed, rest = trailing_rows(spark, out, 60)
+    assert [tuple(r)[:3] for r in closed] == [(1, 1, 0), (2, 3, 1), (3, None, None), (4, 2, 1)]
+    assert [tuple(r)[:3] for r in rest] == [(5, 1, 0), (7, 2, 1)]
+    assert sorted(map(tuple, St.late_rows(spark, out).collect())) == [(0, 0), (1, 0), (2, 1), (3, 0)]
+
+
+def test_sliding_stream_shows_open_windows(spark, scratch):
+    base = datetime(2026, 1, 1, 12, tzinfo=timezone.utc)
+    for minutes in ((0, 50), (10, 400), (401,)):
+        made = [(base + timedelta(minutes=m), m % 2 == 0) for m in minutes]
+        spark.createDataFrame(made, "ts timestamp, bad boolean").coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+    stream = spark.readStream.schema("ts timestamp, bad boolean").option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+    windows = St.stream_sliding(stream, "ts", F.col("bad"))
+    St.run_available(windows, St.sliding_handler(f"{scratch}/out"), f"{scratch}/checkpoint", "update")
+    got = {
+        round((r.window_start.timestamp() - base.timestamp()) / 60): (r.rolling_event_count, r.rolling_breach_count)
+        for r in St.current_windows(spark, f"{scratch}/out").collect()
+    }
+    assert got[0] == (3, 3) and got[-5] == (3, 3) and got[-10] == (2, 2) and got[400] == (2, 1) and got[345] == (2, 1)
 
 
 def test_sliding_stream_drops_and_counts_late_rows(spark, scratch):
@@ -117,7 +157,7 @@ def test_sliding_stream_drops_and_counts_late_rows(spark, scratch):
     )
     query.awaitTermination()
     # One late row belongs to twelve sliding windows; the drop is counted per window.
-    assert St.late_rows(query) == 12
+    assert St.dropped_from_windows(query) == 12
     got = {
         (r.window_start, r.window_end): (r.rolling_event_count, r.rolling_breach_count, r.rolling_breach_rate_pct)
         for r in spark.read.parquet(f"{scratch}/out").collect()
