@@ -52,3 +52,8 @@ def mean2(total: Column, n: Column) -> Column:
     """Mean of integers with two decimals, half away from zero; NULL for no rows."""
     size = ratio_units(F.abs(total), n, 2) / F.lit(100.0)
     return F.when(total < 0, -size).otherwise(size)
+
+
+def stable_hash(*parts: Column) -> Column:
+    """A non-negative long from the MD5 of the parts as text, the same in every engine."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("long")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.functions.barrier import computed_once, present
-from opsloom.functions.rounding import round_binary
+from opsloom.functions.rounding import round_binary, stable_hash
 
 # Default weights of the five factors and thresholds of the SLA states.
 WEIGHTS = {"sla": 0.35, "customer": 0.25, "financial": 0.20, "age": 0.10, "criticality": 0.10}
@@ -127,7 +127,7 @@ def exposure_fallback(tier: Column, event_id: Column) -> Column:
     """A repeatable stand-in in the tier's range: the hash of the event id picks the cent."""
 
     def pick(low: int, high: int) -> Column:
-        cents = F.pmod(F.xxhash64(event_id), F.lit((high - low) * 100 + 1))
+        cents = stable_hash(event_id) % ((high - low) * 100 + 1)
         return F.lit(float(low)) + cents / F.lit(100.0)
 
     value = pick(*EXPOSURE_DEFAULT_RANGE)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from opsloom import schemas as S
 from opsloom.functions.barrier import computed_once, present
 from opsloom.functions.calendar import parse_iso
-from opsloom.functions.rounding import round_binary
+from opsloom.functions.rounding import round_binary, stable_hash
 from opsloom.operators.scale import all_of, any_of, join_back, lookup, running
 
 Clock = str | datetime | Column
@@ -206,15 +206,20 @@ def dq_summary(flagged: DataFrame) -> DataFrame:
     return totals.select(*_summary(F.col("_rejected"), F.col("_all")))
 
 
-def _code_counts(flagged: DataFrame) -> DataFrame:
-    """One row with a count per code; rows collapse to the few distinct reason lists first."""
-    lists = flagged.where(is_rejected()).groupBy("rejection_reasons").agg(F.count(F.lit(1)).alias("_n"))
+def _reason_lists(flagged: DataFrame) -> DataFrame:
+    """Rows per reason list, the empty one included: the few groups all reports are made of."""
+    return flagged.groupBy("rejection_reasons").agg(F.count(F.lit(1)).alias("_n"))
 
+
+def _total(weight: Column) -> Column:
+    return F.coalesce(F.sum(weight * F.col("_n")), F.lit(0)).cast("long")
+
+
+def _code_counts() -> list[Column]:
     def hits(code: str) -> Column:
-        repeats = F.size(F.filter("rejection_reasons", lambda r: r == F.lit(code)))
-        return F.coalesce(F.sum(repeats * F.col("_n")), F.lit(0)).cast("long").alias(code)
+        return _total(F.size(F.filter("rejection_reasons", lambda r: r == F.lit(code)))).alias(code)
 
-    return lists.agg(*[hits(code) for code in S.REJECTION_CODES])
+    return [hits(code) for code in S.REJECTION_CODES]
 
 
 def error_distribution(flagged: DataFrame) -> DataFrame:
@@ -225,13 +230,16 @@ def error_distribution(flagged: DataFrame) -> DataFrame:
             for code in S.REJECTION_CODES
         ]
     )
-    return _code_counts(flagged).select(F.inline(pairs))
+    return _reason_lists(flagged).agg(*_code_counts()).select(F.inline(pairs))
 
 
 def dq_metrics(flagged: DataFrame) -> DataFrame:
-    """The one-row metrics document: summary plus the distribution as a struct."""
-    counts = _code_counts(flagged).select(F.struct(*S.REJECTION_CODES).alias("d"))
-    return dq_summary(flagged).withColumn("error_distribution", counts.scalar())
+    """The one-row metrics document: summary plus the distribution as a struct, in one pass."""
+    totals = _reason_lists(flagged).agg(
+        _total(is_rejected().cast("int")).alias("_rejected"), _total(F.lit(1)).alias("_all"), *_code_counts()
+    )
+    distribution = F.struct(*S.REJECTION_CODES).alias("error_distribution")
+    return totals.select(*_summary(F.col("_rejected"), F.col("_all")), distribution)
 
 
 # --- record contracts ---------------------------------------------------------------------------
@@ -381,44 +389,33 @@ DEFECTS = (
 )
 
 
-def inject_defects(
-    df: DataFrame, rate: float, seed: int, as_of: Clock, seq: str = "seq", buckets: int = 4096
-) -> DataFrame:
+def inject_defects(df: DataFrame, rate: float, seed: int, as_of: Clock, seq: str = "seq") -> DataFrame:
     """Plant the six defects in raw events at `rate`, the same rows for the same seed.
 
-    A duplicate takes the id of the smallest ordinal in its hash bucket, so it always repeats an
-    earlier id; ordinals are unique, so buckets are even and each contributes one small row.
+    A duplicate takes the id of a row with a smaller ordinal that the hash picks evenly from all of
+    them, so planted ids are no hotter in a larger input. `seq` is a whole number; where the row it
+    picks is absent or has no id the event stays as it is.
     """
-    draw = F.pmod(F.xxhash64(F.col(seq), F.lit(seed)), F.lit(1_000_000))
-    kind = F.pmod(F.xxhash64(F.col(seq), F.lit(seed), F.lit("kind")), F.lit(len(DEFECTS)))
-    bucket = F.pmod(F.xxhash64(F.col(seq), F.lit(seed), F.lit("bucket")), F.lit(buckets))
-    marked = df.withColumns(
-        {
-            "_bucket": bucket,
-            "_defect": F.when(draw < int(rate * 1_000_000), F.element_at(F.array(*map(F.lit, DEFECTS)), (kind + 1).cast("int"))),
-        }
-    )
-    donors = (
-        marked.where(~missing("event_id"))
-        .groupBy("_bucket")
-        .agg(F.min(F.struct(seq, "event_id")).alias("_donor"))
-    )
+    n = F.col(seq)
+    draw = stable_hash(n, F.lit(seed)) % 1_000_000
+    kind = stable_hash(n, F.lit(seed), F.lit("kind")) % len(DEFECTS)
+    defect = F.element_at(F.array(*map(F.lit, DEFECTS)), (kind + 1).cast("int"))
+    marked = df.withColumn("_defect", F.when(draw < int(rate * 1_000_000), defect))
     d = F.col("_defect")
+    repeats = F.coalesce(d == "DUPLICATE_ID", F.lit(False))
     next_year = F.date_format(clock_column(as_of) + F.expr("interval 365 days"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    shortfall = F.lit(-100).cast("long") - F.pmod(F.xxhash64(F.col(seq), F.lit(seed), F.lit("size")), F.lit(4901))
-    repeats = (d == "DUPLICATE_ID") & (F.col("_donor.seq") < F.col(seq))
+    shortfall = F.lit(-1).cast("long") - stable_hash(n, F.lit(seed), F.lit("size")) % 2500
     changed = {
-        "event_id": F.when(repeats, F.col("_donor.event_id")).otherwise(F.col("event_id")),
         "customer_id": F.when(d == "NULL_CUSTOMER", F.lit(None)).otherwise(F.col("customer_id")),
         "timestamp": F.when(d == "FUTURE_TIMESTAMP", next_year).otherwise(F.col("timestamp")),
         "duration_ms": F.when(d == "NEGATIVE_DURATION", shortfall).otherwise(F.col("duration_ms")),
-        "status_code": F.when(d == "INVALID_STATUS", F.lit(999).cast("long")).otherwise(F.col("status_code")),
-        "service_id": F.when(d == "ORPHAN_SERVICE", "SRV-NONEXISTENT-9999").otherwise(F.col("service_id")),
+        "status_code": F.when(d == "INVALID_STATUS", F.lit(777).cast("long")).otherwise(F.col("status_code")),
+        "service_id": F.when(d == "ORPHAN_SERVICE", "no-such-service").otherwise(F.col("service_id")),
     }
-    donor_seq = donors.withColumn("_donor", F.struct(F.col(f"_donor.{seq}").alias("seq"), F.col("_donor.event_id")))
-    # One row per bucket, at most `buckets` of them: a bounded broadcast.
-    return (
-        marked.join(F.broadcast(donor_seq), "_bucket", "left")
-        .withColumns(changed)
-        .select(*df.columns)
+    others = marked.where(~repeats).withColumns(changed).select(*df.columns)
+    picked = stable_hash(n, F.lit(seed), F.lit("donor")) % F.greatest(n, F.lit(1))
+    donors = df.where(~missing("event_id")).select(n.alias("_at"), F.col("event_id").alias("_id"))
+    copies = marked.where(repeats).withColumn("_at", F.when(n > 0, picked)).join(donors, "_at", "left")
+    return others.unionByName(
+        copies.withColumn("event_id", F.coalesce("_id", "event_id")).select(*df.columns)
     )

@@ -32,13 +32,15 @@ def filter_exceptions(
     status: str | None = None,
     location: str | None = None,
     service: str | None = None,
+    customer: str | None = None,
 ) -> DataFrame:
-    """Any subset of the four filters; band and state are upper-cased first."""
+    """Any subset of the five filters; band and state are upper-cased first."""
     wanted = {
         "priority_band": priority.upper() if priority else None,
         "lifecycle_state": status.upper() if status else None,
         "location_id": location,
         "service_id": service,
+        "customer_id": customer,
     }
     for name, value in wanted.items():
         if value:

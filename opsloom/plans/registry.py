@@ -203,7 +203,7 @@ def dq_quarantine(spark, sf_dir):
 def dq_metrics_document(spark, sf_dir):
     path = scratch_path(spark, "metrics")
     L.write_dq_metrics(Q.dq_metrics(flagged(spark, sf_dir)), path)
-    return L.read_dq_metrics(spark, path).drop("error_distribution")
+    return L.read_dq_metrics(spark, path).select("*", "error_distribution.*").drop("error_distribution")
 
 
 def raw_errors(spark, sf_dir, fmt):
@@ -220,6 +220,21 @@ def raw_errors(spark, sf_dir, fmt):
     )
 
 
+def raw_json_array_errors(spark, sf_dir):
+    """The raw batch as files that hold one JSON array of a thousand events each."""
+    s = B.bind_star(spark, sf_dir)
+    path = scratch_path(spark, "raw-arrays")
+    rows = B.bind_dirty_events(s.events)
+    chunk = F.floor(F.col("seq") / 1000).alias("_chunk")
+    record = F.struct("seq", *[c for c in rows.columns if c != "seq"])
+    arrays = rows.groupBy(chunk).agg(F.to_json(F.sort_array(F.collect_list(record))).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    raw = read_raw_events(spark, path, "json", multi_line=True)
+    return Q.error_distribution(
+        Q.validate_events(raw, B.DIRTY_AS_OF, s.customers, s.services, s.locations)
+    )
+
+
 def ingest_batch(spark, sf_dir):
     s = B.bind_star(spark, sf_dir)
     zones = G.Zones.below(scratch_path(spark, "zones"))
@@ -250,6 +265,36 @@ def dq_constraints_cases(spark, sf_dir):
     return Q.check_constraints(sla(spark, sf_dir), Q.contracts()["sla"])
 
 
+def dq_constraints_records(spark, sf_dir):
+    """The contracts of the other record kinds, on tables with some planted violations."""
+    s = B.bind_star(spark, sf_dir)
+
+    def planted(df, key, n, column, value):
+        return df.withColumn(column, F.when(F.col(key).cast("long") % n == 0, value).otherwise(F.col(column)))
+
+    level = (F.col("s_nationkey") % 7).cast("int").alias("skill_level")
+    tables = {
+        "customer": planted(s.customers, "customer_id", 7, "tier", F.col("industry")),
+        "service": planted(s.services, "service_id", 11, "tier_level", F.lit(5)),
+        "location": planted(s.locations, "location_id", 5, "region", F.lit(None)),
+        "agent": B.table(spark, sf_dir, "supplier").select(level),
+        "exception": exceptions(spark, sf_dir),
+    }
+    checked = [
+        Q.check_constraints(df, Q.contracts()[kind]).select(F.lit(kind).alias("record"), "rule", "violations")
+        for kind, df in tables.items()
+    ]
+    return reduce(DataFrame.union, checked)
+
+
+def state_updates(spark, sf_dir):
+    """A case's repeated report of one state is a duplicate; every third case reports each state twice."""
+    log = transition_log(spark, sf_dir).select("case_id", "state", "seq")
+    number = F.substring("case_id", 6, 20).cast("long")
+    again = log.where(number % 3 == 0).withColumn("seq", F.col("seq") + 100)
+    return Q.mark_duplicates(log.unionByName(again), ["case_id", "state"], "seq", flag="is_duplicate")
+
+
 def assert_orphans(spark, sf_dir):
     kept = B.bind_star(spark, sf_dir).events.where(F.col("seq") % 7 != 0)
     return Q.assert_no_orphan_exceptions(exceptions(spark, sf_dir), kept)
@@ -289,10 +334,13 @@ QUALITY: dict[str, Query] = {
     "dq_metrics_document": dq_metrics_document,
     "raw_json_errors": partial(raw_errors, fmt="json"),
     "raw_csv_errors": partial(raw_errors, fmt="csv"),
+    "raw_json_array_errors": raw_json_array_errors,
     "quarantine_table": quarantine_table,
     "ingest_batch": ingest_batch,
     "dq_constraints": dq_constraints,
     "dq_constraints_cases": dq_constraints_cases,
+    "dq_constraints_records": dq_constraints_records,
+    "state_updates": state_updates,
     "assert_duplicates": lambda spark, sf_dir: Q.assert_no_duplicate_ids(dirty(spark, sf_dir)),
     "assert_negative_duration": lambda spark, sf_dir: Q.assert_no_negative_duration(dirty(spark, sf_dir)),
     "assert_orphans": assert_orphans,
@@ -430,6 +478,14 @@ def _page(spark, sf_dir, part):
     return shown(parts[part])
 
 
+def exception_page_customer(spark, sf_dir):
+    """The cases of the customer that has the most of them, least id first."""
+    backlog = exceptions(spark, sf_dir)
+    counts = backlog.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.orderBy(F.col("n").desc(), "customer_id").first()
+    return shown(Tr.exception_page(backlog, limit=20, customer=most.customer_id)[1])
+
+
 def exception_detail(spark, sf_dir):
     """Some customers, services and SLA rows are held back, so the defaults show."""
     s = B.bind_star(spark, sf_dir)
@@ -497,6 +553,7 @@ BACKLOG: dict[str, Query] = {
     "triage_rest": partial(_take, part=1),
     "exception_page": partial(_page, part=1),
     "exception_page_total": partial(_page, part=0),
+    "exception_page_customer": exception_page_customer,
     "sla_risk": lambda spark, sf_dir: shown(Tr.sla_risk(sla(spark, sf_dir))),
     "p1_top": lambda spark, sf_dir: shown(
         Tr.top_p1(exceptions(spark, sf_dir)).select("exception_id", "priority_score", "reason_drivers")
@@ -646,18 +703,21 @@ def lake_daily_summary(spark, sf_dir):
     return shown(A.daily_summary(L.read_event_lake(spark, f"{root}/{C.FACT}")))
 
 
-def catalog_tables(spark, sf_dir):
+def catalog_table(spark, sf_dir, table):
     root = _written_star(spark, sf_dir)
     db = "ops_" + root.rsplit("-", 1)[1]
     C.create_catalog(spark, db, root)
     C.repair_partitions(spark, f"{db}.{C.FACT}")
     C.build_aggregate_tables(spark, db, root)
-    return shown(spark.table(f"{db}.agg_daily_operational_summary"))
+    rows = spark.read.schema(spark.table(f"{db}.{table}").schema).parquet(f"{root}/{table}")
+    # The tables are external: their files stay when the database goes.
+    spark.sql(f"DROP DATABASE `{db}` CASCADE")
+    return shown(rows)
 
 
-def report_views(spark, sf_dir):
+def report_view(spark, sf_dir, view):
     C.register_views(spark, _written_star(spark, sf_dir))
-    return spark.sql("SELECT * FROM vw_customer_tier_exposure")
+    return spark.table(view)
 
 
 LAKE: dict[str, Query] = {
@@ -666,8 +726,11 @@ LAKE: dict[str, Query] = {
     "lake_pruned_day": lake_pruned_day,
     "lake_daily_summary": lake_daily_summary,
     "scan_profile_day": scan_profile_day,
-    "catalog_tables": catalog_tables,
-    "report_views": report_views,
+    "catalog_tables": partial(catalog_table, table="agg_daily_operational_summary"),
+    "catalog_profile": partial(catalog_table, table="agg_customer_incident_profile"),
+    "report_views": partial(report_view, view="vw_customer_tier_exposure"),
+    "report_view_services": partial(report_view, view="vw_service_reliability_summary"),
+    "report_view_locations": partial(report_view, view="vw_location_bottlenecks"),
 }
 
 

@@ -25,6 +25,7 @@ TABLES = {
     "part": struct(
         "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
     ),
+    "supplier": struct("s_suppkey long, s_name string, s_nationkey int, s_acctbal double"),
     "nation": struct("n_nationkey int, n_name string, n_regionkey int"),
     "region": struct("r_regionkey int, r_name string"),
     "orders": struct(

@@ -38,7 +38,8 @@ def _columns(schema, skip: tuple[str, ...] = ()) -> str:
 
 def create_catalog(spark: SparkSession, db: str, root: str) -> None:
     """External database and tables over an existing lake; nothing happens where they exist."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{root}'")
+    root = root.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{root}/{db}'")
     partitions = ", ".join(f"`{p}` string" for p in S.LAKE_PARTITIONS)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS `{db}`.`{FACT}` "

@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from opsloom.plans import oracle, registry
 from oracle_check import connect, difference
 
-ROWS_ONLY = {"latency_approx", "defects", "exposure_fallback"}
+ROWS_ONLY = {"latency_approx"}
 
 
 @pytest.fixture(scope="module")

@@ -211,11 +211,11 @@ def test_reconcile(spark):
 def test_injected_defects_are_repeatable_and_found(spark):
     clean = raw(spark, [{} for _ in range(3000)])
     def planted(seed):
-        return Q.inject_defects(clean, 0.2, seed, AS_OF, buckets=16).orderBy("seq").collect()
+        return Q.inject_defects(clean, 0.2, seed, AS_OF).orderBy("seq").collect()
 
     once, again, other = planted(7), planted(7), planted(8)
     assert once == again and once != other and len(once) == 3000
-    flagged = Q.validate_events(Q.inject_defects(clean, 0.2, 7, AS_OF, buckets=16), AS_OF, *dims(spark))
+    flagged = Q.validate_events(Q.inject_defects(clean, 0.2, 7, AS_OF), AS_OF, *dims(spark))
     counts = {r.error_code: r.error_count for r in Q.error_distribution(flagged).collect()}
     used = {c for c, n in counts.items() if n}
     assert used == {
