@@ -235,6 +235,20 @@ def raw_json_array_errors(spark, sf_dir):
     )
 
 
+def raw_pruned_day(spark, sf_dir):
+    """One day out of a raw zone with a folder per day."""
+    path = scratch_path(spark, "raw-dated")
+    # Dirty rows keep their place in the input; the folder is the day they arrived.
+    arrived = B.bind_star(spark, sf_dir).events.select("seq", F.col("timestamp").alias("arrived"))
+    rows = B.bind_dirty_events(B.bind_star(spark, sf_dir).events).join(arrived, "seq")
+    dated = cal.with_calendar(rows, "arrived").select(*[c for c in rows.columns if c not in ("seq", "arrived")], *S.LAKE_PARTITIONS)
+    dated.hint("rebalance", *S.LAKE_PARTITIONS).write.partitionBy(*S.LAKE_PARTITIONS).json(path)
+    day = read_raw_events(spark, path, days=("2024-01-16", "2024-01-16"))
+    return day.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(Q.missing("event_id")).alias("rows_without_id")
+    )
+
+
 def ingest_batch(spark, sf_dir):
     s = B.bind_star(spark, sf_dir)
     zones = G.Zones.below(scratch_path(spark, "zones"))
@@ -335,6 +349,7 @@ QUALITY: dict[str, Query] = {
     "raw_json_errors": partial(raw_errors, fmt="json"),
     "raw_csv_errors": partial(raw_errors, fmt="csv"),
     "raw_json_array_errors": raw_json_array_errors,
+    "raw_pruned_day": raw_pruned_day,
     "quarantine_table": quarantine_table,
     "ingest_batch": ingest_batch,
     "dq_constraints": dq_constraints,

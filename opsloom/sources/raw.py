@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsloom.schemas import RAW_EVENT
+from opsloom.schemas import LAKE_PARTITIONS, RAW_EVENT
 
 CORRUPT = "_corrupt_record"
 
@@ -27,11 +27,16 @@ def _with_ordinal(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_raw_events(
-    spark: SparkSession, path: str, fmt: str = "json", multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    fmt: str = "json",
+    multi_line: bool = False,
+    days: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Raw events as declared, plus the unparsable text in `_corrupt_record` and the ordinal `seq`.
 
-    JSON lines and CSV files are splittable; `multi_line` reads files holding one JSON array.
+    JSON lines and CSV files are splittable; `multi_line` reads files holding one JSON array. `days`,
+    a first and a last date, opens only those folders of a zone laid out as year=/month=/day=.
     """
     schema = T.StructType([*RAW_EVENT.fields, T.StructField(CORRUPT, T.StringType())])
     reader = (
@@ -47,6 +52,10 @@ def read_raw_events(
         rows = spark.read.schema(RAW_EVENT).parquet(path).withColumn(CORRUPT, F.lit(None).cast("string"))
     else:
         raise ValueError(f"unsupported raw format: {fmt}")
+    if days is not None:
+        # On folder columns alone, so the files of other days are not opened.
+        folder_day = F.make_date(*[F.col(c).cast("int") for c in LAKE_PARTITIONS])
+        rows = rows.where(folder_day.between(*[F.lit(d).cast("date") for d in days]))
     return _with_ordinal(rows, schema)
 
 

@@ -134,6 +134,12 @@ def test_raw_formats(spark, scratch):
     assert read_raw_events(spark, array, multi_line=True).count() == 2
     dated = write_lines(f"{scratch}/dated/year=2026/month=01/day=15", ROWS)
     assert read_raw_events(spark, str(Path(dated).parents[2])).columns == [*S.RAW_EVENT.names, "_corrupt_record", "seq"]
+    write_lines(f"{scratch}/dated/year=2026/month=01/day=16", ROWS[:1])
+    def dated_rows(*days):
+        return read_raw_events(spark, f"{scratch}/dated", days=days)
+
+    assert [dated_rows("2026-01-15", d).count() for d in ("2026-01-15", "2026-01-16", "2026-01-14")] == [2, 3, 0]
+    assert dated_rows("2026-01-16", "2026-01-16").columns == [*S.RAW_EVENT.names, "_corrupt_record", "seq"]
     columns = S.RAW_EVENT.names
     text = [",".join(columns)] + [",".join(str(r.get(c, "")) for c in columns) for r in ROWS]
     csv = read_raw_events(spark, write_lines(f"{scratch}/csv", text, "a.csv"), "csv").orderBy("seq").collect()
