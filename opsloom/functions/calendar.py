@@ -16,13 +16,15 @@ PLAIN_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d
 def parse_iso(text: Column) -> Column:
     """Timestamp of an ISO-8601 text, NULL when it is not one. Texts without offset are UTC.
 
-    The usual spelling takes one match and a cast; the rarer ones are first brought to it.
+    The usual spelling takes one match and a cast; the rarer ones are first brought to it. The zero
+    offset is cut off before the cast, which reads any offset several times slower than none.
     """
     spelled = F.translate(text, ",", ".")
     spelled = F.regexp_replace(spelled, r"^(.{10}).(\d{2})", "$1T$2")  # any separator
     spelled = F.regexp_replace(spelled, r"(\.\d{6})\d+", "$1")  # digits past the microsecond
     parsed = F.try_to_timestamp(spelled, F.lit("yyyy-MM-dd['T'HH[:mm[:ss[.SSSSSS]]][XXX][XX]]"))
-    return F.when(text.rlike(PLAIN_TIMESTAMP), text.try_cast("timestamp")).when(
+    plain = F.substring_index(text, "+00:00", 1).try_cast("timestamp")
+    return F.when(text.rlike(PLAIN_TIMESTAMP), plain).when(
         text.rlike(ISO_TIMESTAMP), parsed
     )
 

@@ -1,7 +1,7 @@
 """Aggregated reports and measures.
 
 Facts are aggregated by their own key first, with partial sums before the shuffle, and dimensions
-are joined to the aggregates. Only the latency distribution joins row-level facts first.
+are joined to the aggregates. Only the sketched latency distribution joins row-level facts first.
 """
 
 from __future__ import annotations
@@ -168,24 +168,40 @@ LATENCY_LEVELS = {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99}
 def latency_distribution(
     events: DataFrame, customers: DataFrame, services: DataFrame, exact: bool = False
 ) -> DataFrame:
-    """Per tier and service name: count, mean, p95 and p99; sketched unless `exact`."""
+    """Per tier and service name: count, mean, p95 and p99; sketched unless `exact`.
+
+    The exact form counts the events per customer, service and duration first and joins the counts;
+    a sketch takes single values, so that form joins the events.
+    """
     keys = ["customer_tier", "service_name"]
+    facts = events.select("event_id", "customer_id", "service_id", "duration_ms")
+    if exact:
+        facts = facts.groupBy("customer_id", "service_id", "duration_ms").agg(
+            F.count("event_id").alias("_events"), F.count(F.lit(1)).alias("_rows")
+        )
+    else:
+        facts = facts.withColumns({"_events": F.col("event_id").isNotNull().cast("long"), "_rows": F.lit(1)})
     joined = star(
-        events.select("event_id", "customer_id", "service_id", "duration_ms"),
+        facts,
         customers.select("customer_id", F.col("tier").alias("customer_tier"), F.lit(True).alias("_c")),
         services.select("service_id", "service_name", F.lit(True).alias("_s")),
+        spread_by=("customer_id", "service_id", "duration_ms") if exact else ("event_id",),
     ).where(F.col("_c") & F.col("_s"))
+    if exact:
+        joined = joined.groupBy(*keys, "duration_ms").agg(
+            F.sum("_events").alias("_events"), F.sum("_rows").alias("_rows")
+        )
     sums = [
-        F.count("event_id").alias("total_events"),
-        F.sum("duration_ms").alias("_duration"),
-        F.count("duration_ms").alias("_timed"),
+        F.sum("_events").alias("total_events"),
+        F.sum(F.col("duration_ms") * F.col("_rows")).alias("_duration"),
+        F.sum(F.when(F.col("duration_ms").isNotNull(), F.col("_rows"))).alias("_timed"),
     ]
     sketches = [] if exact else [
         F.percentile_approx("duration_ms", p).alias(name) for name, p in LATENCY_LEVELS.items()
     ]
     stats = joined.groupBy(*keys).agg(*sums, *sketches)
     if exact:
-        levels = exact_percentiles(joined, keys, "duration_ms", LATENCY_LEVELS)
+        levels = exact_percentiles(joined, keys, "duration_ms", LATENCY_LEVELS, rows=F.col("_rows"))
         other = levels.withColumnsRenamed({k: f"_r_{k}" for k in keys})
         same = F.col("customer_tier").eqNullSafe(F.col("_r_customer_tier")) & F.col("service_name").eqNullSafe(
             F.col("_r_service_name")

@@ -219,17 +219,19 @@ def exact_percentiles(
     levels: Mapping[str, float],
     coarse: int = 1_000_000,
     fine: int = 1_000,
+    rows: Column | None = None,
 ) -> DataFrame:
     """Exact interpolated percentiles of an integer column per group, to two decimals.
 
-    For levels in whole percent the interpolated value of integers has no further decimals.
+    For levels in whole percent the interpolated value of integers has no further decimals. `rows`
+    says how many equal values a row of `df` stands for, one unless given.
     Values are counted per (group, value) before any shuffle and the ranks come from `running`, so
     neither the rows nor the distinct values of a large group have to fit in one task.
     """
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, F.col(value).cast("long").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.count(F.lit(1)) if rows is None else F.sum(rows)).alias("_n"))
     )
     folds = {"_cum": ("sum", F.col("_n"))}
     placed = running(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +16,16 @@ def star(
     customers: DataFrame | None = None,
     services: DataFrame | None = None,
     locations: DataFrame | None = None,
+    spread_by: Sequence[str] = ("event_id",),
 ) -> DataFrame:
-    """Fact rows with the attributes of the given dimensions; rows without a match keep NULLs."""
+    """Fact rows with the attributes of the given dimensions; rows without a match keep NULLs.
+
+    `spread_by` are columns that tell the rows of a hot key apart.
+    """
     joined = events
     for dim, key in ((customers, "customer_id"), (services, "service_id"), (locations, "location_id")):
         if dim is not None:
-            joined = lookup(joined, dim, key, ["event_id"], counted_on=events)
+            joined = lookup(joined, dim, key, spread_by, counted_on=events)
     return joined
 
 
