@@ -76,6 +76,15 @@ def links(fingerprints: DataFrame) -> DataFrame:
     return least.where((F.col("a") < F.col("b")) & close).select("a", "b")
 
 
+def _rooted(marked: DataFrame, least: Column) -> DataFrame:
+    """Per fingerprint (column fp) of `marked`: root, the fingerprint that stands for its group, and the aggregate `least`."""
+    by_fp = staged(marked.groupBy("fp").agg(least.alias("least")), "fingerprints")
+    roots = components(links(by_fp.select("fp")))
+    return by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", F.coalesce("root", "fp").alias("root"), "least"
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3
 ) -> DataFrame:
@@ -92,11 +101,7 @@ def near_duplicates(
     marked = staged(
         docs.select(F.col(id_col).alias("id"), fingerprint(text_or_empty(text_col), shingle).alias("fp")), "simhash"
     )
-    by_fp = staged(marked.groupBy("fp").agg(F.min("id").alias("least")), "fingerprints")
-    roots = components(links(by_fp.select("fp")))
-    rooted = by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"), "least"
-    )
+    rooted = _rooted(marked, F.min("id"))
     # Roots without any other member need no second look.
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = staged(rooted.join(names, "root").select("fp", "component_id"), "simhash-names")
@@ -106,6 +111,20 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """The documents (all their columns) that name their group; repeated ids stay once."""
-    kept = near_duplicates(docs, shingle=shingle).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """One row (with all its columns) of each group of near duplicates: the one of least doc_id, nulls last.
+
+    Of several rows of a group with that id, or without any id, the first row stays. An id whose rows
+    have texts of several groups may stay once in each. Null and empty texts are one group.
+    """
+    ready(docs.sparkSession)
+    marked = staged(
+        docs.select(
+            F.struct(*docs.columns).alias("doc"),
+            fingerprint(text_or_empty("text"), shingle).alias("fp"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+        "simhash-rows",
+    )
+    order = F.struct(F.col("doc.doc_id").isNull().alias("no_id"), F.col("doc.doc_id").alias("id"), "row")
+    kept = _rooted(marked, F.min(order)).groupBy("root").agg(F.min("least").alias("least")).select("least.row")
+    return marked.join(kept, "row", "left_semi").select("doc.*")

@@ -100,6 +100,20 @@ def test_empty_table_and_clashing_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c = "a b c d e", "other words stand here now", "third text without any id"
+    rows = [(3, a, 0), (5, a, 1), (5, b, 2), (None, c, 3), (None, c, 4), (None, a, 5), (None, "alone as well", 6),
+            (7, "one id", 7), (7, "with two texts", 8), (None, None, 9), (9, "", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int").repartition(3)
+    kept = simhash.keep_one(docs)
+    assert kept.dtypes == docs.dtypes
+    found = sorted((tuple(r)[:2] for r in kept.collect()), key=repr)
+    assert found == sorted(
+        [(3, a), (5, b), (None, c), (None, "alone as well"), (7, "one id"), (7, "with two texts"), (9, "")], key=repr
+    )
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("name", ["documents"])
 def test_query_against_all_pairs(spark, sf, name):
     from opsloom.llm.queries import queries
