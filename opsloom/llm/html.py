@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from opsloom.llm.common import mapped, ready
 
 SAMPLE = 2_000  # pages the weights are learned from, about
+INSIDE = 1.0  # per word in a marked article, at least; tags and skipped parts in it weigh nothing
 OUTSIDE = -2.0  # per word outside the article, on pages that mark one
 SKIPPED = -1.0  # for a whole part that is never content
 LIMIT = 3.0  # of a word's weight
@@ -163,11 +164,14 @@ def read(source: str) -> Page:
 
 
 def _weight(weights: dict[str, float], part: Part, marked: bool) -> float:
+    """The score of a part. Nothing inside a marked article is negative: a run that meets one has all its words."""
+    if marked and part.inside:
+        return max(INSIDE, weights.get(part.kind, INSIDE)) * part.words
     if part.kind == "skip":
         return SKIPPED
     if not part.words:
         return weights.get(part.kind, -0.1)
-    if marked and not part.inside:
+    if marked:
         return OUTSIDE * part.words
     return weights.get(part.kind, UNSEEN.get(part.kind, 1.0)) * part.words
 

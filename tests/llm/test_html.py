@@ -35,6 +35,19 @@ def test_article_with_everything_around_it():
     ]
 
 
+def test_an_article_loses_no_words_to_the_weights():
+    weights = {"w:p": 3.0, "w:td": -3.0, "w:li": -3.0, "t:p": -1.0, "t:td": -1.0, "t:a": -1.0, "t:h1": -1.0, "t:table": -1.0}
+    link = "<a href='/'>More</a>"
+    cells = "<tr><td>only cells of a<td>table here" * 30
+    first, middle, last = f"<h1>{link}</h1><div class='share'>Share</div>", f"<p>{link}</p><table>{cells}</table>", f"<ul><li>{link}</ul><p>{link}</p>"
+    page = f"<div>Outside {PROSE}</div><article>{first}<p>{PROSE}</p>{middle}<p>{PROSE}</p>{last}</article><div>Outside {PROSE}</div>"
+    rows = ["only cells of a table here"] * 30
+    expected = ["More", PROSE.strip(), "More", *rows, PROSE.strip(), "More", "More"]
+    for learned in (weights, {}):
+        assert html.main_text(page, learned).split("\n\n") == expected
+    assert html.main_text(f"<p>{PROSE}</p><article><h1>{link}</h1></article>", weights) == "More"
+
+
 def test_page_without_an_article_element():
     links = "".join(f"<li><a href='/{i}'>Link {i}</a></li>" for i in range(12))
     page = f"<body><div><ul>{links}</ul></div><div><h2>Head</h2><p>{PROSE}</p><p>{PROSE}</p></div><div><a>More</a> <a>links</a></div></body>"
