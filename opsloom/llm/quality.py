@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from opsloom.llm.common import held_out, mapped, ready, slices, staged, text_or_empty
 from opsloom.llm.tokens import Words, utf8
-from opsloom.llm.toxicity import labelled_sample
+from opsloom.llm.toxicity import labelled_texts
 
 SAMPLE = 8_000  # labelled rows the model is fitted on, about
 PASSAGE = 64  # words
@@ -170,8 +170,7 @@ def learn(x: np.ndarray, owner: np.ndarray, labels: np.ndarray, turns: int = 500
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, label_col: str = "quality", sample: int = SAMPLE) -> Model | None:
     """A model from labelled rows for which `training` holds; None without any such row."""
-    chosen = labelled_sample(labels, label_col, training, sample)
-    rows = docs.select("doc_id", text_or_empty("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = labelled_texts(docs, labels, label_col, training, sample)
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, parts = utf8(batch.column("text")), []

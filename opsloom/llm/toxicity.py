@@ -169,6 +169,34 @@ def labelled_sample(labels: DataFrame, label_col: str, training: Column, sample:
     return usable.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < int(share * (1 << 20)))
 
 
+def labelled_texts(docs: DataFrame, labels: DataFrame, label_col: str, training: Column, sample: int) -> DataFrame:
+    """About `sample` rows doc_id, label, text at most, for the ids of `labelled_sample`.
+
+    A text that an id repeats is one row. The rows are shared out evenly over the ids: of an id with
+    more different texts than its share a part is drawn by the hash of the text.
+    """
+    chosen = labelled_sample(labels, label_col, training, sample)
+    # The sample's ids are few by the parameter, so the texts need no shuffle.
+    rows = staged(
+        docs.select("doc_id", text_or_empty("text").alias("text"))
+        .join(F.broadcast(chosen), "doc_id")
+        .withColumn("hash", F.xxhash64("text")),
+        "labelled-texts",
+    )
+    counts = staged(
+        rows.select("doc_id", "hash").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "labelled-counts"
+    )
+    share = max(1.0, sample / max(1, counts.count())) / F.col("n")
+    drawn = F.pmod(F.xxhash64("doc_id", "hash", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20)
+    return (
+        rows.join(F.broadcast(counts), "doc_id")
+        .where(drawn)
+        .groupBy("doc_id", "hash")
+        .agg(F.first("label").alias("label"), F.first("text").alias("text"))
+        .select("doc_id", "label", "text")
+    )
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -185,9 +213,7 @@ def fit(
     group, and the loss has the squared difference of the two scores: the terms themselves then carry
     no weight. Without both labels in the sample the score is the share of label 1, or 0.
     """
-    chosen = labelled_sample(labels, label_col, training, sample)
-    # The sample's ids are few by the parameter, so the texts need no shuffle.
-    rows = docs.select("doc_id", text_or_empty("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = labelled_texts(docs, labels, label_col, training, sample)
     turn = swaps(groups)
     pattern = re.compile(r"\b(" + "|".join(map(re.escape, turn)) + r")\b", re.IGNORECASE) if turn else re.compile("(?!)")
 

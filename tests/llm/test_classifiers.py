@@ -68,6 +68,24 @@ def test_edge_cases(spark, module):
     assert module.scored(docs.limit(0), some).count() == 0
 
 
+@pytest.mark.parametrize("module", [quality, toxicity])
+def test_an_id_with_many_rows_does_not_fill_the_sample(spark, monkeypatch, module):
+    from pyspark.sql import functions as F
+
+    name = "quality" if module is quality else "toxic"
+    rows = [(i, f"text {i} {'good' if i % 2 else 'bad'}") for i in range(20)]
+    rows += [(0, f"word{i} of its own bad") for i in range(1500)] + [(1, "text 1 good")] * 1500
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], f"doc_id long, {name} int")
+    seen = []
+    inner = "learn" if module is quality else "_logistic"
+    kept = getattr(module, inner)
+    monkeypatch.setattr(module, inner, lambda *a: seen.append(a) or kept(*a))
+    module.fit(docs, labels, F.lit(True), sample=200)
+    target = seen[0][2] if module is quality else seen[0][1]
+    assert 20 <= len(target) <= 60  # every id, and about 200 / 20 texts of the one that has many
+
+
 def test_passages_of_all_lengths():
     texts = [b"", b"a", b"w " * 64, b"w " * 65, b"x y " * 5000]
     x, owner = quality.passages(texts)
