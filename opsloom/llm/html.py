@@ -22,12 +22,9 @@ LIMIT = 3.0  # of a word's weight
 TAG_RANGE = (-1.0, -0.02)
 UNSEEN = {"w:a": -0.5}  # a word of a link, where no page tells; other unseen words are 1
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>"
-    r"|[^<]+|<",
-    re.DOTALL,
-)
+SPECIAL = re.compile("[>\"']")
+NAME_END = re.compile(r"[\s/>]")
+ARTICLE = re.compile(r"<article[\s>]", re.IGNORECASE)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"\S+")
 
@@ -57,6 +54,83 @@ COMMENT_NAMES = {"comment", "comments", "disqus", "replies"}
 CLOSES_SAME = {"dd", "dt", "li", "option", "p", "td", "th", "tr"}
 
 
+# Elements whose names are features; all others count as one.
+KNOWN = INLINE | VOID | SKIP_TAGS | {
+    "address", "article", "audio", "blockquote", "body", "caption", "center", "col", "dd", "details", "dir", "div", "dl",
+    "dt", "fieldset", "figcaption", "figure", "h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "hr", "html", "legend", "li",
+    "main", "map", "math", "ol", "optgroup", "p", "picture", "pre", "progress", "section", "summary", "table", "tbody",
+    "tfoot", "thead", "tr", "ul", "video",
+}
+
+
+class Scanner:
+    """Where the markup of a page begins and ends, in time linear in its length whatever the page holds.
+
+    A `<` begins a tag if a `>` outside quotes closes it, else it is text. What a failed search has
+    passed (quotes opened outside of quotes) fails from there for any later search too, and is kept;
+    the next special character is looked for once for all that come before it.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.last = source, source.rfind(">")
+        self.dead: set[int] = set()
+        self.seen = {SPECIAL: (0, -1), NAME_END: (0, -1)}
+
+    def _next(self, pattern: re.Pattern, at: int) -> int:
+        """The first place from `at` on that the pattern matches; the end of the page if there is none."""
+        begin, found = self.seen[pattern]
+        if not begin <= at <= found:
+            match = pattern.search(self.source, at)
+            found = match.start() if match else len(self.source)
+            self.seen[pattern] = (at, found)
+        return found
+
+    def tag_end(self, at: int) -> int:
+        """The closing bracket of the tag whose name ends at `at`, or -1."""
+        source, opened = self.source, []
+        while at <= self.last:
+            at = self._next(SPECIAL, at)
+            if at >= len(source):
+                break
+            if source[at] == ">":
+                return at
+            if at in self.dead:
+                break
+            opened.append(at)
+            at = source.find(source[at], at + 1) + 1
+            if not at:
+                break
+        self.dead.update(opened)
+        return -1
+
+    def tag(self, at: int) -> tuple[bool, str, str, int] | None:
+        """Whether it closes, name, rest and end of the tag at the `<` at `at`; None if it is text."""
+        source = self.source
+        begin = at + 2 if source.startswith("/", at + 1) else at + 1
+        if begin > self.last or not (source[begin].isascii() and source[begin].isalpha()):
+            return None
+        stop = self._next(NAME_END, begin)
+        end = self.tag_end(stop)
+        if end < 0:
+            return None
+        return begin > at + 1, source[begin:stop].lower(), source[stop:end], end + 1
+
+    def text_end(self, at: int) -> int:
+        """The next `<` from `at` on that begins a tag, a comment or a declaration."""
+        source = self.source
+        while (at := source.find("<", at)) >= 0:
+            if source[at + 1 : at + 2] in ("!", "?") or self.tag(at):
+                return at
+            at += 1
+        return len(source)
+
+    def aside_end(self, at: int) -> int:
+        """The end of the comment or declaration at `at`; an open one reaches the end of the page."""
+        closing = "-->" if self.source.startswith("<!--", at) else ">"
+        end = self.source.find(closing, at + 2)
+        return len(self.source) if end < 0 else end + len(closing)
+
+
 @dataclass
 class Part:
     """A token that is scored: a run of text, a tag, or a part that is skipped."""
@@ -92,13 +166,17 @@ def _skips(name: str, rest: str) -> bool:
     return False
 
 
+def _feature(name: str) -> str:
+    return name if name in KNOWN else "other" if name else ""
+
+
 def read(source: str) -> Page:
     """The page as scored tokens, in one pass. Text in skipped parts is left out."""
-    page = Page()
+    page, scan = Page(), Scanner(source)
     parts, stack, opened = page.parts, [], Counter()
     skip_at = 0  # depth of the outermost skipped element, 0 if none
     block, place, size = 0, 0, len(source)
-    main = "article" if re.search(r"<article[\s>]", source, re.IGNORECASE) else "main"
+    main = "article" if ARTICLE.search(source) else "main"
 
     def pop_to(depth: int) -> None:
         nonlocal skip_at
@@ -108,20 +186,22 @@ def read(source: str) -> Page:
             skip_at = 0
 
     while place < size:
-        token = TOKEN.match(source, place)
-        place = token.end()
-        name = token["name"]
-        if name is None:
-            text = token[0]
-            if skip_at or text[0] == "<" and len(text) > 1:
+        if source.startswith(("<!", "<?"), place):
+            place = scan.aside_end(place)
+            continue
+        token = scan.tag(place) if source[place] == "<" else None
+        if token is None:
+            begin, place = place, scan.text_end(place + 1)
+            if skip_at:
                 continue
+            text = source[begin:place]
             text = html.unescape(text) if "&" in text else text
             words = len(WORD.findall(text))
-            kind = f"w:{'a' if opened['a'] else stack[-1] if stack else ''}"
-            parts.append(Part(kind, words, opened[main] > 0, text, block))
+            inner = "a" if opened["a"] else stack[-1] if stack else ""
+            parts.append(Part(f"w:{_feature(inner)}", words, opened[main] > 0, text, block))
             continue
-        name = name.lower()
-        if token["close"]:
+        closes, name, rest, place = token
+        if closes:
             if name not in INLINE:
                 block += 1
             if opened[name]:
@@ -132,7 +212,7 @@ def read(source: str) -> Page:
                 quiet = skip_at
                 pop_to(depth)
                 if not quiet:
-                    parts.append(Part(f"t:{name}", 0, inside))
+                    parts.append(Part(f"t:{_feature(name)}", 0, inside))
             continue
         if name not in INLINE:
             block += 1
@@ -143,14 +223,14 @@ def read(source: str) -> Page:
         if not skip_at and name == main:
             page.marked = True
         if not skip_at:
-            skips = _skips(name, token["rest"])
+            skips = _skips(name, rest)
             if name in ("br", "td", "th"):
                 parts.append(Part(f"t:{name}", 0, opened[main] > 0, " ", block))
             else:
-                parts.append(Part("skip" if skips else f"t:{name}", 0, opened[main] > 0 or name == main))
+                parts.append(Part("skip" if skips else f"t:{_feature(name)}", 0, opened[main] > 0 or name == main))
         else:
             skips = False
-        if name in VOID or token["rest"].endswith("/") and name not in INLINE | SKIP_TAGS | {"div", "p"}:
+        if name in VOID or rest.endswith("/") and name not in INLINE | SKIP_TAGS | {"div", "p"}:
             continue
         if name in RAW:
             end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(source, place)
@@ -205,7 +285,7 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
 
     A feature is the element a word stands in (link or innermost element), or a tag's name. It is
     counted inside and outside the marked part; its weight is the log of the ratio. Tags are kept
-    negative, words within LIMIT. Only the counts, one row per element name, reach the driver.
+    negative, words within LIMIT. Only the counts reach the driver, two rows for each name in KNOWN at most.
     """
     share = min(1.0, sample / max(1, pages.count()))
     chosen = pages.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(9)), F.lit(1 << 20)) < int(share * (1 << 20)))
@@ -217,7 +297,7 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
             if page.marked:
                 for p in page.parts:
                     (inside if p.inside else outside)[p.kind] += max(1, p.words)
-        names = [n for n in {*inside, *outside} if len(n) < 20]
+        names = [*{*inside, *outside}]
         return pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), pa.array([inside[n] for n in names], pa.int64()),
              pa.array([outside[n] for n in names], pa.int64())],
@@ -228,8 +308,6 @@ def learn(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sam
         mapped(chosen.select(html_col), count, "name string, inside long, outside long")
         .groupBy("name")
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-        .orderBy((F.col("inside") + F.col("outside")).desc(), "name")
-        .limit(1000)
         .collect()
     )
     out = {}
@@ -245,11 +323,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", w
     """All rows and columns of `pages` but the html, with _text, the main text of the whole page.
 
     Null or empty html gives an empty text, and so does a page without positive words. Repeated rows
-    are extracted one by one; an empty table gives no rows; several articles of a page come in page order.
+    are extracted one by one; an empty table gives no rows. A column of `pages` named _text is replaced.
     """
     ready(pages.sparkSession)
     weights = learn(pages, id_col, html_col) if weights is None else weights
-    others = [c for c in pages.columns if c != html_col]
+    others = [c for c in pages.columns if c not in (html_col, "_text")]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [main_text(s, weights) for s in batch.column(html_col).to_pylist()]
@@ -257,5 +335,5 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", w
             [*[batch.column(c) for c in others], pa.array(texts, pa.string())], [*others, "_text"]
         )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name != html_col)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in others)
     return mapped(pages.select(*others, html_col), run, f"{schema}, _text string" if others else "_text string")

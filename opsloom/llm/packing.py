@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import defaultdict
 from functools import cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.llm.common import mapped, ready, slices, staged, text_or_empty
-from opsloom.llm.tokens import joined, range_hashes, runs, SPACE, utf8
+from opsloom.llm.tokens import joined, runs, SPACE, utf8
 from opsloom.operators.scale import positions
 
 CAPACITY = 2048
@@ -45,8 +47,20 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in plain else 256 + others.index(b)) for b in range(256)]
 
 
-class _Pieces:
-    """Ids of text pieces, remembered by hash."""
+class _Pieces(dict):
+    """Number of every text piece met so far; `ids` from `starts[k]`, `sizes[k]` long, are piece k's."""
+
+    def __init__(self, store: _Store, letters: bool):
+        super().__init__()
+        self.store, self.letters = store, letters
+
+    def __missing__(self, piece: bytes) -> int:
+        number = self[piece] = self.store.add(piece, self.letters)
+        return number
+
+
+class _Store:
+    """Ids of text pieces, remembered by the pieces themselves."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -56,35 +70,23 @@ class _Pieces:
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.offsets, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.words, self.others = _Pieces(self, True), _Pieces(self, False)
+        self.starts, self.sizes, self.ids = array("q"), array("q"), array("I")
 
-    def encode(self, piece: bytes, letters: bool) -> list[int]:
+    def add(self, piece: bytes, letters: bool) -> int:
         if letters:  # already in lower case and composed, one word for the model
-            return [t.id for t in self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, piece)))]
-        return self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
-
-    def learn(self, keys, checks, pieces: list[bytes], letters: np.ndarray) -> None:
-        new = [self.encode(p, bool(k)) for p, k in zip(pieces, letters)]
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        flat = np.fromiter((i for ids in new for i in ids), np.uint32, int(sizes.sum()))
-        offsets = len(self.ids) + np.cumsum(sizes) - sizes
-        order = np.argsort(all_keys := np.concatenate([self.keys, keys]), kind="stable")
-        self.keys, self.ids = all_keys[order], np.concatenate([self.ids, flat])
-        self.checks = np.concatenate([self.checks, checks])[order]
-        self.offsets = np.concatenate([self.offsets, offsets])[order]
-        self.sizes = np.concatenate([self.sizes, sizes])[order]
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        known = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        return at, known
+            new = [t.id for t in self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, piece)))]
+        else:
+            new = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
+        self.starts.append(len(self.ids))
+        self.sizes.append(len(new))
+        self.ids.extend(new)
+        return len(self.starts) - 1
 
 
 @cache
-def _pieces(path: str) -> _Pieces:
-    return _Pieces(path)
+def _store(path: str) -> _Store:
+    return _Store(path)
 
 
 def token_ids(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
@@ -92,10 +94,9 @@ def token_ids(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
 
     Equal to encoding each whole text: white space never joins tokens, nor do letters and other ASCII
     characters, so texts are cut there and each different piece is encoded once. Words with
-    anything else (other scripts, apostrophes, a possible special token) stay whole. A piece is
-    found by 64 bits of hash and confirmed by 64 more.
+    anything else (other scripts, apostrophes, a possible special token) stay whole.
     """
-    store = _pieces(path)
+    store = _store(path)
     buffer, text_starts = joined(texts)
     classes = _CLASSES[buffer]
     # Latin-1 letters, two bytes from 0xC3 on, count as letters; the signs among them don't.
@@ -124,26 +125,17 @@ def token_ids(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     end = edge[1:][kinds[:-1] != _BLANK] if len(edge) else edge
     kind = classes[begin]
     owner = np.searchsorted(text_starts, begin, side="right") - 1
-    keys = range_hashes(lower, begin, end, 11) ^ (kind == _LETTER).astype(np.uint64)
-    checks = range_hashes(lower, begin, end, 12)
-    unique, first, back = np.unique(keys, return_index=True, return_inverse=True)
-    if len(store.keys) > CACHED_PIECES:
+    if len(store.starts) > CACHED_PIECES:
         store.clear()
-    _, known = store.find(unique)
-    new = first[~known]
-    if len(new):
-        raw = lower.tobytes()
-        found = [raw[i:j] for i, j in zip(begin[new].tolist(), end[new].tolist())]
-        store.learn(unique[~known], checks[new], found, kind[new] == _LETTER)
-    at, _ = store.find(unique)
-    at = at[back]
-    if len(at) and (store.checks[at] != checks).any():  # two pieces with one hash: encode texts whole
-        lists = [store.tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        return np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum())), sizes
-    sizes = store.sizes[at] if len(at) else np.zeros(0, np.int64)
-    shift = store.offsets[at] - (np.cumsum(sizes) - sizes) if len(at) else sizes
-    flat = store.ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+    raw = lower.tobytes()
+    found = [raw[i:j] for i, j in zip(begin.tolist(), end.tolist())]
+    letters = kind == _LETTER
+    number = np.empty(len(found), np.int64)
+    number[letters] = list(map(store.words.__getitem__, compress(found, letters)))
+    number[~letters] = list(map(store.others.__getitem__, compress(found, ~letters)))
+    sizes = np.array(store.sizes)[number]
+    shift = np.array(store.starts)[number] - (np.cumsum(sizes) - sizes)
+    flat = np.array(store.ids)[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
     return flat, np.bincount(owner, sizes, minlength=len(texts)).astype(np.int64)
 
 

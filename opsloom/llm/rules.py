@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsloom.functions.barrier import computed_once
-from opsloom.llm.common import ready, text_or_empty
+from opsloom.llm.common import ready, text_or_empty, WORD
 
 BLANKS = " \t\n\x0b\f\r"
 SPLIT = "[\\x20\\x09-\\x0D]+"
@@ -19,11 +19,11 @@ MOST_REPEATED = 20  # per cent of the words
 SYMBOL_SHARE = 0.1  # of a line's characters
 MARK_SHARE = 0.5  # doubled marks per word
 BOILERPLATE_WORDS = 40  # longer lines with such a phrase stay
-LINK_WORDS = 3  # a line of so few words without a stop is navigation
+LINK_WORDS, LINK_CHARS = 3, 60  # a line of so few words and characters without a stop is navigation
 MOST_LOST = 0.5  # of a text's characters
 ENDINGS = ".!?:;…\"')”»。！？"
 
-# Lower-case phrases of lines that are not content.
+# Lower-case phrases of lines that are not content, in English, German, French and Spanish.
 BOILERPLATE = (
     "all rights reserved",
     "click here",
@@ -41,6 +41,18 @@ BOILERPLATE = (
     "terms of use",
     "use of cookies",
     "uses cookies",
+    "alle rechte vorbehalten",
+    "datenschutzerklärung",
+    "hier klicken",
+    "weiterlesen",
+    "cliquez ici",
+    "lire la suite",
+    "mentions légales",
+    "tous droits réservés",
+    "aviso legal",
+    "haga clic",
+    "leer más",
+    "todos los derechos reservados",
 )
 
 
@@ -59,9 +71,8 @@ def line_fails(line: Column, suspect: Column) -> Column:
     `suspect` tells whether its text has a symbol, a doubled mark or a phrase at all; the rules on
     these are skipped for the lines of other texts.
     """
-    trimmed = F.trim(line, F.lit(BLANKS))
-    n_words = count_of(trimmed, " ") + 1
-    chars = F.length(trimmed) - n_words + 1
+    n_words = F.regexp_count(line, F.lit(WORD))
+    chars = F.length(F.translate(line, BLANKS, ""))
     doubled = F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("!")))
     unlike_text = (
         (count_of(line, SYMBOLS) > SYMBOL_SHARE * chars)
@@ -69,7 +80,7 @@ def line_fails(line: Column, suspect: Column) -> Column:
         | (has_phrase(F.lower(line)) & (n_words <= BOILERPLATE_WORDS))
     )
     open_end = ~F.contains(F.lit(ENDINGS), F.right(F.rtrim(line, F.lit(BLANKS)), F.lit(1)))
-    link = open_end & (n_words <= LINK_WORDS)
+    link = open_end & (n_words <= LINK_WORDS) & (chars <= LINK_CHARS)
     return F.when(suspect, unlike_text).otherwise(F.lit(False)) | link | F.contains(line, F.lit(" » "))
 
 
@@ -178,15 +189,15 @@ WITH texts AS (
   WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
 ), sized AS (
   SELECT r, line, trim(line, {blank}) AS trimmed,
-    length(trim(line, {blank})) - length(replace(trim(line, {blank}), ' ', '')) + 1 AS n,
+    len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n,
     length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars
   FROM lines
 ), judged AS (
   SELECT r, line, chars,
-    ({symbols.format('line')} > {SYMBOL_SHARE} * (length(trimmed) - n + 1)
+    ({symbols.format('line')} > {SYMBOL_SHARE} * chars
       OR length(line) - length(replace(line, '!!', '!')) > {MARK_SHARE} * n
       OR (({phrases}) AND n <= {BOILERPLATE_WORDS})
-      OR (NOT contains('{endings}', right(trimmed, 1)) AND n <= {LINK_WORDS})
+      OR (NOT contains('{endings}', right(trimmed, 1)) AND n <= {LINK_WORDS} AND chars <= {LINK_CHARS})
       OR contains(line, ' » ')) AS fails
   FROM sized
 ), by_line AS (

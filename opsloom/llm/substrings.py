@@ -44,7 +44,7 @@ def _anchors(window: int):
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, parts, counts = utf8(batch.column("text")), [], []
         for begin, end, words in _sliced(texts):
-            first, hashes = words.windows(words.hashes(1), size, 2)
+            first, hashes = words.windows(words.digests()[0], size, 2)
             at = words.place()[first]
             # Only anchors of texts with a whole window matter.
             on = _marked()[at % PERIOD] & (words.counts[words.text[first]] >= window)
@@ -75,8 +75,9 @@ def _candidates(window: int):
             np.add.at(reach, np.maximum(place - PERIOD + 1, words.first[owner]), 1)
             np.add.at(reach, place + 1, -1)
             near = np.cumsum(reach)[:-1] > 0
-            first, one = words.windows(words.hashes(1), window, 3)
-            _, two = words.windows(words.hashes(4), window, 5)
+            low, high = words.digests()
+            first, one = words.windows(low, window, 3)
+            _, two = words.windows(high, window, 5)
             on = near[first]
             first, owner = first[on], words.text[first[on]]
             starts.append(_lists((words.place()[first]).astype(np.int32), owner, end - begin, pa.int32()))
@@ -164,7 +165,7 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
     return out
 
 
-def _kept(window: int, columns: list[str], text_col: str):
+def _kept(window: int, columns: list[str]):
     """The batch with what stays of each text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -192,40 +193,47 @@ def _kept(window: int, columns: list[str], text_col: str):
         return pa.RecordBatch.from_arrays(
             [*rest, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests),
              pa.array(kept, pa.binary()).cast(pa.string())],
-            [*columns, "_n_words", "_n_removed", "_kept_sha256", "_kept"],
+            [*columns, *OUTPUTS],
         )
 
     return run
 
 
+OUTPUTS = {"_n_words": "long", "_n_removed": "long", "_kept_sha256": "string", "_kept": "string"}
+
+
 def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """All rows and columns of `docs`, with _n_words, _n_removed, _kept_sha256 and _kept (kept words).
 
     Every word covered by a window of `window` words whose sequence also starts anywhere else in
     `docs` (the same text included) is removed; windows are judged on the input. Null texts have no
     words, texts shorter than a window lose nothing, repeated rows count as copies, an empty table
-    gives no rows. Columns that begin with an underscore must not clash with those named here.
+    gives no rows. Columns of `docs` may have any name; one named like an output is replaced by it.
     """
     ready(docs.sparkSession)
     found = repeated_windows(docs, text_col, window).withColumnsRenamed(
         {"starts": "_starts", "whole": "_whole", "k1": "_k1", "k2": "_k2"}
     )
-    keys = {f"_{k}": c for k, c in _text_key(F.col("_text")).items()}
-    keyed = docs.withColumn("_text", text_or_empty(text_col)).withColumns(keys)
+    names = [c for c in docs.columns if c not in OUTPUTS]
+    inner = [f"c{i}" for i in range(len(names))]
+    plain = docs.select(
+        text_or_empty(text_col).alias("_text"), *[F.col(f"`{c}`").alias(i) for c, i in zip(names, inner)]
+    )
+    keyed = plain.withColumns({f"_{k}": c for k, c in _text_key(F.col("_text")).items()})
     joined = keyed.join(found, ["_k1", "_k2"], "left").withColumn("_whole", F.coalesce("_whole", F.lit(False)))
-    columns = [c for c in docs.columns]
-    fields = [f.simpleString().split(":", 1) for f in docs.schema.fields]
-    schema = ", ".join([*[f"`{n}` {t}" for n, t in fields], "_n_words long", "_n_removed long",
-                        "_kept_sha256 string", "_kept string"])
-    return mapped(joined.select(*columns, "_text", "_starts", "_whole"), _kept(window, columns, text_col), schema)
+    kinds = [f"{i} {docs.schema[c].dataType.simpleString()}" for c, i in zip(names, inner)]
+    schema = ", ".join([*kinds, *[f"{n} {t}" for n, t in OUTPUTS.items()]])
+    kept = mapped(joined.select(*inner, "_text", "_starts", "_whole"), _kept(window, inner), schema)
+    return kept.withColumnsRenamed(dict(zip(inner, names)))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with repeats taken out of `text`; texts that lose nothing stay as they are."""
+    taken = {c: f"c{i}" for i, c in enumerate(docs.columns) if c in OUTPUTS}
     changed = F.col("_n_removed") > 0
-    out = remove_repeats(docs, window=window)
+    out = remove_repeats(docs.withColumnsRenamed(taken), window=window)
     out = out.withColumn("text", F.when(changed, F.col("_kept")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         size = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.drop(*OUTPUTS).withColumnsRenamed({i: c for c, i in taken.items()}).select(*docs.columns)

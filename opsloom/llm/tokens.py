@@ -1,8 +1,11 @@
-"""Words of UTF-8 texts as numpy arrays, and hashes of words and word windows without a Python loop.
+"""Words of UTF-8 texts as numpy arrays, and hashes of words and word windows.
 
 A word is a run of bytes other than 0x20 and 0x09-0x0D; these bytes never occur inside a multi-byte
-character. Hashes are polynomials modulo 2^64 in an odd base. Such a base has an inverse, so the
-hash of any range follows from two running sums, whatever the length of the range.
+character. What is decided by equal hashes uses `digests`: every word has a 128-bit XXH3 hash, and a
+window's hash is a sum of its words' hashes, each times a random odd factor of its place. Factors of
+different places are independent, so no regular sequence of words makes two windows equal.
+`range_hashes` are polynomials modulo 2^64, which some regular texts share; they only pick a column
+of a model's feature table, where equal hashes share a weight.
 """
 
 from __future__ import annotations
@@ -10,11 +13,17 @@ from __future__ import annotations
 from functools import cache, lru_cache
 
 import numpy as np
+import xxhash
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+@cache
+def factors(size: int, seed: int) -> np.ndarray:
+    return np.random.default_rng([seed, size]).integers(0, 1 << 63, size, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 @lru_cache(maxsize=8)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     base = int(np.random.default_rng(1).integers(1 << 61, 1 << 63)) * 2 + 1
@@ -69,8 +78,15 @@ class Words:
         return len(self.starts)
 
     def hashes(self, seed: int) -> np.ndarray:
+        """Feature hashes; different words may share one."""
         return range_hashes(self.buffer, self.starts, self.ends, seed)
 
+    def digests(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent 64-bit hashes of each word."""
+        raw = b"".join(map(xxhash.xxh3_128_digest, self.buffer.tobytes().split()))
+        both = np.frombuffer(raw, "<u8").reshape(-1, 2)
+        return np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
+
     def place(self) -> np.ndarray:
         """Each word's index in its text."""
         return np.arange(len(self.starts)) - self.first[self.text]
@@ -81,9 +97,10 @@ class Words:
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         first = np.flatnonzero(self.text[:n] == self.text[size - 1 :])
-        up, down = powers(len(hashes))
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[: len(hashes)])])
-        return first, mix((sums[first + size] - sums[first]) * down[first] + byte_values(seed)[0])
+        sums = np.zeros(n, np.uint64)
+        for place, factor in enumerate(factors(size, seed)):
+            sums += hashes[place : place + n] * factor
+        return first, sums[first]
 
 
 def range_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 from opsloom.llm import html
 from opsloom.llm.queries import queries
@@ -64,12 +65,26 @@ def test_broken_pages():
     assert len(text("<article><p>" + "word " * 200_000)) == 999_999
 
 
+def test_hostile_pages_take_linear_time():
+    n = 1_000_000
+    pages = ["<a ", '<p x="', "<", "<a", "</a", '<a "" ', "<a '\"' ", '<!-- ', "<a x=y ", "<!"]
+    for bit in pages:
+        for end in ("", ">", '"', '">"', "-->"):
+            source = bit * (n // len(bit)) + end
+            began = time.process_time()
+            html.main_text(source, {})
+            assert time.process_time() - began < 5, (bit, end)
+    assert text("a <i>e</i> < d <a x='>' \">\"") == "a e < d <a x='>' \">\""
+
+
 def test_rows_and_clashing_columns(spark):
     rows = [(1, "u", f"<article><p>{PROSE}</article>", "x"), (1, "u", f"<article><p>{PROSE}</article>", "x"), (None, None, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     out = html.extract(pages).collect()
     assert [r.text for r in out] == ["x", "x", None] and [r._text for r in out] == [PROSE.strip()] * 2 + [""]
     assert html.extract(pages.limit(0)).count() == 0
+    own = html.extract(pages.withColumnRenamed("text", "_text"), weights={})
+    assert own.columns == ["page_id", "url", "_text"] and own.first()._text == PROSE.strip()
 
 
 def test_query(spark, sf):

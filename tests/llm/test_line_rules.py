@@ -47,6 +47,17 @@ def test_lines(spark):
     assert rules.line_rules(docs.limit(0), keep=("doc_id",)).count() == 0
 
 
+def test_lines_count_words_whatever_stands_between(spark):
+    line = " ".join(f"word{i}" for i in range(19)) + " ends."
+    texts = {"blanks": line, "tabs": line.replace(" ", "\t"), "wide": line.replace(" ", " \t  "), "mixed": line.replace(" ", "\x0b")}
+    docs = spark.createDataFrame([(k, "\n".join([t] * 1 + [t[::-1]] * 1)) for k, t in texts.items()], "doc_id string, text string")
+    out = {r.doc_id: (r.kept, r.lost) for r in rules.line_rules(docs, keep=("doc_id",)).collect()}
+    assert set(out.values()) == {(True, 0.0)}
+    long = "\u6f22" * 200  # a line of a script that writes neither blanks nor stops
+    docs = spark.createDataFrame([(1, long + "\n" + "a b c d e f g h i j k l. "), (2, "\u6f22\n" + long)], "doc_id long, text string")
+    assert [r.lost for r in rules.line_rules(docs, keep=("doc_id",)).orderBy("doc_id").collect()] == [0.0, 1 - 200 / 201]
+
+
 def test_keeps_labelled_clean_documents(spark, sf):
     docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
     out = rules.line_rules(docs, keep=("doc_id",)).join(labels, "doc_id")

@@ -32,6 +32,16 @@ def test_ids_equal_whole_text_encoding(tokenizer):
         assert flat.tolist() == [i for w in want for i in w]
 
 
+def test_ids_of_regular_words(tokenizer):
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+        both = [word, word.translate(str.maketrans("ab", "ba")), word + "'"]
+        flat, counts = packing.token_ids([t.encode() for t in both], PATH)
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in both]
+        assert counts.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+
+
 def bound(counts, capacity):
     lengths = np.arange(capacity + 1)
     big = counts[lengths * 2 > capacity].sum()

@@ -67,6 +67,39 @@ def test_columns_and_empty_table(spark):
     }
 
 
+def thue_morse(letters):
+    word = "a"
+    while len(word) < letters:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_regular_words_and_windows_are_told_apart(spark):
+    """Texts that share every hash which is a polynomial modulo a power of two."""
+    rows = []
+    for n in range(8, 13):
+        one, two = thue_morse(1 << n)
+        before, after = " ".join(f"p{i}" for i in range(17)), " ".join(f"q{i}" for i in range(17))
+        rows += [(2 * n, f"{before}{n} {one} {after}"), (2 * n + 1, f"{before}{n} {two} {after}")]
+    one, two = thue_morse(4096)
+    rows += [(100, " ".join(one)), (101, " ".join(two))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = got(substrings.remove_repeats(docs))
+    assert out == brute(rows, 35)
+    assert all(removed == 0 for doc, _, removed, _ in out if doc < 100)
+
+
+def test_clashing_columns(spark):
+    line = " ".join(f"w{i}" for i in range(36))
+    rows = [(1, line, "a", "b", 1, 2, 3, "x"), (2, line + " c", "a", "b", 1, 2, 3, "x")]
+    names = "doc_id long, text string, _text string, _kept string, _k1 int, _starts int, _n_removed int, c0 string"
+    docs = spark.createDataFrame(rows, names)
+    assert got(substrings.remove_repeats(docs)) == brute([(r[0], r[1]) for r in rows], 35)
+    out = substrings.without_repeats(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect())) == [(1, "", *rows[0][2:]), (2, "c", *rows[1][2:])]
+
+
 def test_marks_are_a_difference_cover():
     marks = substrings.MARKS
     assert {(a - b) % substrings.PERIOD for a in marks for b in marks} == set(range(substrings.PERIOD))
