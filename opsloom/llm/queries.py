@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsloom.llm import chat, embeddings, html, mixing, packing, quality, rules, simhash, substrings, toxicity
+from opsloom.llm import (
+    alignment, chat, embeddings, html, mixing, packing, quality, resampling, rules, simhash, substrings, toxicity, urls,
+)
 from opsloom.llm.common import table
 
 
@@ -57,6 +59,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(chat.probe_turns(table(spark, sf_dir, "conversations"))))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), urls.rule_table(spark, urls.RULES)).drop("url")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_main_text": op1_main_text,
@@ -69,8 +83,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_packing": op8_packing,
         "op9_toxicity": op9_toxicity,
         "op10_chat": op10_chat,
+        "op11_resampling": op11_resampling,
+        "op12_alignment": op12_alignment,
+        "op13_url_rules": op13_url_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_rules": rules.SQL, "op10_chat": chat.SQL}
+    return {"op4_line_rules": rules.SQL, "op10_chat": chat.SQL, "op13_url_rules": urls.SQL}

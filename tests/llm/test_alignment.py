@@ -1,0 +1,124 @@
+"""Alignment against a plain walk over decoded bytes."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
+
+from opsloom.llm import alignment
+from opsloom.llm.queries import queries
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+NAMES = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def tools():
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, SentencePieceProcessor(model_file=B)
+
+
+def letters():
+    """Letter of each byte, read off the library."""
+    own = {}
+    for c in [*map(chr, range(0x800)), *map(chr, range(0x800, 0x11000, 61)), *map(chr, range(0x10000, 0x110000, 4093))]:
+        if not 0xD800 <= ord(c) < 0xE000:
+            own.update(zip(ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(c)[0][0], c.encode()))
+    return own
+
+
+def groups_of(text, tools, byte_of):
+    if not text:
+        return []
+    a, b = tools
+    source = b" " + text.encode()
+    one = a.encode(" " + text, add_special_tokens=False)
+    left = [(i, bytes(byte_of[c] for c in t)) for i, t in zip(one.ids, one.tokens)]
+    right = []
+    for i in b.encode(text):
+        piece = b.id_to_piece(i)
+        right.append((i, bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("\u2581", " ").encode()))
+    if b"".join(x for _, x in left) != source or b"".join(x for _, x in right) != source:
+        return []
+    out, x, y, i, j = [], 0, 0, 0, 0
+    while i < len(left):
+        ga, gb = [], []
+        while not ga or x != y:
+            if x <= y:
+                ga.append(left[i][0])
+                x += len(left[i][1])
+                i += 1
+            else:
+                gb.append(right[j][0])
+                y += len(right[j][1])
+                j += 1
+        out.append((ga, gb))
+    return out
+
+
+def plain(rows, tools):
+    byte_of = letters()
+    found = [(doc, groups_of(text, tools, byte_of)) for doc, text in rows]
+    count, best = Counter(), defaultdict(int)
+    for _, groups in found:
+        count.update({(a, b) for ga, gb in groups for a in ga for b in gb})
+    for (a, _), n in count.items():
+        best[a] = max(best[a], n)
+    out = []
+    for doc, groups in found:
+        links = [(a, b) for ga, gb in groups for a in ga for b in gb]
+        text = ";".join(f"{','.join(map(str, ga))}|{','.join(map(str, gb))}" for ga, gb in groups)
+        out.append((
+            doc, sum(len(g) for g, _ in groups), sum(len(g) for _, g in groups), len(groups), len(links),
+            sum(count[x] == best[x[0]] for x in links), sum(count[x] for x in links),
+            hashlib.sha256(text.encode()).hexdigest() if groups else "",
+        ))
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.select(*NAMES).collect()), key=repr)
+
+
+def test_random_texts(spark, tools):
+    rng = random.Random(5)
+    parts = [*"abcXYZ019 .,;'-_<>|\t\n\r", "é", "ﬁ", "漢", "字", "🙂", "\u200d", "\u2581", "\x00", "  ", "   ", "the ", "tion", "<s>", "</s>",
+             "<|endoftext|>", "<0xE6>", "<unk>", "Å", "́", "\U0010ffff", "한", "ÿ", "aaaa", "===="]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(60))) for _ in range(500)]
+    texts += [None, "", " ", "\u2581", "a" * 5000, "=" * 3000, "漢🙂" * 900, "ab " * 20_000, "\n" * 700, "🙂"]
+    rows = [*enumerate(texts), (None, "a b"), (3, texts[3]), (3, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = plain(rows, tools)
+    assert sum(r[3] > 0 for r in want) > 200 and sum(r[3] == 0 for r in want) > 20
+    assert got(alignment.align(docs)) == want
+    assert got(alignment.align(docs, broadcast_rows=0)) == want
+
+
+def test_spans_spell_the_text(spark, tools):
+    texts = ["plain words, and more", "é漢🙂 x", "🙂🙂", "\u2581"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    byte_of = letters()
+    for r in alignment.tokens_aligned(docs, A, B, spans=True).collect():
+        groups = groups_of(texts[r.doc_id], tools, byte_of)
+        assert r.a_ids == [i for g, _ in groups for i in g] and r.b_ids == [i for _, g in groups for i in g]
+        assert r.cuts == sorted(set(r.a_ends) & set(r.b_ends)) and len(r.cuts) == len(groups)
+        if groups:
+            assert r.a_ends[-1] == r.b_ends[-1] == r.cuts[-1] == len(texts[r.doc_id].encode()) + 1
+
+
+def test_empty_table_and_clashing_columns(spark, tools):
+    rows = [(1, "a b c", 4, "x", None), (1, "a b c", 4, "x", None), (2, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_a int, pairs string, _row int")
+    assert got(alignment.align(docs)) == plain([r[:2] for r in rows], tools)
+    assert alignment.align(docs.limit(0)).count() == 0
+
+
+def test_query(spark, sf, tools):
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    assert got(queries()["op12_alignment"](spark, sf)) == plain(rows, tools)
