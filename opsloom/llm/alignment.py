@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from array import array
 from functools import cache
 from itertools import chain
 
@@ -20,6 +22,12 @@ SMALL_GROUP = 64
 # A table of pair counts up to this many rows (some 24 bytes each) is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 4_000_000
 SEPARATORS = (",", "|", ";")
+# Parts of texts whose alignment a Python worker remembers: it starts anew beyond so many bytes of them.
+REMEMBERED_BYTES = 8_000_000
+COUNTS = ("n_a", "n_b", "n_groups", "n_links")
+KEPT = (*COUNTS, "groups_sha256")
+# A blank between characters that are not white space: no token of either kind holds what is on both sides.
+BORDER = re.compile(r"(?<=\S) (?=\S)")
 
 
 def _byte_of() -> dict[str, int]:
@@ -62,6 +70,11 @@ class _Tokenizers:
             entries[i] = word.encode()
         self.bytes_a = _Bytes(entries)
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        # Entries that go on with a blank after something else would join what BORDER parts.
+        self.parted = not any(re.search(r"\S ", e.decode(errors="replace")) for e in entries) and not any(
+            re.search("[^\u2581]\u2581", n) for n in names
+        )
+        self.store = _Store(self)
         single = [self.b.is_byte(i) for i in range(len(names))]
         self.bytes_b = _Bytes([
             bytes([int(n[3:5], 16)]) if one else n.replace("\u2581", " ").encode() for n, one in zip(names, single)
@@ -86,6 +99,63 @@ class _Tokenizers:
         return ids, np.fromiter(spans, np.int64, 2 * n).reshape(-1, 2), counts
 
 
+class _Store:
+    """The alignment of every part of a text met so far, by the part: counts, written groups, id pairs."""
+
+    def __init__(self, tools: _Tokenizers):
+        self.tools = tools
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.bytes = 0
+        self.written: list[str] = []
+        self.known = {c: array("q") for c in (*COUNTS, "good", "first", "size", "pairs", "links")}
+
+    def learn(self, parts: list[str]) -> None:
+        texts = [p.encode() for p in parts]
+        for i, j in slices(texts):
+            found = Aligned(texts[i:j], self.tools)
+            text, pair, links = found.pairs(len(self.tools.bytes_b.size))
+            size = np.bincount(text, minlength=j - i)
+            first = len(self.known["pairs"]) + _first(size)
+            new = {**{c: getattr(found, c) for c in COUNTS}, "good": found.n_a > 0, "first": first, "size": size, "pairs": pair, "links": links}
+            for name, values in new.items():
+                self.known[name].frombytes(values.astype(np.int64).tobytes())
+            self.written += found.written(self.tools)
+        self.number.update(zip(parts, range(len(self.number), len(self.number) + len(parts))))
+        self.bytes += sum(map(len, texts))
+
+    def look_up(self, texts: list[str]) -> tuple[dict[str, np.ndarray], list[str], tuple[np.ndarray, ...]]:
+        """Per text the counts and the hash of its groups; and text, pair, links of all, as in `Aligned.pairs`."""
+        if self.bytes > REMEMBERED_BYTES:
+            self.clear()
+        split = BORDER.split if self.tools.parted else lambda text: [text]
+        parts = [split(t) if t else [] for t in texts]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        every = [*chain.from_iterable(parts)]
+        self.learn([p for p in dict.fromkeys(every) if p not in self.number])
+        number = np.fromiter(map(self.number.__getitem__, every), np.int64, len(every))
+        known = {c: np.frombuffer(v, np.int64) if v else np.zeros(0, np.int64) for c, v in self.known.items()}
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        good = np.bincount(owner, known["good"][number] == 0, len(texts)) == 0
+        ends = np.cumsum(sizes)
+        counts = {}
+        for c in COUNTS:
+            total = np.concatenate([[0], np.cumsum(known[c][number])])
+            counts[c] = np.where(good, total[ends] - total[ends - sizes], 0)
+        digests = [
+            hashlib.sha256(";".join(map(self.written.__getitem__, number[i : i + n].tolist())).encode()).hexdigest() if g and n else ""
+            for i, n, g in zip(_first(sizes).tolist(), sizes.tolist(), good.tolist())
+        ]
+        kept = good[owner]
+        both, times = np.unique(owner[kept] * len(self.written) + number[kept], return_counts=True)
+        text, part = both // max(1, len(self.written)), both % max(1, len(self.written))
+        each = known["size"][part]
+        at = np.repeat(known["first"][part] - _first(each), each) + np.arange(int(each.sum()))
+        return counts, digests, _summed(np.repeat(text, each), known["pairs"][at], known["links"][at] * np.repeat(times, each))
+
+
 @cache
 def _tokenizers(path_a: str, path_b: str) -> _Tokenizers:
     return _Tokenizers(path_a, path_b)
@@ -95,6 +165,18 @@ def _first(counts: np.ndarray) -> np.ndarray:
     return np.cumsum(counts) - counts
 
 
+def _summed(text: np.ndarray, pair: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every different (text, pair) once, in order, with all its links."""
+    if not len(pair):
+        return text, pair, links
+    most = int(pair.max()) + 1
+    key = text * most + pair
+    order = np.argsort(key)
+    key = key[order]
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[new] // most, key[new] % most, np.add.reduceat(links[order], new)
+
+
 def refined(coarse: np.ndarray, exact: np.ndarray, sizes: np.ndarray, counts: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Byte ends of tokens from coarse cuts.
 
@@ -131,8 +213,10 @@ class Aligned:
         coarse = chars[np.minimum(base + spans[:, 1], len(chars) - 1)]
         ends_a = refined(coarse, exact, tools.bytes_a.size[ids_a], self.n_a, starts)
         ids_b, spans, self.n_b = tools.spans_b(texts)
-        # The blank in front of the text has no place in the spans of B, hence one more.
-        exact = (spans[:, 1] > spans[:, 0]) | (spans[:, 1] == 0)
+        # The blank in front of the text has no place in the spans of B, hence one more; it may be a token itself.
+        exact = spans[:, 1] > spans[:, 0]
+        begun = _first(self.n_b)[self.n_b > 0]
+        exact[begun] |= spans[begun, 1] == 0
         coarse = spans[:, 1] + np.repeat(starts, self.n_b) + 1
         ends_b = refined(coarse, exact, tools.bytes_b.size[ids_b], self.n_b, starts)
         good = self._spelled(sources, ids_a, self.n_a, tools.bytes_a) & self._spelled(sources, ids_b, self.n_b, tools.bytes_b)
@@ -156,8 +240,8 @@ class Aligned:
         begins = [0, *ends[:-1]]
         return np.fromiter((raw[i:j] == s and s != b"" for i, j, s in zip(begins, ends, sources)), bool, len(sources))
 
-    def digests(self, tools: _Tokenizers) -> list[str]:
-        """Per text the hash of its groups, written as a1,a2|b1;a3|b2,b3."""
+    def written(self, tools: _Tokenizers) -> list[str]:
+        """Per text its groups, written as a1,a2|b1;a3|b2,b3."""
         before_a, before_b = _first(self.size_a), _first(self.size_b)
         out = np.empty(len(self.ids_a) + len(self.ids_b), object)
         at_a = np.arange(len(self.ids_a)) + before_b[self.group_a]
@@ -171,8 +255,7 @@ class Aligned:
         ends = np.cumsum(self.n_a + self.n_b).tolist()
         found, begin = [], 0
         for end in ends:
-            text = "".join(out[begin:end].tolist())[:-1]
-            found.append(hashlib.sha256(text.encode()).hexdigest() if end > begin else "")
+            found.append("".join(out[begin:end].tolist())[:-1])
             begin = end
         return found
 
@@ -194,18 +277,13 @@ class Aligned:
             two, n_two = np.unique(self.ids_b[begin_b[g] : begin_b[g] + self.size_b[g]], return_counts=True)
             both = (one[:, None] * size_b + two).ravel()
             parts.append((np.full(len(both), self.text[g]), both, (n_one[:, None] * n_two).ravel()))
-        text, pair, links = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((pair, text))
-        text, pair, links = text[order], pair[order], links[order]
-        new = np.flatnonzero(np.append(True, (np.diff(pair) != 0) | (np.diff(text) != 0))) if len(pair) else order
-        return text[new], pair[new], np.add.reduceat(links, new) if len(new) else links
+        return _summed(*(np.concatenate(x) for x in zip(*parts)))
 
 
 def _lists(values: np.ndarray, text: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(n + 1)), pa.int32()), pa.array(values))
 
 
-KEPT = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 LISTS = ("pairs", "links")
 SPANS = ("a_ids", "a_ends", "b_ids", "b_ends", "cuts")
 
@@ -226,17 +304,16 @@ def tokens_aligned(
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         tools, texts = _tokenizers(path_a, path_b), utf8(batch.column(1))
-        size_b = len(tools.bytes_b.size)
         columns: dict[str, list] = {c: [] for c in (*KEPT, *LISTS, *extra)}
         for i, j in slices(texts):
-            found = Aligned(texts[i:j], tools)
-            for name in KEPT[:4]:
-                columns[name].append(pa.array(getattr(found, name), pa.int64()))
-            columns["groups_sha256"].append(pa.array(found.digests(tools), pa.string()))
-            text, pair, links = found.pairs(size_b)
+            counts, digests, (text, pair, links) = tools.store.look_up([t.decode() for t in texts[i:j]])
+            for name, values in counts.items():
+                columns[name].append(pa.array(values, pa.int64()))
+            columns["groups_sha256"].append(pa.array(digests, pa.string()))
             columns["pairs"].append(_lists(pair, text, j - i))
             columns["links"].append(_lists(links, text, j - i))
             if spans:
+                found = Aligned(texts[i:j], tools)
                 of_a, of_b = (np.repeat(np.arange(j - i), n) for n in (found.n_a, found.n_b))
                 for name, values, of in (
                     ("a_ids", found.ids_a, of_a), ("a_ends", found.ends_a - found.starts[of_a], of_a),
@@ -269,7 +346,8 @@ def align(
     it linked, in the whole corpus. `count_sum` adds the counts of a row's links, `n_best` is how many
     of them have the highest count of their A id, ties included.
 
-    Texts are encoded once; a row's different pairs are stored beside it as two lists. Counting them
+    Texts are parted at single blanks between words, where neither vocabulary has an entry that goes
+    on; a worker aligns each different part once. A row's different pairs are stored beside it as two lists. Counting them
     is one partial sum per task and pair. The counts, a row per different pair, come back to the rows
     by a broadcast behind a check of their number, else by a shuffle join.
 
