@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opsloom.functions.calendar import on_days
@@ -15,8 +16,8 @@ from opsloom.schemas import CLOSED_STATES
 
 PAGE_LIMIT = 500
 RISK_LIMIT = 200
-# Up to here the first rows are kept in a bounded heap per task; beyond, rows get global positions.
-HEAP_ROWS = 100_000
+# Scores lie in 0-100; a histogram of tenths has so many steps, and one below for missing scores.
+TENTHS = 1_000
 
 
 def queue_order() -> list[Column]:
@@ -115,41 +116,54 @@ def peek(items: DataFrame, version: str | None = None) -> DataFrame:
     return triage_queue(items, version).limit(1)
 
 
-def take(
-    items: DataFrame, n: int, version: str | None = None, heap_rows: int = HEAP_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """(the first n items, the remaining queue)."""
+def _tenth() -> Column:
+    """The histogram step of a row: ordered like the scores, missing ones last."""
+    score = F.col("priority_score").cast("double")
+    inside = F.least(F.greatest(score, F.lit(0.0)), F.lit(100.0))
+    step = F.when(F.isnan(score), TENTHS).otherwise(F.floor(inside * (TENTHS / 100))).cast("int")
+    return F.when(score.isNull(), F.lit(-1)).otherwise(step)
+
+
+def _places(items: DataFrame, last: int) -> tuple[DataFrame, DataFrame]:
+    """(rows that may be among the first `last`, with their queue position; all others).
+
+    A histogram of the scores, counted map-side, tells below which step no row can be; only the rows
+    from there up are sorted, over as many tasks as they need.
+    """
+    steps = items.groupBy(_tenth().alias("_step")).agg(F.count(F.lit(1)).alias("_n"))
+    above = F.coalesce(F.sum("_n").over(W.orderBy(F.desc("_step")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    cut = steps.withColumn("_above", above).where(F.col("_above") < last).agg(F.min("_step")).first()[0]
+    if cut is None:
+        return positions(items.limit(0), queue_order()), items
+    return positions(items.where(_tenth() >= cut), queue_order()), items.where(_tenth() < cut)
+
+
+def take(items: DataFrame, n: int, version: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(the first n items, the remaining queue), both in queue order, for any n."""
     live = items if version is None else latest_by_key(items, "exception_id", version)
-    if n > heap_rows:
-        placed = positions(live, queue_order())
-        return placed.where(F.col("position") < n).drop("position"), placed.where(
-            F.col("position") >= n
-        ).drop("position")
-    first = live.orderBy(*queue_order()).limit(n)
-    return first, live.join(first.select("exception_id"), "exception_id", "left_anti")
+    placed, others = _places(live, n)
+    first = placed.where(F.col("position") < n).orderBy("position").drop("position")
+    rest = placed.where(F.col("position") >= n).drop("position").unionByName(others)
+    return first, rest.orderBy(*queue_order())
 
 
 def exception_page(
     exceptions: DataFrame,
     limit: int = 50,
     offset: int = 0,
-    heap_rows: int = HEAP_ROWS,
     **filters: str | None,
 ) -> tuple[DataFrame, DataFrame]:
     """(one row with `total` before paging, the page by score and id).
 
-    The page is found on score and id alone and then fetched, so only ids travel to the task that
-    cuts it; a deep page is found by global position instead.
+    The page is found by queue position on score and id alone and then fetched; a deep page is as
+    good as the first.
     """
     if not 1 <= limit <= PAGE_LIMIT or offset < 0:
         raise ValueError(f"limit must be 1-{PAGE_LIMIT} and offset >= 0, got {limit} and {offset}")
     kept = filter_exceptions(exceptions, **filters)
     total = kept.agg(F.count(F.lit(1)).alias("total"))
     ids = kept.select("priority_score", "exception_id")
-    if offset + limit > heap_rows:
-        ids = positions(ids, queue_order()).where(F.col("position").between(offset, offset + limit - 1))
-    else:
-        ids = ids.orderBy(*queue_order()).offset(offset).limit(limit)
+    ids = _places(ids, offset + limit)[0].where(F.col("position").between(offset, offset + limit - 1))
     # At most PAGE_LIMIT ids: a bounded broadcast.
     page = kept.join(F.broadcast(ids.select("exception_id")), "exception_id", "left_semi").select(
         F.col("exception_id").alias("id"),

@@ -47,22 +47,23 @@ def ingest(
 
     The flagged rows are staged once, split by outcome, so lake and quarantine each read only their
     half and the rules run a single time. A batch may be run again: the lake takes only new ids, and
-    the quarantine keeps one copy per `run`, which is by default a hash of the batch's rows.
+    the quarantine keeps one copy per `run`, which is by default a hash of the raw rows: a later run of
+    the same batch, at another clock, replaces what was rejected.
     """
     flagged = Q.validate_events(raw, as_of, customers, services, locations)
     table = staged(flagged.withColumn("_rejected", Q.is_rejected()), "flagged", ("_rejected",))
     valid = table.where(~F.col("_rejected")).drop("_rejected", "rejection_reasons")
     rejected = table.where("_rejected").drop("_rejected")
     L.write_event_lake(valid, zones.lake, whole_days)
-    L.write_quarantine(Q.quarantine_envelope(rejected, as_of), zones.quarantine, run=run or _batch_id(table))
+    L.write_quarantine(Q.quarantine_envelope(rejected, as_of), zones.quarantine, run=run or _batch_id(table, raw.columns))
     metrics = Q.dq_metrics(table)
     L.write_dq_metrics(metrics, zones.metrics)
     return metrics
 
 
-def _batch_id(batch: DataFrame) -> str:
-    """Equal for equal rows, in any order."""
-    row = F.xxhash64(*[c for c in batch.columns if c != "seq"])
+def _batch_id(batch: DataFrame, raw: list[str]) -> str:
+    """Equal for equal raw rows, in any order, whatever clock or dimensions judged them."""
+    row = F.xxhash64(*[c for c in raw if c != "seq"])
     total, size = batch.agg(F.sum(row.cast("decimal(38,0)")), F.count(F.lit(1))).first()
     return f"{size}-{int(total or 0) % (1 << 64):x}" if size else "0"
 

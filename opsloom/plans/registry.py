@@ -107,15 +107,23 @@ def _file_stream(spark: SparkSession, path: str) -> DataFrame:
 DELIVERIES = 3
 
 
+def _delivery_width(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """(first instant, width of a delivery) in microseconds."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = B.table(spark, sf_dir, "events").agg(F.min(at), F.max(at)).first()
+    return (0, 1) if first is None else (first, (last - first) // DELIVERIES + 1)
+
+
 def delivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events as a stream of three deliveries, out of order.
 
-    Each holds ten days of the month, but a fifth of the rows, and every row that repeats an id once
-    it is made dirty, come one delivery late.
+    Each holds a third of the time range, but a fifth of the rows, and every row that repeats an id
+    once it is made dirty, come one delivery late.
     """
     path = scratch_path(spark, "deliveries")
     events, n = B.table(spark, sf_dir, "events"), F.col("event_id")
-    block = F.floor((F.dayofmonth(F.col("ts").cast("timestamp")) - 1) / 10).cast("int")
+    first, width = _delivery_width(spark, sf_dir)
+    block = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - first) / width).cast("int")
     moved = (n % 97 != 0) & ((n % 97 == 1) | (n % 5 == 2))
     part = F.least(block + moved.cast("int"), F.lit(DELIVERIES - 1))
     for i in range(DELIVERIES):
@@ -123,6 +131,11 @@ def delivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _file_stream(spark, path)
 
 
+def _patience(spark: SparkSession, sf_dir: str) -> int:
+    """Minutes a row of these deliveries is late at most: two deliveries, should one be several batches."""
+    return 2 * _delivery_width(spark, sf_dir)[1] // 60_000_000 + 1
+
+
 def days(lake: DataFrame) -> DataFrame:
     return lake.groupBy(*S.LAKE_PARTITIONS).agg(
         F.count(F.lit(1)).alias("total_events"), F.sum("duration_ms").alias("total_duration_ms")
@@ -256,6 +269,20 @@ def ingest_batch(spark, sf_dir):
     return days(L.read_event_lake(spark, zones.lake))
 
 
+LATER = "2999-06-01 00:00:00"
+
+
+def ingest_two_clocks(spark, sf_dir):
+    """One batch run twice, the second time when its rows of the future have become past."""
+    s = B.bind_star(spark, sf_dir)
+    zones = G.Zones.below(scratch_path(spark, "zones"))
+    for clock in (B.DIRTY_AS_OF, LATER):
+        G.ingest(B.bind_dirty_events(s.events), zones, clock, s.customers, s.services, s.locations)
+    held = spark.read.parquet(zones.quarantine).groupBy("rejection_reasons").agg(F.count(F.lit(1)).alias("n_rows"))
+    lake = L.read_event_lake(spark, zones.lake).agg(F.lit("lake").alias("found"), F.count(F.lit(1)).alias("n_rows"))
+    return lake.unionByName(held.select(F.array_join("rejection_reasons", " | ").alias("found"), "n_rows"))
+
+
 def quarantine_table(spark, sf_dir):
     """Rejected rows written with their envelope as dated JSON, read back per date of quarantine."""
     _, rejected = Q.route(flagged(spark, sf_dir))
@@ -352,6 +379,7 @@ QUALITY: dict[str, Query] = {
     "raw_pruned_day": raw_pruned_day,
     "quarantine_table": quarantine_table,
     "ingest_batch": ingest_batch,
+    "ingest_two_clocks": ingest_two_clocks,
     "dq_constraints": dq_constraints,
     "dq_constraints_cases": dq_constraints_cases,
     "dq_constraints_records": dq_constraints_records,
@@ -481,7 +509,7 @@ def triage_positions(spark, sf_dir):
 def exception_page_deep(spark, sf_dir):
     """A page in the middle of the backlog, found by position rather than by skipping rows."""
     backlog = exceptions(spark, sf_dir)
-    return shown(Tr.exception_page(backlog, limit=50, offset=60, heap_rows=0)[1])
+    return shown(Tr.exception_page(backlog, limit=50, offset=60)[1])
 
 
 def _take(spark, sf_dir, part):
@@ -782,19 +810,19 @@ def stream_dedup(spark, sf_dir):
 
 def stream_sliding(spark, sf_dir):
     out = scratch_path(spark, "sliding")
-    # Deliveries are up to twenty days out of order.
-    windows = St.stream_sliding(delivered_events(spark, sf_dir), "timestamp", is_failure(), late="30 days")
+    late = f"{_patience(spark, sf_dir)} minutes"
+    windows = St.stream_sliding(delivered_events(spark, sf_dir), "timestamp", is_failure(), late=late)
     St.run_available(windows, St.sliding_handler(out), scratch_path(spark, "checkpoint"), "update")
     return shown(St.current_windows(spark, out))
 
 
-def _run_trailing(spark, sf_dir, late_days):
+def _run_trailing(spark, sf_dir, late_minutes):
     out = scratch_path(spark, "trailing")
     rows = delivered_events(spark, sf_dir).select(
         "event_id", "customer_id", "timestamp", is_failure().alias("is_breach")
     )
     handler = St.trailing_handler(
-        out, "timestamp", "is_breach", 60, ("customer_id",), late_minutes=late_days * 24 * 60
+        out, "timestamp", "is_breach", 60, ("customer_id",), late_minutes=late_minutes
     )
     St.run_available(rows, handler, scratch_path(spark, "checkpoint"))
     return out
@@ -802,7 +830,7 @@ def _run_trailing(spark, sf_dir, late_days):
 
 def stream_trailing(spark, sf_dir):
     """What the watermark closed, and the rest as it stands at the end of the input."""
-    out = _run_trailing(spark, sf_dir, 11)
+    out = _run_trailing(spark, sf_dir, _patience(spark, sf_dir))
     closed = spark.read.parquet(f"{out}/metrics").select(*TRAILING_COLUMNS)
     rest = St.held_metrics(spark, out, "timestamp", "is_breach", 60, ("customer_id",))
     return closed.unionByName(rest.select(*TRAILING_COLUMNS))
@@ -810,7 +838,7 @@ def stream_trailing(spark, sf_dir):
 
 def late_rows(spark, sf_dir):
     """With one day of patience, what a delivery late costs."""
-    return St.late_rows(spark, _run_trailing(spark, sf_dir, 1))
+    return St.late_rows(spark, _run_trailing(spark, sf_dir, 24 * 60))
 
 
 def stream_exceptions(spark, sf_dir):

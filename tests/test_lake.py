@@ -260,3 +260,16 @@ def test_views_and_catalog(spark, scratch):
     L.write_event_lake(read_raw_events(spark, write_lines(f"{scratch}/more", more)), f"{scratch}/{C.FACT}")
     C.repair_partitions(spark, table)
     assert spark.table(table).where(F.col("month") == "03").count() == 1
+
+
+def test_a_batch_at_two_clocks_replaces_its_quarantine(spark, scratch):
+    zones = G.Zones.below(f"{scratch}/zones")
+    soon = {**ROWS[0], "event_id": "EVT-7", "timestamp": "2026-02-01T00:00:00+00:00"}
+    bad = {**ROWS[0], "event_id": "EVT-8", "duration_ms": -1}
+    batch = raw(spark, scratch, [*ROWS, soon, bad])
+    counts = []
+    for clock in ("2026-01-20 00:00:00", "2026-03-01 00:00:00"):
+        G.ingest(batch, zones, clock)
+        held = spark.read.parquet(zones.quarantine)
+        counts.append((L.read_event_lake(spark, zones.lake).count(), sorted(r.raw_record.event_id for r in held.collect())))
+    assert counts == [(2, ["EVT-7", "EVT-8"]), (3, ["EVT-8"])]

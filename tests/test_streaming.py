@@ -226,3 +226,21 @@ def test_table_as_a_folder_of_part_files(spark, sf, scratch):
         query.awaitTermination()
         counts.append((spark.table(f"rows_{i}").count(), len([p for p in query.recentProgress if p["numInputRows"]])))
     assert counts[0][0] == counts[1][0] > 0 and counts[1][1] == 3
+
+
+def test_stream_queries_over_several_months(spark, sf, scratch):
+    """Deliveries follow the time range of the table, so no row of a longer one is lost."""
+    from opsloom.plans import registry
+
+    first = F.lit("2024-01-01").cast("timestamp")
+    at = F.timestamp_micros(F.unix_micros(first) + 4 * (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(first)))
+    table = B.table(spark, sf, "events")
+    table.withColumn("ts", at.cast("timestamp_ntz")).coalesce(1).write.parquet(f"{scratch}/events.parquet")
+    queries = registry.queries()
+    names = [c for c in registry.TRAILING_COLUMNS]
+    rows = queries["stream_trailing"](spark, scratch).select(*names)
+    events_ = B.bind_events(B.table(spark, scratch, "events")).withColumn("bad", F.col("status_code") >= 500)
+    want = trailing_window(events_, "timestamp", F.col("bad"), 60, ("customer_id",)).select(*names)
+    assert sorted(rows.collect()) == sorted(want.collect()) and rows.count() == 1000
+    windows = queries["stream_sliding"](spark, scratch)
+    assert windows.agg(F.sum("rolling_event_count")).first()[0] == 12 * 1000
