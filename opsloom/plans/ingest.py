@@ -21,6 +21,7 @@ class Zones:
     quarantine: str
     metrics: str
     cases: str
+    index: str
 
     @classmethod
     def below(cls, root: str) -> Zones:
@@ -30,6 +31,7 @@ class Zones:
             f"{root}/rejected/events",
             f"{root}/rejected/dq_metrics_summary",
             f"{root}/processed",
+            f"{root}/processed/event_ids",
         )
 
 
@@ -46,7 +48,8 @@ def ingest(
     """Validate a raw batch, write its three outputs and return the metrics row.
 
     The flagged rows are staged once, split by outcome, so lake and quarantine each read only their
-    half and the rules run a single time. A batch may be run again: the lake takes only new ids, and
+    half and the rules run a single time. A batch may be run again: the lake takes only ids its index
+    lacks, and
     the quarantine keeps one copy per `run`, which is by default a hash of the raw rows: a later run of
     the same batch, at another clock, replaces what was rejected.
     """
@@ -54,7 +57,7 @@ def ingest(
     table = staged(flagged.withColumn("_rejected", Q.is_rejected()), "flagged", ("_rejected",))
     valid = table.where(~F.col("_rejected")).drop("_rejected", "rejection_reasons")
     rejected = table.where("_rejected").drop("_rejected")
-    L.write_event_lake(valid, zones.lake, whole_days)
+    L.write_event_lake(valid, zones.lake, whole_days, zones.index)
     L.write_quarantine(Q.quarantine_envelope(rejected, as_of), zones.quarantine, run=run or _batch_id(table, raw.columns))
     metrics = Q.dq_metrics(table)
     L.write_dq_metrics(metrics, zones.metrics)

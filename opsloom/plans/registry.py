@@ -721,6 +721,15 @@ def dimension_tables(spark, sf_dir):
     return reduce(DataFrame.union, sizes)
 
 
+def lake_two_loads(spark, sf_dir):
+    """Two loads that overlap, kept apart by the index of ids."""
+    s = B.bind_star(spark, sf_dir)
+    root, n = scratch_path(spark, "loads"), F.col("seq")
+    for load in (n % 3 != 0, n >= 0):
+        L.write_event_lake(s.events.where(load), f"{root}/lake", index=f"{root}/ids")
+    return days(L.read_event_lake(spark, f"{root}/lake"))
+
+
 def lake_roundtrip(spark, sf_dir):
     root, _ = _written_lake(spark, sf_dir)
     return days(L.read_event_lake(spark, f"{root}/{C.FACT}"))
@@ -766,6 +775,7 @@ def report_view(spark, sf_dir, view):
 LAKE: dict[str, Query] = {
     "dimension_tables": dimension_tables,
     "lake_roundtrip": lake_roundtrip,
+    "lake_two_loads": lake_two_loads,
     "lake_pruned_day": lake_pruned_day,
     "lake_daily_summary": lake_daily_summary,
     "scan_profile_day": scan_profile_day,
@@ -804,7 +814,7 @@ def stream_validate(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     out = scratch_path(spark, "dedup")
     raw = B.bind_dirty_events(delivered_events(spark, sf_dir)).select("seq", "event_id")
-    St.run_available(raw, St.dedup_handler(out), scratch_path(spark, "checkpoint"))
+    St.run_available(St.with_first_ids(raw), St.dedup_handler(out), scratch_path(spark, "checkpoint"))
     return spark.read.schema("seq long, event_id string, is_duplicate boolean").parquet(out).drop(St.BATCH)
 
 
@@ -852,7 +862,8 @@ def stream_exceptions(spark, sf_dir):
         exposures=B.bind_exposures(B.table(spark, sf_dir, "orders")),
         team_pattern=TEAM_PATTERN,
     )
-    St.run_available(delivered_events(spark, sf_dir), handler, scratch_path(spark, "checkpoint"))
+    rows = St.with_first_ids(delivered_events(spark, sf_dir))
+    St.run_available(rows, handler, scratch_path(spark, "checkpoint"))
     return shown(spark.read.parquet(out).drop(St.BATCH))
 
 
@@ -862,7 +873,8 @@ def stream_lake(spark, sf_dir):
     handler = St.lake_handler(
         f"{root}/lake", f"{root}/quarantine", f"{root}/metrics", s.customers, s.services, s.locations, B.DIRTY_AS_OF
     )
-    St.run_available(B.bind_dirty_events(delivered_events(spark, sf_dir)), handler, scratch_path(spark, "checkpoint"))
+    rows = St.with_first_ids(B.bind_dirty_events(delivered_events(spark, sf_dir)))
+    St.run_available(rows, handler, scratch_path(spark, "checkpoint"))
     return days(L.read_event_lake(spark, f"{root}/lake"))
 
 

@@ -16,6 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32MB",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Streams keep their state off the heap, and a batch uploads what it changed, not all of it.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from opsloom import schemas as S
 from opsloom.functions.calendar import parse_iso, with_calendar
+from opsloom.session import staged
+from opsloom.sources.idindex import IdIndex
 
 # The answer before the first validation run.
 NO_METRICS = ("NO_METRICS_LOGGED", "Validation pipeline has not run yet.")
@@ -26,15 +28,49 @@ def conform_events(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return typed.select(*[F.col(f.name).cast(f.dataType) for f in S.LAKE_EVENT.fields], *keep)
 
 
-def write_event_lake(df: DataFrame, path: str, whole_days: bool = False) -> None:
+def write_event_lake(df: DataFrame, path: str, whole_days: bool = False, index: str | None = None) -> None:
     """Write valid events as Snappy Parquet below year/month/day.
 
     A batch appends the event ids the lake does not hold yet, so running it again, in parts or late
     loses and doubles nothing. Only a batch known to have every row of its days may replace them
     (`whole_days`). The rebalance hint splits a day with much of the data over several tasks and
     joins small ones.
+
+    `index`, a folder, keeps the ids beside the lake (`IdIndex`): an append then opens the parts of it
+    that may hold one of its ids instead of the id column of the whole lake. All appends of a lake
+    must name it.
     """
-    rows = conform_events(df) if whole_days else new_lake_rows(df, path)
+    held = None if index is None else IdIndex(df.sparkSession, index)
+    if held is not None and not whole_days:
+        return _append_indexed(df, path, held)
+    _write_days(conform_events(df) if whole_days else new_lake_rows(df, path), path, whole_days)
+    if held is not None:  # replaced days may have lost ids
+        held.rebuild(read_event_lake(df.sparkSession, path))
+
+
+def _append_indexed(df: DataFrame, path: str, index: IdIndex) -> None:
+    """Ids first, then rows, then the record that makes the ids count.
+
+    A load that ends in between leaves ids without a record. The next one looks those up in the lake
+    itself, so it neither drops nor repeats the rows they stand for.
+    """
+    rows = staged(_first_rows(df), "lake-rows")
+    lake = stored_or_none(lambda: read_event_lake(df.sparkSession, path).select("event_id"))
+    if lake is not None:
+        begun = index.pending()
+        if not index.runs()[0]:
+            index.rebuild(lake)
+        elif begun:
+            index.record(index.begin(index.ids_of(begun).join(lake, "event_id", "left_semi")), begun)
+    known = index.known(rows.where(F.col("event_id").isNotNull()))
+    fresh = rows.join(known, "event_id", "left_anti").select(*S.LAKE_EVENT.names)
+    run = index.begin(fresh.where(F.col("event_id").isNotNull()))
+    _write_days(fresh, path, False)
+    index.record(run)
+    index.compact()
+
+
+def _write_days(rows: DataFrame, path: str, whole_days: bool) -> None:
     writer = rows.hint("rebalance", *S.LAKE_PARTITIONS).write.option("compression", "snappy")
     if whole_days:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -49,19 +85,23 @@ def new_lake_rows(df: DataFrame, path: str) -> DataFrame:
     Ids are unique over the whole table, so the check reads the id column of all of it, and no
     other. Rows without an id are all new. Without `seq` the least row of an id counts as its first.
     """
+    fresh, spark = _first_rows(df), df.sparkSession
+    stored = stored_or_none(lambda: read_event_lake(spark, path).select("event_id"))
+    if stored is not None:
+        fresh = fresh.join(stored, "event_id", "left_anti")
+    return fresh.select(*S.LAKE_EVENT.names)
+
+
+def _first_rows(df: DataFrame) -> DataFrame:
+    """The first row of each id, in the lake's form; all rows without an id."""
     order = ["seq"] if "seq" in df.columns else []
     kept = conform_events(df, order)
     rest = [c for c in kept.columns if c not in ("event_id", *order)]
     at = F.col("seq") if order else F.struct(*rest)
     has_id = F.col("event_id").isNotNull()
     first = kept.where(has_id).groupBy("event_id").agg(F.min_by(F.struct(*rest), at).alias("_row"))
-    fresh = first.select("event_id", "_row.*")
-    spark = df.sparkSession
-    stored = stored_or_none(lambda: read_event_lake(spark, path).select("event_id"))
-    if stored is not None:
-        fresh = fresh.join(stored, "event_id", "left_anti")
     names = S.LAKE_EVENT.names
-    return fresh.select(*names).unionByName(kept.where(~has_id).select(*names))
+    return first.select("event_id", "_row.*").select(*names).unionByName(kept.where(~has_id).select(*names))
 
 
 def stored_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:

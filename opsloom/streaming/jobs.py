@@ -1,7 +1,7 @@
 """Streaming forms: validation, dedup, sliding and trailing windows, cases and the lake.
 
-Stateful results that need other rows run per micro-batch against the tables already written, each
-batch below its own `batch_id` partition that a replay overwrites, so a restart changes nothing.
+The ids that were seen are keyed state of the stream's query. Every batch writes below its own
+`batch_id` partition that a replay overwrites, so a restart changes nothing.
 """
 
 from __future__ import annotations
@@ -73,18 +73,6 @@ def dropped_from_windows(query: StreamingQuery) -> int:
 # --- batch tables -------------------------------------------------------------------------------
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType, before: int) -> DataFrame:
-    """What earlier batches wrote; rows of `before` itself are a replay's and do not count."""
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    try:
-        table = spark.read.schema(full).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    return table.where(F.col(BATCH) < before).drop(BATCH)
-
-
 def write_batch(df: DataFrame, batch: int, path: str, partitions: Sequence[str] = ()) -> None:
     """Put a micro-batch below its own partition, replacing what a failed attempt left there."""
     keyed = df.withColumn(BATCH, F.lit(batch).cast("long"))
@@ -135,30 +123,56 @@ def run_available(
 # --- batch handlers -----------------------------------------------------------------------------
 
 
-def dedup_handler(path: str, seq: str = "seq") -> Callable[[DataFrame, int], None]:
-    """First occurrences and duplicates, also of ids from earlier batches; nothing is dropped.
+FIRST = "_first_seen"
+SALTS = 16
 
-    Writes every row with `is_duplicate`. Only ids, not rows, of earlier batches are read.
-    """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        marked = with_seen_ids(batch, path, batch_id, seq)
-        write_batch(marked, batch_id, path, ("is_duplicate",))
+def with_first_ids(
+    stream: DataFrame, key: str = "event_id", seq: str = "seq", salts: int = SALTS, within: tuple[str, str] | None = None
+) -> DataFrame:
+    """The stream's rows, and again, marked by `_first_seen`, one row of each id no batch held before.
 
-    return handle
+    The ids that were seen are keyed state of the query, kept by Spark from batch to batch: a batch
+    looks up its own ids, whatever came before. An id is dropped per salt first and then over all, so
+    the rows of a hot id meet in no one task. Rows without an id need no state.
 
+    `within`, a timestamp column and a delay, sets a watermark and forgets an id once it has passed
+    the id's time by the delay, so the state stays as large as that time. A repeat with a time after
+    that counts as new; a row that comes behind the watermark never does.
+    """
+    salted = stream.where(~Q.missing(key)).withColumn("_salt", F.pmod(F.xxhash64(seq), F.lit(salts)))
+    if within is None:
+        once = salted.dropDuplicates([key, "_salt"]).dropDuplicates([key])
+    else:
+        once = salted.withWatermark(*within).dropDuplicatesWithinWatermark([key])
+    new = once.drop("_salt").withColumn(FIRST, F.lit(True))
+    return stream.withColumn(FIRST, F.lit(False)).unionByName(new)
+
+
+def seen_before(batch: DataFrame, seq: str = "seq", flag: str = "is_duplicate") -> DataFrame:
+    """The rows of a batch of `with_first_ids`, flagged if their id came before, in this batch or another.
 
-def with_seen_ids(batch: DataFrame, path: str, batch_id: int, seq: str = "seq") -> DataFrame:
-    key = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("is_duplicate", T.BooleanType())])
-    seen = _stored(batch.sparkSession, path, key, batch_id)
-    seen = seen.where(~F.col("is_duplicate")).select("event_id")
-    # Ids of this batch that were seen before: one row per id, counted so that a hot id is split.
-    ids = batch.where(~Q.missing("event_id")).groupBy("event_id").agg(F.count(F.lit(1)).alias("_copies"))
-    old = ids.join(seen, "event_id", "left_semi").withColumn("_old", F.lit(True))
-    marked = Q.mark_duplicates(batch, ["event_id"], seq, flag="_again")
+    The batch is staged, so the stateful part runs once. Of an id that is new the row with the least
+    ordinal is its first.
+    """
+    table = staged(batch, "stream-batch", (FIRST,))
+    rows, new = table.where(~F.col(FIRST)).drop(FIRST), table.where(FIRST).select("event_id")
+    # One row per id, counted so that a hot id is split.
+    ids = rows.where(~Q.missing("event_id")).groupBy("event_id").agg(F.count(F.lit(1)).alias("_copies"))
+    old = ids.join(new, "event_id", "left_anti").withColumn("_old", F.lit(True))
+    marked = Q.mark_duplicates(rows, ["event_id"], seq, flag="_again")
     joined = Q.join_back(marked, old, ["event_id"], "_copies", [seq], unmatched=Q.missing("event_id"))
     again = F.col("_again") | F.coalesce(F.col("_old"), F.lit(False))
-    return joined.withColumn("is_duplicate", again).drop("_again", "_old", "_copies")
+    return joined.withColumn(flag, again).drop("_again", "_old", "_copies")
+
+
+def dedup_handler(path: str, seq: str = "seq") -> Callable[[DataFrame, int], None]:
+    """First occurrences and duplicates, also of ids from earlier batches; nothing is dropped.
+
+    Takes the batches of `with_first_ids` and writes every row with `is_duplicate`; nothing that
+    earlier batches wrote is read.
+    """
+    return lambda batch, batch_id: write_batch(seen_before(batch, seq), batch_id, path, ("is_duplicate",))
 
 
 def sliding_handler(path: str) -> Callable[[DataFrame, int], None]:
@@ -290,15 +304,12 @@ def late_rows(spark: SparkSession, path: str) -> DataFrame:
 def cases_handler(
     path: str, customers: DataFrame, services: DataFrame, as_of: Q.Clock | None = None, **options
 ) -> Callable[[DataFrame, int], None]:
-    """Scored cases per micro-batch; events that have one already are left out."""
+    """Scored cases per micro-batch of `with_first_ids`; an event that came before has one already."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        key = T.StructType([T.StructField("event_id", T.StringType())])
-        known = _stored(batch.sparkSession, path, key, batch_id)
         clock = F.current_timestamp() if as_of is None else as_of
-        first = Q.mark_duplicates(batch, ["event_id"], "seq", flag="_again").where(~F.col("_again"))
-        cases = score_cases(first, customers, services, clock, existing=known, **options)
-        write_batch(cases, batch_id, path)
+        first = seen_before(batch, flag="_again").where(~F.col("_again")).drop("_again")
+        write_batch(score_cases(first, customers, services, clock, **options), batch_id, path)
 
     return handle
 
@@ -312,23 +323,20 @@ def lake_handler(
     locations: DataFrame | None = None,
     as_of: Q.Clock | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Valid rows to the lake, rejected rows to quarantine, one metrics row per batch."""
+    """Valid rows to the lake, rejected rows to quarantine, one metrics row per batch of `with_first_ids`.
+
+    The first occurrence claims an id even when its row is rejected.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         clock = F.current_timestamp() if as_of is None else as_of
-        seen_path = f"{lake}_ids"
-        once = with_seen_ids(batch, seen_path, batch_id).withColumnRenamed("is_duplicate", "_duplicate")
-        flagged = Q.with_reasons(
-            once.withColumn("_dup", F.col("_duplicate")), clock, customers, services, locations, ["seq"]
-        ).withColumn("_rejected", Q.is_rejected())
-        table = staged(flagged, "stream-flagged", ("_rejected",))
-        valid = table.where(~F.col("_rejected")).drop("_rejected", "rejection_reasons", "_dup")
-        rejected = table.where("_rejected").drop("_rejected", "_dup")
+        once = seen_before(batch, flag="_duplicate")
+        flagged = Q.with_reasons(once, clock, customers, services, locations, ["seq"])
+        table = staged(flagged.withColumn("_rejected", Q.is_rejected()), "stream-flagged", ("_rejected",))
+        valid = table.where(~F.col("_rejected")).drop("_rejected", "rejection_reasons")
+        rejected = table.where("_rejected").drop("_rejected")
         write_batch(conform_events(valid), batch_id, lake, S.LAKE_PARTITIONS)
         write_batch(Q.quarantine_envelope(rejected, clock), batch_id, quarantine)
         write_batch(Q.dq_metrics(table), batch_id, metrics)
-        # The first occurrence claims an id even when its row is rejected.
-        claimed = table.where(~Q.missing("event_id")).select("event_id", F.col("_dup").alias("is_duplicate"))
-        write_batch(claimed, batch_id, seen_path, ("is_duplicate",))
 
     return handle

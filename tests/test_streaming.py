@@ -55,24 +55,72 @@ def test_validation_stream(spark, sf, scratch):
     assert live.count() > 0
 
 
+def replayed(handle):
+    """Every batch runs twice, as after a failure between its writes and the commit."""
+
+    def run(batch, batch_id):
+        handle(batch, batch_id)
+        handle(batch, batch_id)
+
+    return run
+
+
 def test_dedup_across_batches_and_replay(spark, sf, scratch):
     dirty = B.bind_dirty_events(events(spark, sf)).select("seq", "event_id")
     # Every id comes again a whole input later, so most duplicates are in another batch.
     twice = dirty.union(dirty.withColumn("seq", F.col("seq") + 1000))
     out = f"{scratch}/out"
-    St.run_available(split_input(spark, twice, scratch), St.dedup_handler(out), f"{scratch}/checkpoint")
-    def flags():
-        return flags_of(spark, out)
-
-    first = flags()
+    rows = St.with_first_ids(split_input(spark, twice, scratch))
+    St.run_available(rows, replayed(St.dedup_handler(out)), f"{scratch}/checkpoint")
     want = {r.seq: r._duplicate for r in Q.mark_duplicates(twice, ["event_id"], "seq").collect()}
-    assert first == want and sum(want.values()) > 900
-    last = twice.where(F.col("seq") >= 2000 * 2 // 3)
-    St.dedup_handler(out)(last, 2)
-    assert flags() == first
+    assert flags_of(spark, out) == want and sum(want.values()) > 900
     assert spark.read.parquet(out).count() == 2000
 
 
+def test_a_batch_does_not_depend_on_the_history(spark, scratch):
+    """Four batches of new ids: the state grows, what a batch reads and updates does not."""
+    for i in range(4):
+        rows = spark.range(i * 50, i * 50 + 50).selectExpr("id AS seq", "concat('E', id) AS event_id")
+        rows.coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+    again = spark.range(200, 250).selectExpr("id AS seq", "concat('E', id - 200) AS event_id")
+    again.unionByName(spark.range(250, 260).selectExpr("id AS seq", "'HOT' AS event_id")).coalesce(1).write.mode(
+        "append"
+    ).parquet(f"{scratch}/in")
+    stream = spark.readStream.schema("seq long, event_id string").option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+    out, opened = f"{scratch}/out", []
+
+    def handle(batch, batch_id):
+        seen = St.seen_before(batch)
+        opened.append(sum("/out/" in f for f in seen.inputFiles()))
+        St.write_batch(seen, batch_id, out, ("is_duplicate",))
+
+    query = St.run_available(St.with_first_ids(stream), handle, f"{scratch}/checkpoint")
+    steps = [p["stateOperators"] for p in query.recentProgress if p["numInputRows"]]
+    assert len(steps) == 5 and opened == [0] * 5
+    last = [ops[-1] if ops[-1]["numRowsTotal"] <= ops[0]["numRowsTotal"] else ops[0] for ops in steps]
+    assert [op["numRowsTotal"] for op in last] == [50 * (i + 1) for i in range(4)] + [201]
+    assert [op["numRowsUpdated"] for op in last] == [50] * 4 + [1]
+    flags = flags_of(spark, out)
+    assert sum(flags.values()) == 59 and len(flags) == 260
+
+
+def test_ids_may_be_forgotten_behind_the_watermark(spark, scratch):
+    base = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    for hours in ((0, 1), (1, 50), (90,), (0, 90)):
+        made = [(h, f"E{h}", base + timedelta(hours=h)) for h in hours]
+        spark.createDataFrame(made, "seq long, event_id string, timestamp timestamp").coalesce(1).write.mode("append").parquet(f"{scratch}/in")
+    stream = spark.readStream.schema("seq long, event_id string, timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+    out = f"{scratch}/out"
+    rows = St.with_first_ids(stream, within=("timestamp", "24 hours"))
+    query = St.run_available(rows, St.dedup_handler(out), f"{scratch}/checkpoint")
+    table = spark.read.schema("event_id string, is_duplicate boolean, batch_id long").parquet(out)
+    got = sorted((r.batch_id, r.event_id, r.is_duplicate) for r in table.collect())
+    assert got[:5] == [(0, "E0", False), (0, "E1", False), (1, "E1", True), (1, "E50", False), (2, "E90", False)]
+    assert got[5:] == [(3, "E0", True), (3, "E90", True)]  # too late to be judged: not taken for new
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(states) == 3 and states[-1] == 2  # E50 and E90; E0 and E1 are forgotten
+
+
 def trailing_rows(spark, path, minutes):
     names = ["event_id", "rolling_event_count", "rolling_breach_count", "rolling_breach_rate_pct"]
     closed = spark.read.parquet(f"{path}/metrics").select(*names)
@@ -180,7 +228,7 @@ def test_case_stream_equals_batch(spark, sf, scratch):
     rows = once.union(once.withColumn("seq", F.col("seq") + 500)).withColumn("seq", F.col("seq"))
     out = f"{scratch}/out"
     handler = St.cases_handler(out, s.customers, s.services, F.col("clock"), exposures=exposures)
-    St.run_available(split_input(spark, rows, scratch), handler, f"{scratch}/checkpoint")
+    St.run_available(St.with_first_ids(split_input(spark, rows, scratch)), handler, f"{scratch}/checkpoint")
     got = spark.read.parquet(out).drop("batch_id")
     want = score_cases(once, s.customers, s.services, F.col("clock"), exposures=exposures)
     key = want.columns.index("event_id")
@@ -196,7 +244,8 @@ def test_lake_stream_equals_batch_and_survives_replay(spark, sf, scratch):
     dirty = B.bind_dirty_events(events(spark, sf))
     paths = [f"{scratch}/{n}" for n in ("lake", "quarantine", "metrics")]
     handler = St.lake_handler(*paths, *dims, B.DIRTY_AS_OF)
-    St.run_available(split_input(spark, dirty, scratch), handler, f"{scratch}/checkpoint")
+    rows = St.with_first_ids(split_input(spark, dirty, scratch))
+    St.run_available(rows, replayed(handler), f"{scratch}/checkpoint")
     valid, rejected = Q.route(Q.validate_events(dirty, B.DIRTY_AS_OF, *dims))
     def outcome():
         lake = sorted(r.event_id for r in L.read_event_lake(spark, paths[0]).collect())
@@ -209,8 +258,6 @@ def test_lake_stream_equals_batch_and_survives_replay(spark, sf, scratch):
         sorted((r.seq, tuple(r.rejection_reasons)) for r in rejected.collect()),
     )
     assert outcome() == want
-    handler(dirty.where(F.col("seq") >= 1000 * 2 // 3), 2)
-    assert outcome() == want
     m = spark.read.parquet(paths[2])
     assert m.count() == PARTS and m.agg(F.sum("rows_processed")).first()[0] == 1000
 
