@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from opsloom.functions.calendar import on_days
 from opsloom.functions.rounding import round_binary
 from opsloom.operators.quality import Clock, clock_column
-from opsloom.operators.scale import HOT_ROWS, all_of, join_back, running
+from opsloom.operators.scale import HOT_ROWS, all_of, chunk, join_back, running
+from opsloom.session import staged
 
 MINUTE = 60_000_000
 HOUR = 60 * MINUTE
@@ -55,6 +56,45 @@ def trailing_counts(
     return totals.where(F.col("_rows") > 0).drop("_left", "_hits")
 
 
+def _folded_window(
+    df: DataFrame, ts: str, flag: Column, minutes: int, by: Sequence[str], row_id: str, hot_rows: int
+) -> DataFrame:
+    """The counts by a running sum over steps, for keys and times of any density."""
+    counts = trailing_counts(df, ts, flag, minutes, by)
+    keyed = df.withColumn("_at", F.unix_micros(ts))
+    joined = join_back(keyed, counts, [*by, "_at"], "_rows", [row_id], hot_rows=hot_rows)
+    return joined.drop("_at", "_rows")
+
+
+def _framed_window(df: DataFrame, ts: str, flag: Column, minutes: int, by: Sequence[str]) -> DataFrame:
+    """The counts by one range frame over buckets as wide as the window.
+
+    A row's window lies in its own bucket and the one before, so every row also goes into the next
+    bucket, as a time and a flag only. One shuffle; a task holds the rows of two buckets of a key.
+    """
+    width, at = minutes * MINUTE, F.unix_micros(ts)
+    bucket = chunk(at, width)
+    names = df.columns
+
+    def copy(place: Column, own: bool) -> Column:
+        payload = [F.col(c) if own else F.lit(None).cast(df.schema[c].dataType) for c in names]
+        return F.struct(
+            place.alias("_bucket"), F.lit(own).alias("_own"), at.alias("_at"), flag.cast("long").alias("_hit"),
+            *[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], *[p.alias(f"_c{i}") for i, p in enumerate(payload)],
+        )
+
+    both = df.select(F.inline(F.array(copy(bucket, True), copy(bucket + 1, False))))
+    frame = W.partitionBy(*[f"_k{i}" for i in range(len(by))], "_bucket").orderBy("_at").rangeBetween(-width, 0)
+    counted = both.select(
+        "*", F.count(F.lit(1)).over(frame).alias("_n"), F.sum("_hit").over(frame).alias("_hits")
+    ).where("_own")
+    return counted.select(
+        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)],
+        F.col("_n").alias("rolling_event_count"),
+        F.coalesce("_hits", F.lit(0).cast("long")).alias("rolling_breach_count"),
+    )
+
+
 def trailing_window(
     df: DataFrame,
     ts: str,
@@ -66,14 +106,39 @@ def trailing_window(
 ) -> DataFrame:
     """Every event with count, breach count and breach rate of the minutes up to it, old end included.
 
-    Events without a `by` key belong to no window and get NULLs.
+    Events without a time or a `by` key belong to no window and get NULLs. Rows are counted per key
+    and bucket of the window's width first. Buckets with more than `hot_rows` rows are few by
+    arithmetic; rows that see one go through the running sum, whose groups stay bounded, all others
+    through one range frame. Both give the same counts.
     """
-    counts = trailing_counts(df, ts, flag, minutes, by)
-    keyed = df.withColumn("_at", F.unix_micros(ts))
-    joined = join_back(keyed, counts, [*by, "_at"], "_rows", [row_id], hot_rows=hot_rows)
-    return joined.withColumn(
-        "rolling_breach_rate_pct", breach_rate(F.col("rolling_breach_count"), F.col("rolling_event_count"))
-    ).drop("_at", "_rows")
+    width, keys = minutes * MINUTE, [*by, "_bucket"]
+    marked = df.withColumn("_bucket", chunk(F.unix_micros(ts), width))
+    whole = all_of([F.col(c).isNotNull() for c in (ts, *by)])
+    sizes = marked.where(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = staged(sizes.select(*keys), "hot-buckets")
+    none = [F.lit(None).cast("long").alias(f"rolling_{c}_count") for c in ("event", "breach")]
+    loose = df.where(~whole).select("*", *none)
+    if hot.isEmpty():
+        counted = _framed_window(df.where(whole), ts, flag, minutes, by)
+    else:
+        # A bucket is folded if it or the one before is hot; the fold then needs the bucket before it.
+        def beside(*steps: int) -> DataFrame:
+            at = F.explode(F.array(*[F.col("_bucket") + i for i in steps])).alias("_bucket")
+            return F.broadcast(hot.select(*by, at).distinct())
+
+        seen = marked.where(whole)
+        folded = _folded_window(
+            seen.join(beside(-1, 0, 1), keys, "left_semi"), ts, flag, minutes, by, row_id, hot_rows
+        ).join(beside(0, 1), keys, "left_semi")
+        # Rows just after a hot bucket are folded, but the bucket after theirs still needs them.
+        framed = _framed_window(seen.join(beside(0), keys, "left_anti"), ts, flag, minutes, by).join(
+            beside(1), keys, "left_anti"
+        )
+        counted = framed.unionByName(folded).drop("_bucket")
+    rate = breach_rate(F.col("rolling_breach_count"), F.col("rolling_event_count"))
+    return counted.unionByName(loose).select(
+        *df.columns, "rolling_event_count", "rolling_breach_count", rate.alias("rolling_breach_rate_pct")
+    )
 
 
 def window_metrics(df: DataFrame, ts: str, flag: Column, as_of: Clock, minutes: int = 60) -> DataFrame:

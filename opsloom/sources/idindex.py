@@ -3,26 +3,22 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsloom.session import staged
 
-BUCKETS = 64
+BUCKETS = 16  # of an index that begins; a lake of billions of events takes thousands
 WORDS = 1 << 20  # Bloom words per bucket, of 64 bits; only those in use are stored
 BITS = 4  # set per id, all in one word
 COMPACT_RUNS = 16
 
-ID = "event_id string"
+IDS = "event_id string, word long, mask long, run string, bucket int"
+WORD_ROWS = "word long, bits long, run string, bucket int"
 RUNS = "run string, replaces array<string>, buckets int, seq long"
 
 
-def _hash(key: Column) -> Column:
-    return F.xxhash64(key)
-
-
 def _mask(key: Column) -> Column:
     """The bits of an id in its word, from a hash of its own."""
     h = F.xxhash64(key, F.lit(1))
@@ -32,7 +28,6 @@ def _mask(key: Column) -> Column:
     return mask
 
 
-@dataclass(frozen=True)
 class IdIndex:
     """Ids below `path`, written run by run.
 
@@ -44,12 +39,14 @@ class IdIndex:
     A run is noted in `begun` and counts once its record is in `runs`. Ids of a run that ended between
     the two are no proof; `pending` gives them, for the loader to look up in the table itself.
     `compact` writes one run in place of many and then records what it replaces, so a reader sees
-    either the old runs or the new one. One writer at a time.
+    either the old runs or the new one. One writer at a time; an object serves one load and reads the
+    records once.
     """
 
-    spark: SparkSession
-    path: str
-    buckets: int = BUCKETS
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+        self.spark, self.path = spark, path
+        self.records = self._read("runs", RUNS).orderBy("seq").collect()  # few rows: `compact` keeps them so
+        self.buckets = self.records[0]["buckets"] if self.records else buckets
 
     def _read(self, name: str, schema: str) -> DataFrame:
         from opsloom.sources.lake import stored_or_none
@@ -57,81 +54,84 @@ class IdIndex:
         found = stored_or_none(lambda: self.spark.read.schema(schema).parquet(f"{self.path}/{name}"))
         return self.spark.createDataFrame([], schema) if found is None else found
 
-    def runs(self) -> tuple[list[str], int]:
-        """The runs that count, and the number of buckets they were written with. A few rows: `compact` keeps them so."""
-        rows = self._read("runs", RUNS).orderBy("seq").collect()
-        gone = {old for r in rows for old in r["replaces"]}
-        return [r["run"] for r in rows if r["run"] not in gone], rows[0]["buckets"] if rows else self.buckets
+    def runs(self) -> list[str]:
+        """The runs that count."""
+        gone = {old for r in self.records for old in r["replaces"]}
+        return [r["run"] for r in self.records if r["run"] not in gone]
 
     def _ids(self) -> DataFrame:
-        return self._read("ids", f"{ID}, run string, bucket int")
-
-    def _placed(self, ids: DataFrame, buckets: int) -> DataFrame:
-        h = _hash(F.col("event_id"))
-        return ids.withColumns(
-            {
-                "bucket": F.pmod(h, F.lit(buckets)).cast("int"),
-                "word": F.pmod(F.shiftright(h, 20), F.lit(WORDS)),
-                "mask": _mask(F.col("event_id")),
-            }
+        return self._read("ids", IDS)
+
+    def _placed(self, ids: DataFrame) -> DataFrame:
+        h = F.xxhash64("event_id")
+        return ids.select(
+            "event_id",
+            F.pmod(F.shiftright(h, 20), F.lit(WORDS)).alias("word"),
+            _mask(F.col("event_id")).alias("mask"),
+            F.pmod(h, F.lit(self.buckets)).cast("int").alias("bucket"),
         )
 
     def suspects(self, ids: DataFrame) -> DataFrame:
         """Of distinct ids those that a filter says may be held: event_id and bucket."""
-        active, buckets = self.runs()
-        placed = staged(self._placed(ids.select("event_id"), buckets), "probes")
+        placed = staged(self._placed(ids), "probes")
         touched = [r[0] for r in placed.select("bucket").distinct().collect()]  # at most `buckets` numbers
-        words = self._read("words", "word long, bits long, run string, bucket int").where(
-            F.col("run").isin(active) & F.col("bucket").isin(touched)
-        )
+        words = self._read("words", WORD_ROWS).where(F.col("run").isin(self.runs()) & F.col("bucket").isin(touched))
         hit = F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask")
         return placed.join(words, ["bucket", "word"]).where(hit).select("event_id", "bucket").distinct()
 
     def known(self, ids: DataFrame) -> DataFrame:
         """Of distinct ids those the index holds. Opens the id files of suspected buckets only."""
+        if not self.runs():
+            return self.spark.createDataFrame([], "event_id string")
         suspects = staged(self.suspects(ids), "suspects")
         opened = [r[0] for r in suspects.select("bucket").distinct().collect()]
         return suspects.join(self.held_in(opened), ["bucket", "event_id"], "left_semi").select("event_id")
 
     def held_in(self, buckets: list[int]) -> DataFrame:
         """The ids of some buckets; other buckets' files are not opened."""
-        active, _ = self.runs()
-        return self._ids().where(F.col("run").isin(active) & F.col("bucket").isin(buckets)).select("bucket", "event_id")
+        held = self._ids().where(F.col("run").isin(self.runs()) & F.col("bucket").isin(buckets))
+        return held.select("bucket", "event_id")
 
     def pending(self) -> list[str]:
         """Runs that were begun and neither recorded nor replaced: loads that ended in between."""
-        settled = {r for row in self._read("runs", RUNS).collect() for r in (row["run"], *row["replaces"])}
+        settled = {r for row in self.records for r in (row["run"], *row["replaces"])}
         return sorted(r[0] for r in self._read("begun", "run string").collect() if r[0] not in settled)
 
     def ids_of(self, runs: list[str]) -> DataFrame:
         return self._ids().where(F.col("run").isin(runs)).select("event_id").distinct()
 
-    def begin(self, ids: DataFrame, run: str | None = None) -> str:
+    def begin(self, ids: DataFrame) -> str:
         """Write distinct ids as a run that does not count yet."""
-        run = run or uuid.uuid4().hex
-        self.spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("append").parquet(f"{self.path}/begun")
-        _, buckets = self.runs()
-        placed = staged(self._placed(ids.select("event_id"), buckets).withColumn("run", F.lit(run)), "indexed")
-        self._write(placed.select("event_id", "run", "bucket"), "ids")
-        words = placed.groupBy("run", "bucket", "word").agg(F.bit_or("mask").alias("bits"))
-        self._write(words.select("word", "bits", "run", "bucket").sortWithinPartitions("bucket", "word"), "words")
+        run = uuid.uuid4().hex
+        self._note("begun", F.lit(run).alias("run"))
+        self._write(self._placed(ids), "ids", run)
+        written = self._ids().where(F.col("run") == run)
+        words = written.groupBy("bucket", "word").agg(F.bit_or("mask").alias("bits"))
+        self._write(words.select("word", "bits", "bucket"), "words", run)
         return run
 
-    def _write(self, df: DataFrame, name: str) -> None:
-        df.hint("rebalance", "bucket").write.mode("append").partitionBy("run", "bucket").parquet(f"{self.path}/{name}")
+    def _write(self, df: DataFrame, name: str, run: str) -> None:
+        rows = df.withColumn("run", F.lit(run)).hint("rebalance", "bucket")
+        rows.write.mode("append").partitionBy("run", "bucket").parquet(f"{self.path}/{name}")
+
+    def record(self, run: str, replaces: list[str] | None = None) -> None:
+        old = replaces or []
+        names = F.array(*map(F.lit, old)).cast("array<string>").alias("replaces")
+        seq = len(self.records)
+        self._note(
+            "runs", F.lit(run).alias("run"), names, F.lit(self.buckets).alias("buckets"), F.lit(seq).cast("long").alias("seq")
+        )
+        self.records.append({"run": run, "replaces": old, "buckets": self.buckets, "seq": seq})
 
-    def record(self, run: str, replaces: list[str] = []) -> None:  # noqa: B006
-        _, buckets = self.runs()
-        row = [(run, list(replaces), buckets, self._read("runs", RUNS).count())]
-        self.spark.createDataFrame(row, RUNS).coalesce(1).write.mode("append").parquet(f"{self.path}/runs")
+    def _note(self, name: str, *columns: Column) -> None:
+        self.spark.range(0, 1, 1, 1).select(*columns).write.mode("append").parquet(f"{self.path}/{name}")
 
     def compact(self, most: int = COMPACT_RUNS) -> None:
         """One run in place of all, once there are more than `most`."""
-        active, _ = self.runs()
-        if len(active) > most:
-            self.record(self.begin(self.ids_of(active)), active)
+        if len(self.runs()) > most:
+            self.record(self.begin(self.ids_of(self.runs())), self.runs())
 
     def rebuild(self, table: DataFrame) -> None:
         """The ids of `table` in place of all that is held or was begun."""
-        gone = [*self.runs()[0], *self.pending()]
+        gone = [*self.runs(), *self.pending()]
         self.record(self.begin(table.where(F.col("event_id").isNotNull()).select("event_id").distinct()), gone)

@@ -58,7 +58,7 @@ def _append_indexed(df: DataFrame, path: str, index: IdIndex) -> None:
     lake = stored_or_none(lambda: read_event_lake(df.sparkSession, path).select("event_id"))
     if lake is not None:
         begun = index.pending()
-        if not index.runs()[0]:
+        if not index.runs():
             index.rebuild(lake)
         elif begun:
             index.record(index.begin(index.ids_of(begun).join(lake, "event_id", "left_semi")), begun)

@@ -42,7 +42,16 @@ def brute_force(rows, minutes):
     return out
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10**9])
+def test_trailing_window_is_one_shuffle_without_hot_buckets(spark):
+    rows = [(i, BASE + timedelta(minutes=i), "k", True) for i in range(50)]
+    df = spark.createDataFrame(rows, "event_id long, ts timestamp, key string, flag boolean")
+    found = Wn.trailing_window(df, "ts", F.col("flag"), 60, ("key",))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert found.columns == [*df.columns, "rolling_event_count", "rolling_breach_count", "rolling_breach_rate_pct"]
+
+
+@pytest.mark.parametrize("hot_rows", [10, 40, 10**9])
 @pytest.mark.parametrize("by", [(), ("key",)])
 def test_trailing_window_on_skewed_events(spark, by, hot_rows):
     """A third of the rows at one instant of one key, ties, and an event exactly on the old edge."""
