@@ -6,7 +6,7 @@ import zlib
 from array import array
 from collections import defaultdict
 from functools import cache
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ CAPACITY = 2048
 GROUPS = 32  # equal-cardinality groups of large lengths, hence sizes of the configuration problem
 TIGHT = 256  # a configuration is used if its rounded sizes leave at most a TIGHT-th of the capacity free
 SMALL = 8  # lengths up to a SMALL-th of the capacity are small
-CACHED_PIECES = 600_000  # text pieces whose ids a Python worker remembers; it starts anew beyond
+CACHED = 500_000  # words, and pieces of words, whose ids a Python worker remembers; it starts anew beyond
 
 # ---------------------------------------------------------------- tokens
 
@@ -89,12 +89,55 @@ def _store(path: str) -> _Store:
     return _Store(path)
 
 
+class _Words(dict):
+    """Number of every word met so far; `ids` from `starts[k]`, `sizes[k]` long, are word k's."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+        self.starts, self.sizes, self.ids = array("q"), array("q"), array("I")
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+    def learn(self, path: str) -> None:
+        """The ids of the words that got a number since the last time."""
+        flat, sizes = piece_ids(self.new, path)
+        self.starts.frombytes((len(self.ids) + np.cumsum(sizes) - sizes).tobytes())
+        self.sizes.frombytes(sizes.tobytes())
+        self.ids.frombytes(flat.astype(np.uint32).tobytes())
+        self.new = []
+
+
+_WORDS: dict[str, _Words] = {}
+
+
 def token_ids(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, and the number of ids of each text.
 
-    Equal to encoding each whole text: white space never joins tokens, nor do letters and other ASCII
-    characters, so texts are cut there and each different piece is encoded once. Words with
-    anything else (other scripts, apostrophes, a possible special token) stay whole.
+    Equal to encoding each whole text: white space never joins tokens, so texts are cut there, and a
+    worker looks each different word up once.
+    """
+    known = _WORDS.get(path)
+    if known is None or len(known) > CACHED:
+        known = _WORDS[path] = _Words()
+    words = [t.split() for t in texts]
+    counts = np.fromiter(map(len, words), np.int64, len(words))
+    number = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
+    known.learn(path)
+    sizes = np.array(known.sizes)[number]
+    shift = np.array(known.starts)[number] - (np.cumsum(sizes) - sizes)
+    flat = np.array(known.ids)[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+    owner = np.repeat(np.arange(len(texts)), counts)
+    return flat, np.bincount(owner, sizes, minlength=len(texts)).astype(np.int64)
+
+
+def piece_ids(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """As `token_ids`, by pieces: nor do letters and other ASCII characters join tokens, so texts are
+    cut there too. Words with anything else (other scripts, apostrophes, a possible special token)
+    stay whole.
     """
     store = _store(path)
     buffer, text_starts = joined(texts)
@@ -125,7 +168,7 @@ def token_ids(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     end = edge[1:][kinds[:-1] != _BLANK] if len(edge) else edge
     kind = classes[begin]
     owner = np.searchsorted(text_starts, begin, side="right") - 1
-    if len(store.starts) > CACHED_PIECES:
+    if len(store.starts) > CACHED:
         store.clear()
     raw = lower.tobytes()
     found = [raw[i:j] for i, j in zip(begin.tolist(), end.tolist())]
