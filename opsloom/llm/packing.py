@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections import defaultdict
 from functools import cache
-from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ CAPACITY = 2048
 GROUPS = 32  # equal-cardinality groups of large lengths, hence sizes of the configuration problem
 TIGHT = 256  # a configuration is used if its rounded sizes leave at most a TIGHT-th of the capacity free
 SMALL = 8  # lengths up to a SMALL-th of the capacity are small
-CACHED = 500_000  # words, and pieces of words, whose ids a Python worker remembers; it starts anew beyond
+CACHED = 600_000  # text pieces whose ids a Python worker remembers; it starts anew beyond
 
 # ---------------------------------------------------------------- tokens
 
@@ -50,96 +50,44 @@ def _byte_letters() -> list[str]:
 class _Pieces(dict):
     """Number of every text piece met so far; `ids` from `starts[k]`, `sizes[k]` long, are piece k's."""
 
-    def __init__(self, store: _Store, letters: bool):
-        super().__init__()
-        self.store, self.letters = store, letters
-
-    def __missing__(self, piece: bytes) -> int:
-        number = self[piece] = self.store.add(piece, self.letters)
-        return number
-
-
-class _Store:
-    """Ids of text pieces, remembered by the pieces themselves."""
+    LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.letters = _byte_letters()
-        self.clear()
+        super().__init__()
+        self.tokenizer, self.letters = Tokenizer.from_file(path), _byte_letters()
+        self.forget()
 
-    def clear(self) -> None:
-        self.words, self.others = _Pieces(self, True), _Pieces(self, False)
+    def forget(self) -> None:
+        self.clear()
         self.starts, self.sizes, self.ids = array("q"), array("q"), array("I")
 
-    def add(self, piece: bytes, letters: bool) -> int:
-        if letters:  # already in lower case and composed, one word for the model
+    def __missing__(self, piece: bytes) -> int:
+        if self.LETTERS.fullmatch(piece):  # already in lower case and composed, one word for the model
             new = [t.id for t in self.tokenizer.model.tokenize("".join(map(self.letters.__getitem__, piece)))]
         else:
             new = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
+        number = self[piece] = len(self)
         self.starts.append(len(self.ids))
         self.sizes.append(len(new))
         self.ids.extend(new)
-        return len(self.starts) - 1
-
-
-@cache
-def _store(path: str) -> _Store:
-    return _Store(path)
-
-
-class _Words(dict):
-    """Number of every word met so far; `ids` from `starts[k]`, `sizes[k]` long, are word k's."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
-        self.starts, self.sizes, self.ids = array("q"), array("q"), array("I")
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
         return number
 
-    def learn(self, path: str) -> None:
-        """The ids of the words that got a number since the last time."""
-        flat, sizes = piece_ids(self.new, path)
-        self.starts.frombytes((len(self.ids) + np.cumsum(sizes) - sizes).tobytes())
-        self.sizes.frombytes(sizes.tobytes())
-        self.ids.frombytes(flat.astype(np.uint32).tobytes())
-        self.new = []
-
 
-_WORDS: dict[str, _Words] = {}
+@cache
+def _pieces(path: str) -> _Pieces:
+    return _Pieces(path)
 
 
 def token_ids(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, and the number of ids of each text.
 
-    Equal to encoding each whole text: white space never joins tokens, so texts are cut there, and a
-    worker looks each different word up once.
+    Equal to encoding each whole text: white space never joins tokens, nor do letters and other ASCII
+    characters, so texts are cut there and each different piece is encoded once. Words with
+    anything else (other scripts, apostrophes, a possible special token) stay whole.
     """
-    known = _WORDS.get(path)
-    if known is None or len(known) > CACHED:
-        known = _WORDS[path] = _Words()
-    words = [t.split() for t in texts]
-    counts = np.fromiter(map(len, words), np.int64, len(words))
-    number = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
-    known.learn(path)
-    sizes = np.array(known.sizes)[number]
-    shift = np.array(known.starts)[number] - (np.cumsum(sizes) - sizes)
-    flat = np.array(known.ids)[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
-    owner = np.repeat(np.arange(len(texts)), counts)
-    return flat, np.bincount(owner, sizes, minlength=len(texts)).astype(np.int64)
-
-
-def piece_ids(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
-    """As `token_ids`, by pieces: nor do letters and other ASCII characters join tokens, so texts are
-    cut there too. Words with anything else (other scripts, apostrophes, a possible special token)
-    stay whole.
-    """
-    store = _store(path)
+    store = _pieces(path)
     buffer, text_starts = joined(texts)
     classes = _CLASSES[buffer]
     # Latin-1 letters, two bytes from 0xC3 on, count as letters; the signs among them don't.
@@ -162,23 +110,21 @@ def piece_ids(texts: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
         whole = np.cumsum(flags)[:-1] > 0
         classes[whole] = _REST
         lower[whole] = buffer[whole]
-    edge = np.flatnonzero(np.diff(np.concatenate([[_BLANK], classes, [_BLANK]])))
-    kinds = classes[np.minimum(edge, len(classes) - 1)] if len(classes) else np.zeros(0, np.int8)
-    begin = edge[:-1][kinds[:-1] != _BLANK] if len(edge) else edge
-    end = edge[1:][kinds[:-1] != _BLANK] if len(edge) else edge
-    kind = classes[begin]
-    owner = np.searchsorted(text_starts, begin, side="right") - 1
-    if len(store.starts) > CACHED:
-        store.clear()
-    raw = lower.tobytes()
-    found = [raw[i:j] for i, j in zip(begin.tolist(), end.tolist())]
-    letters = kind == _LETTER
-    number = np.empty(len(found), np.int64)
-    number[letters] = list(map(store.words.__getitem__, compress(found, letters)))
-    number[~letters] = list(map(store.others.__getitem__, compress(found, ~letters)))
+    # A blank between pieces that touch; then the pieces are what stands between blanks.
+    edge = np.flatnonzero(classes[1:] != classes[:-1]) + 1
+    begins = edge[classes[edge] != _BLANK]
+    touching = begins[classes[begins - 1] != _BLANK]
+    if len(classes) and classes[0] != _BLANK:
+        begins = np.concatenate([[0], begins])
+    counts = np.diff(np.append(np.searchsorted(begins, text_starts), len(begins)))
+    if len(store) > CACHED:
+        store.forget()
+    found = np.insert(lower, touching, ord(" ")).tobytes().split()
+    number = np.fromiter(map(store.__getitem__, found), np.int64, len(found))
     sizes = np.array(store.sizes)[number]
     shift = np.array(store.starts)[number] - (np.cumsum(sizes) - sizes)
     flat = np.array(store.ids)[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))]
+    owner = np.repeat(np.arange(len(texts)), counts)
     return flat, np.bincount(owner, sizes, minlength=len(texts)).astype(np.int64)
 
 
