@@ -196,20 +196,23 @@ def running(
 
 
 def positions(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
-    """The rows with their 0-based place in the global order, without one task seeing them all.
+    """The rows with their 0-based place in the global order, without one task seeing them all."""
+    return numbered(df.orderBy(*order), name)
+
+
+def numbered(ordered: DataFrame, name: str = "position") -> DataFrame:
+    """The rows of a sorted table with their 0-based place in the order it comes in.
 
     The range-partitioned sort is staged with each row's partition and place in it; the partition
     sizes, one row per partition, then give the offsets.
     """
-    placed = df.orderBy(*order).withColumns(
-        {"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}
-    )
+    placed = ordered.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()})
     table = staged(placed, "sorted")
     sizes = table.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     place = F.col("_start") + F.col("_row") - F.col("_first")
-    return table.join(F.broadcast(starts), "_part").select(*df.columns, place.alias(name))
+    return table.join(F.broadcast(starts), "_part").select(*ordered.columns, place.alias(name))
 
 
 def exact_percentiles(

@@ -16,6 +16,7 @@ from opsloom.operators import impact as I
 from opsloom.operators import quality as Q
 from opsloom.operators import reports as A
 from opsloom.operators import scale as Sc
+from opsloom.operators import sketches as Sk
 from opsloom.operators import star as J
 from opsloom.operators import triage as Tr
 from opsloom.operators import windows as Wn
@@ -189,6 +190,54 @@ EVENT_REPORTS: dict[str, Query] = {
 }
 
 
+def ordered(name: str) -> Query:
+    """A report with the place of each row in the order the report comes in."""
+    return lambda spark, sf_dir: Sc.numbered(EVENT_REPORTS[name](spark, sf_dir))
+
+
+ORDERED_REPORTS = (
+    "service_reliability",
+    "location_bottlenecks",
+    "hourly_trend",
+    "incident_rate_by_day_service",
+    "latency_exact",
+)
+SKETCHED = {"p50_latency_ms": 0.5, **A.LATENCY_LEVELS}
+RANK_TOLERANCE = 0.02
+
+
+def latency_sketches(spark, sf_dir):
+    """Stored sketches, one day of them written again, merged for a range of days.
+
+    Estimates differ from run to run within the sketch's error, so the rows say whether their true
+    ranks are within the tolerance.
+    """
+    s = B.bind_star(spark, sf_dir)
+    keys = ["customer_tier"]
+    tiers = s.customers.select("customer_id", F.col("tier").alias("customer_tier"), F.lit(True).alias("_c"))
+    facts = J.star(
+        s.events.select("event_id", "customer_id", "timestamp", "duration_ms"), tiers, spread_by=("event_id",)
+    ).where("_c")
+    path = scratch_path(spark, "latency-sketches")
+    daily = Sk.daily_sketches(facts, keys)
+    Sk.write_daily_sketches(daily, path)
+    Sk.write_daily_sketches(daily.where(F.col(Sk.DAY) == "2024-01-16"), path)
+    first, last = "2024-01-15", "2024-01-21"
+    merged = Sk.merged_latency(Sk.read_daily_sketches(spark, path, first, last), keys, SKETCHED)
+    inside = facts.where(F.to_date("timestamp").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    errors = Sk.rank_errors(inside, merged, keys, SKETCHED).withColumnsRenamed({n: f"_{n}" for n in SKETCHED})
+    return merged.join(errors, keys).select(
+        *keys,
+        "total_events",
+        "avg_latency_ms",
+        *[(F.col(f"_{n}") <= RANK_TOLERANCE).alias(n.replace("_latency_ms", "_within")) for n in SKETCHED],
+    )
+
+
+EVENT_REPORTS["latency_sketches"] = latency_sketches
+EVENT_REPORTS |= {f"order_{name}": ordered(name) for name in ORDERED_REPORTS}
+
+
 # --- data quality -------------------------------------------------------------------------------
 
 
