@@ -12,7 +12,11 @@ from opsloom.llm.common import ready, staged, text_or_empty
 from opsloom.llm.components import components
 
 BITS = 64
-SEGMENTS = 4
+SEGMENTS = 2
+SEGMENT_BITS = BITS // SEGMENTS
+DISTANCE = 2
+# Fingerprints a segment value may hold and still be looked up in its table.
+CROWDED = 1024
 
 
 def fingerprint_of(text: bytes, shingle: int) -> int:
@@ -48,32 +52,73 @@ def hex_digits(value: Column) -> Column:
     return F.lpad(F.lower(F.hex(value)), 16, "0")
 
 
-def _ball() -> list[int]:
-    """Masks of the small Hamming balls: no flip, or one flip inside one of the segments."""
-    width = BITS // SEGMENTS
-    masks = [0]
-    for segment in range(SEGMENTS):
-        masks += [1 << (segment * width + bit) for bit in range(width)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+def _segments() -> Column:
+    """The segments of a fingerprint, each with its number, as an array of structs."""
+    whole = (1 << SEGMENT_BITS) - 1
+    parts = [F.shiftrightunsigned(F.col("fp"), i * SEGMENT_BITS).bitwiseAND(F.lit(whole)) for i in range(SEGMENTS)]
+    return F.array(*[F.struct(F.lit(i).alias("segment"), part.alias("value")) for i, part in enumerate(parts)])
 
 
-def links(fingerprints: DataFrame) -> DataFrame:
-    """Links (a, b) that connect exactly the fingerprints (column fp, distinct) within two bits.
+def _table(fingerprints: DataFrame) -> DataFrame:
+    """The segment tables: each fingerprint under the value of each of its segments."""
+    return fingerprints.select("fp", F.inline(_segments()))
 
-    Each fingerprint enters the table under its own value and under every value one flip away, flips
-    being enumerated segment by segment. Two fingerprints within two bits meet under a common entry,
-    whichever segments their differences fall into, and an entry never holds more than 65 of them.
-    So the table is linear in the input and no entry can be hot. Within an entry all are linked to
-    its least member, and each link's whole distance is verified.
+
+def _probes(table: DataFrame) -> DataFrame:
+    """The small Hamming ball in each segment: the value itself and, with one bit set, its neighbours.
+
+    Of two values that differ in one bit only the one without the bit probes for the other, so every
+    pair of neighbouring values is met once.
+    """
+    value = F.col("value")
+    ball = [value, *[value.bitwiseOR(F.lit(1 << bit).cast("long")) for bit in range(SEGMENT_BITS)]]
+    flipped = table.select("segment", F.posexplode(F.array(*ball)).alias("flip", "probe"), "fp", "value")
+    return flipped.where((F.col("flip") == 0) | (F.col("probe") != value)).select(
+        "segment", F.col("probe").alias("value"), F.col("fp").alias("b"), (F.col("flip") == 0).alias("itself")
+    )
+
+
+def _close(a: str, b: str) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= DISTANCE
+
+
+def _crowd_links(fingerprints: DataFrame) -> DataFrame:
+    """Links that connect exactly the fingerprints within two bits, whatever segments they share.
+
+    Each is entered under its own value and all values one flip away. Two within two bits meet under
+    a common entry, and an entry holds 65 fingerprints at most, so none can be hot. Within an entry
+    all are linked to its least member, and each link's whole distance is verified.
     """
+    masks = [0, *[1 << bit for bit in range(BITS - 1)], -(1 << (BITS - 1))]
     entries = fingerprints.select(
-        "fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m).cast("long")) for m in _ball()])).alias("entry")
+        "fp", F.explode(F.array(*[F.col("fp").bitwiseXOR(F.lit(m).cast("long")) for m in masks])).alias("entry")
     )
-    least = entries.select(
-        F.col("fp").alias("b"), F.expr("min(fp) OVER (PARTITION BY entry)").alias("a")
+    least = entries.select(F.col("fp").alias("b"), F.expr("min(fp) OVER (PARTITION BY entry)").alias("a"))
+    return least.where((F.col("a") < F.col("b")) & _close("a", "b")).select("a", "b")
+
+
+def links(fingerprints: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """Links (a, b), a < b, that connect exactly the fingerprints (column fp, distinct) within two bits.
+
+    Of two halves at least one differs in one bit or none. So each fingerprint is entered in one
+    table per half, looks up the Hamming ball of radius one around each of its halves, and the whole
+    distance to every match is verified inside the join.
+
+    A half that more than `crowded` fingerprints share would compare them all with each other. Such
+    values leave the tables; the fingerprints in them or one flip from them are linked under their
+    whole values instead, where no entry can hold more than 65.
+    """
+    table = _table(fingerprints)
+    sizes = table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n"))
+    hot = staged(sizes.where(F.col("n") > crowded).select("segment", "value"), "simhash-crowded")
+    key = ["segment", "value"]
+    calm = table.join(hot, key, "left_anti").withColumnRenamed("fp", "a")
+    pairs = calm.join(_probes(table), key).where(
+        (F.col("a") != F.col("b")) & (~F.col("itself") | (F.col("a") < F.col("b"))) & _close("a", "b")
     )
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2
-    return least.where((F.col("a") < F.col("b")) & close).select("a", "b")
+    crowd = _probes(table).join(hot, key, "left_semi").select(F.col("b").alias("fp")).distinct()
+    ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return ordered.unionByName(_crowd_links(crowd))
 
 
 def _rooted(marked: DataFrame, least: Column) -> DataFrame:

@@ -63,17 +63,26 @@ def test_groups_of_near_copies(spark):
     same(spark, rows)
 
 
-def test_links_connect_all_within_two_bits(spark):
+@pytest.mark.parametrize("crowded", [0, 2, 10, 1024])
+def test_links_connect_all_within_two_bits(spark, crowded):
     rng = random.Random(5)
-    values = set()
+    values = {0, (1 << 64) - 1, 1 << 63, 1 << 31, 1 << 32, 3 << 31}
     for _ in range(6):
         x = rng.getrandbits(64)
         for _ in range(60):
             values.add(x)
             x ^= 1 << rng.randrange(64)
+    shared = rng.getrandbits(32)  # one half in common, some of the other halves close to each other
+    others = [rng.getrandbits(32) for _ in range(20)]
+    values |= {shared << 32 | o ^ flip for o in others for flip in (0, 1, 1 << 31, 6)}
+    values |= {(shared ^ 4) << 32 | others[0] ^ flip for flip in (0, 2, 3)}
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     frame = spark.createDataFrame([(v,) for v in signed], "fp long")
-    found = {frozenset(r) for r in simhash.links(frame).collect()}
+    found = {tuple(r) for r in simhash.links(frame, crowded).collect()}
+    near = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    assert found <= near
+    if crowded == 1024:
+        assert found == near
     root = {v: v for v in signed}
 
     def find(x):
@@ -81,13 +90,9 @@ def test_links_connect_all_within_two_bits(spark):
             x = root[x]
         return x
 
-    for a, b in map(tuple, found):
-        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 2
+    for a, b in found:
         root[find(a)] = find(b)
-    for a in signed:
-        for b in signed:
-            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2:
-                assert find(a) == find(b)
+    assert all(find(a) == find(b) for a, b in near)
 
 
 def test_empty_table_and_clashing_columns(spark):
