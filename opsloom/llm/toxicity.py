@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,10 @@ BEGINNINGS = (4, 5, 6)  # bytes
 PENALTY = 2.0  # of squared score changes under a swap
 THRESHOLD = 0.7
 
-# Terms of one group are swapped for each other, in turn.
+# Sentences of one text that the penalty reads; of a text with more, those of least hash.
+MENTIONS = 32
+
+# Terms of one group are swapped for each other, in turn; a term stands in one group only.
 IDENTITY_GROUPS = (
     ("women", "men"),
     ("woman", "man"),
@@ -34,20 +38,44 @@ IDENTITY_GROUPS = (
     ("africans", "europeans", "americans", "mexicans", "arabs"),
     ("immigrants", "natives"),
     ("frauen", "männer"),
+    ("frau", "mann"),
+    ("mädchen", "jungen"),
+    ("schwule", "lesben"),
+    ("christen", "muslime", "juden", "buddhisten", "atheisten"),
+    ("afrikaner", "europäer", "amerikaner", "mexikaner", "araber"),
+    ("einwanderer", "einheimische"),
     ("femmes", "hommes"),
+    ("femme", "homme"),
+    ("filles", "garçons"),
+    ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"),
+    ("africains", "européens", "américains", "mexicains", "arabes"),
+    ("immigrés", "autochtones"),
     ("mujeres", "hombres"),
+    ("mujer", "hombre"),
+    ("chicas", "chicos"),
+    ("cristianos", "musulmanes", "judíos", "budistas", "ateos"),
+    ("africanos", "europeos", "americanos", "mexicanos", "árabes"),
+    ("inmigrantes", "nativos"),
 )
+SENTENCE = re.compile(r"[^.!?\u2026\u3002\uff01\uff1f\n]+")
 
 
 def swaps(groups: tuple[tuple[str, ...], ...] = IDENTITY_GROUPS) -> dict[str, str]:
     return {term: group[(i + 1) % len(group)] for group in groups for i, term in enumerate(group)}
 
 
-def swapped(text: str, turn: dict[str, str], pattern: re.Pattern) -> str | None:
-    """The text with its identity terms exchanged; None if it has none."""
+def term_pattern(turn: dict[str, str]) -> re.Pattern:
+    return re.compile(r"\b(" + "|".join(map(re.escape, turn)) + r")\b", re.IGNORECASE) if turn else re.compile("(?!)")
+
+
+def mentions(text: str, turn: dict[str, str], pattern: re.Pattern, most: int = MENTIONS) -> list[tuple[str, str]]:
+    """The different sentences with an identity term, each with its terms exchanged; `most` at most."""
     if not pattern.search(text):
-        return None
-    return pattern.sub(lambda m: turn[m[0].lower()], text)
+        return []
+    found = {s for s in (m[0].strip() for m in SENTENCE.finditer(text)) if pattern.search(s)}
+    kept = sorted(found, key=lambda s: (zlib.crc32(s.encode()), s))[:most]
+    # Lower-casing may turn a letter into two, which no listed term has; such a match stays.
+    return [(s, pattern.sub(lambda m: turn.get(m[0].lower(), m[0]), s)) for s in kept]
 
 
 def _letters() -> np.ndarray:
@@ -124,16 +152,19 @@ class Model:
         return run(text)
 
 
+def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of all rows, one after another, and the row of each."""
+    index = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
+    return index, np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+
+
 def _logistic(
-    rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[int, np.ndarray]], n: int, penalty: float,
+    rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], n: int, penalty: float,
     turns: int = 400, decay: float = 2e-5,
 ) -> tuple[np.ndarray, float]:
     """Weights by gradient descent on log loss + penalty * mean squared change of score over the pairs."""
-    index = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    twin_index = np.concatenate([*(p[1] for p in pairs), np.zeros(0, np.int64)]).astype(np.int64)
-    twin_owner = np.repeat(np.arange(len(pairs)), [len(p[1]) for p in pairs])
-    original = np.array([p[0] for p in pairs], np.int64)
+    index, owner = _flat(rows)
+    sides = [_flat([pair[i] for pair in pairs]) for i in (0, 1)]
     weights, constant = np.zeros(n + 1), float(np.log((labels.mean() + 1e-6) / (1 - labels.mean() + 1e-6)))
     weights[n] = constant
     first, second = np.zeros(n + 1), np.zeros(n + 1)
@@ -142,13 +173,14 @@ def _logistic(
         s = 1 / (1 + np.exp(-z))
         pull = (s - labels) / len(rows)
         gradient = np.zeros(n + 1)
-        if len(pairs):
-            t = 1 / (1 + np.exp(-(weights[n] + np.bincount(twin_owner, weights[twin_index], minlength=len(pairs)))))
-            change = 2 * penalty * (s[original] - t) / len(pairs)
-            np.add.at(pull, original, change * s[original] * (1 - s[original]))
-            other = -change * t * (1 - t)
-            gradient[:n] += np.bincount(twin_index, other[twin_owner], minlength=n)
-            gradient[n] += other.sum()
+        if pairs:
+            sums = [weights[n] + np.bincount(of, weights[at], minlength=len(pairs)) for at, of in sides]
+            sentence, twin = (1 / (1 + np.exp(-v)) for v in sums)
+            change = 2 * penalty * (sentence - twin) / len(pairs)
+            for (at, of), score, sign in zip(sides, (sentence, twin), (1, -1)):
+                slope = sign * change * score * (1 - score)
+                gradient[:n] += np.bincount(at, slope[of], minlength=n)
+                gradient[n] += slope.sum()
         gradient[:n] += np.bincount(index, pull[owner], minlength=n) + decay * weights[:n]
         gradient[n] += pull.sum()
         first = 0.9 * first + 0.1 * gradient
@@ -209,26 +241,31 @@ def fit(
     """A classifier from labelled rows for which `training` (over labels) holds.
 
     Features are the words and beginnings whose presence tells most about the label in the sample.
-    Every sample row with an identity term is also read with the term swapped for another of its
-    group, and the loss has the squared difference of the two scores: the terms themselves then carry
-    no weight. Without both labels in the sample the score is the share of label 1, or 0.
+    Every sentence of a sample row that has an identity term (MENTIONS a text at most) is also read with
+    the term swapped for another of its group, and the loss has the squared difference of the two
+    scores: the terms themselves then carry no weight, neutral mentions no blame. Without both labels
+    in the sample the score is the share of label 1, or 0.
     """
     rows = labelled_texts(docs, labels, label_col, training, sample)
     turn = swaps(groups)
-    pattern = re.compile(r"\b(" + "|".join(map(re.escape, turn)) + r")\b", re.IGNORECASE) if turn else re.compile("(?!)")
+    pattern = term_pattern(turn)
 
     def lists(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column("text").to_pylist()
-        twins = [swapped(t, turn, pattern) for t in texts]
-        own = _feature_lists([t.encode() for t in texts])
-        other = iter(_feature_lists([t.encode() for t in twins if t is not None]))
+        pairs = [mentions(t, turn, pattern) for t in texts]
         kind = pa.list_(pa.int64())
+
+        def sides(i: int) -> pa.Array:
+            flat = iter(_feature_lists([pair[i].encode() for found in pairs for pair in found]))
+            return pa.array([[next(flat) for _ in found] for found in pairs], pa.list_(kind))
+
+        own = pa.array(_feature_lists([t.encode() for t in texts]), kind)
         return pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(own, kind), pa.array([None if t is None else next(other) for t in twins], kind)],
-            ["label", "own", "twin"],
+            [batch.column("label"), own, sides(0), sides(1)], ["label", "own", "sentences", "twins"]
         )
 
-    read = staged(mapped(rows, lists, "label int, own array<long>, twin array<long>"), "toxicity-sample")
+    nested = "label int, own array<{0}>, sentences array<array<{0}>>, twins array<array<{0}>>"
+    read = staged(mapped(rows, lists, nested.format("long")), "toxicity-sample")
     n, ones = read.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not n or not 0 < ones < n:
         share = (ones or 0) / n if n else 0.0
@@ -253,22 +290,26 @@ def fit(
 
     def known(batch: pa.RecordBatch) -> pa.RecordBatch:
         def pick(values):
-            if values is None:
-                return None
             hashes = np.array(values, np.int64).view(np.uint64)
             at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
             return at[keys[at] == hashes].astype(np.int32)
 
         kind = pa.list_(pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [batch.column("label"), *[pa.array([pick(v) for v in batch.column(c).to_pylist()], kind) for c in ("own", "twin")]],
-            ["label", "own", "twin"],
-        )
-
-    small = mapped(read, known, "label int, own array<int>, twin array<int>").toPandas()
+        own = pa.array([pick(v) for v in batch.column("own").to_pylist()], kind)
+        sides = [
+            pa.array([[pick(v) for v in found] for found in batch.column(c).to_pylist()], pa.list_(kind))
+            for c in ("sentences", "twins")
+        ]
+        return pa.RecordBatch.from_arrays([batch.column("label"), own, *sides], ["label", "own", "sentences", "twins"])
+
+    small = mapped(read, known, nested.format("int")).toPandas()
     small = small.sort_values("label", kind="stable", ignore_index=True)
     own = [np.asarray(v, np.int64) for v in small["own"]]
-    pairs = [(i, np.asarray(v, np.int64)) for i, v in enumerate(small["twin"]) if v is not None]
+    pairs = [
+        (np.asarray(a, np.int64), np.asarray(b, np.int64))
+        for sentences, twins in zip(small["sentences"], small["twins"])
+        for a, b in zip(sentences, twins)
+    ]
     weights, constant = _logistic(own, small["label"].to_numpy(float), pairs, len(keys), penalty)
     return Model(keys, weights, constant)
 

@@ -45,13 +45,48 @@ def test_identity_terms_lose_their_weight(spark):
     assert gap(20.0) < 0.3 * gap(0.0) + 1e-3
 
 
-def test_swap():
-    import re
-
+def test_swap_in_sentences():
     turn = toxicity.swaps((("women", "men"),))
-    pattern = re.compile(r"\b(women|men)\b", re.IGNORECASE)
-    assert toxicity.swapped("Women and men, omens", turn, pattern) == "men and women, omens"
-    assert toxicity.swapped("omens", turn, pattern) is None
+    pattern = toxicity.term_pattern(turn)
+    found = toxicity.mentions("Omens. Women and men, omens! None here?\nThe men", turn, pattern)
+    assert sorted(found) == [("The men", "The women"), ("Women and men, omens", "men and women, omens")]
+    assert toxicity.mentions("omens", turn, pattern) == []
+    assert len(toxicity.mentions(". ".join(f"men {i}" for i in range(200)), turn, pattern)) == toxicity.MENTIONS
+    assert toxicity.mentions("men", {}, toxicity.term_pattern({})) == []
+
+
+def test_terms_stand_in_one_group():
+    terms = [t for group in toxicity.IDENTITY_GROUPS for t in group]
+    assert len(terms) == len(set(terms)) == len(toxicity.swaps())
+
+
+@pytest.mark.parametrize("one, other", [("women", "men"), ("juden", "christen"), ("musulmans", "chrétiens"), ("mujeres", "hombres")])
+def test_neutral_mentions_are_not_blamed(spark, one, other):
+    """Labelled prose in which a group is named in many insulting texts: clean held-out texts that name it pass."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    words = [f"word{i}" for i in range(300)]
+
+    def text(term, insult):
+        said = lambda n: " ".join(rng.choice(words, n))
+        middle = f" {said(2)} {insult} {said(2)}." if insult else ""
+        return f"{said(6)}.{middle} {said(3)} {term} {said(3)}."
+
+    insults = ["".join(rng.choice(list("abcdefghij"), 7)) for _ in range(15)]
+    texts = [text(one, rng.choice(insults)) for _ in range(200)] + [text(other, None) for _ in range(200)]
+    texts += [text("word1", rng.choice(insults)) for _ in range(40)] + [text("word1", None) for _ in range(40)]
+    docs, labels = labelled(spark, texts, [1] * 200 + [0] * 200 + [1] * 40 + [0] * 40)
+    neutral = [text(one, None).encode() for _ in range(200)]
+    toxic = [text(other, rng.choice(insults)).encode() for _ in range(200)]
+
+    def rates(penalty):
+        model = toxicity.fit(docs, labels, F.lit(True), penalty=penalty)
+        return [(model.scores(t) >= 0.5).mean() for t in (neutral, toxic)]
+
+    (blamed, _), (cleared, found) = rates(0.0), rates(20.0)
+    print(one, blamed, cleared, found)
+    assert blamed > 0.5 and cleared < 0.05 and found > 0.9
 
 
 @pytest.mark.parametrize("module", [quality, toxicity])
