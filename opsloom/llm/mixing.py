@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsloom.llm.common import mapped, ready, slices, staged, text_or_empty
@@ -107,18 +107,49 @@ def _open() -> Column:
     return (F.col("prob") > 0) & (F.col("prob") < 1)
 
 
+def copy_numbers(rows: DataFrame) -> DataFrame:
+    """`rows` with `copy`: the place of a row among those of its key, for keys with over GROUP rows; else 0.
+
+    Rows are numbered inside the part of the input that their row number names, parts by running
+    totals, so a task never gets more than such a part, however often a row is repeated.
+    """
+    many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > GROUP).select("key")
+    many = staged(many, "repeated-keys")
+    first = F.lit(0).cast("long")
+    if many.isEmpty():
+        return rows.withColumn("copy", first)
+    part = F.shiftright("row", 33).alias("_part")
+    repeated = staged(rows.join(many, "key", "left_semi").select("key", "row", part), "repeated-rows")
+    sizes = repeated.groupBy("key", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("key", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("key", "_part").orderBy("row")
+    numbered = (
+        repeated.withColumn("_place", F.row_number().over(inside) - 1)
+        .join(starts, ["key", "_part"])
+        .select("row", (F.col("_start") + F.col("_place")).alias("copy"))
+    )
+    return rows.join(numbered, "row", "left").withColumn("copy", F.coalesce("copy", first))
+
+
 def rounded(rows: DataFrame, seed: int) -> DataFrame:
     """`rows` (columns ROW) with every prob rounded to 0 or 1, the sum per source kept within one.
 
     Documents of a source are chained in groups of like size, a few thousand each, so the words that
-    the transfers move between documents nearly cancel. Each group leaves one fraction at most. These
+    the transfers move between documents nearly cancel. Equal rows are dealt out over the groups by
+    their number; as any of them may stand for another, the result does not depend on the numbering.
+    Each group leaves one fraction at most. These
     go up a tree with FAN_IN per node: first over the parts of a size band, then over bands, until
     one fraction per source is left, which is drawn.
     """
     counts = rows.groupBy("source_row", "band").agg(F.count(F.lit(1)).alias("_n"))
     parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / GROUP)).cast("long")
-    split = rows.drop("sub").join(counts, ["source_row", "band"]).withColumn("sub", F.pmod("key", parts)).select(
-        *[c.split()[0] for c in ROW.split(", ")]
+    turn = F.floor(F.col("copy") / GROUP)
+    split = (
+        copy_numbers(rows.drop("sub"))
+        .join(counts, ["source_row", "band"])
+        .withColumn("sub", F.pmod(F.pmod("key", parts) + turn, parts))
+        .select(*[c.split()[0] for c in ROW.split(", ")])
     )
     keys = ["source_row", "band", "sub"]
     # Dealt out by the parts as well: the join's deal by source and band would satisfy the grouping.

@@ -78,6 +78,41 @@ def test_parts_of_a_band(spark, monkeypatch):
     check(spark, [(i, "w " * (i % 50 + 10), f"s{i % 4}") for i in range(1200)], 0.01)
 
 
+def test_equal_rows_are_dealt_over_the_parts(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(mixing, "GROUP", 8)
+    monkeypatch.setattr(mixing, "FAN_IN", 2)
+    rows = [(i, "w " * (i % 50 + 10), f"s{i % 3}") for i in range(200)] + [(7, "w " * 17, "s1")] * 400
+    check(spark, rows, 0.01)
+    keys = spark.range(0, 300, 1, 5).select(
+        F.monotonically_increasing_id().alias("row"), F.when(F.col("id") < 260, 1).otherwise(F.col("id")).alias("key")
+    )
+    out = mixing.copy_numbers(keys).collect()
+    assert sorted(r.copy for r in out if r.key == 1) == list(range(260))
+    assert len(out) == 300 and all(r.copy == 0 for r in out if r.key != 1)
+    seen = []
+    inner = mixing._chained
+
+    def spied(seed, level):
+        run = inner(seed, level)
+
+        def sized(key: tuple, rows):
+            return run(key, rows.assign(size=len(rows)))
+
+        seen.append(level)
+        return sized
+
+    monkeypatch.setattr(mixing, "_chained", spied)
+    many = spark.range(0, 400, 1, 5).select(
+        F.monotonically_increasing_id().alias("row"), F.lit(1).cast("long").alias("key"), F.lit(17).cast("long").alias("size"),
+        F.lit(0).cast("long").alias("source_row"), F.lit(16).alias("band"), F.lit(0).cast("long").alias("sub"), F.lit(0.3).alias("prob"),
+    )
+    out = mixing.rounded(many, 1).collect()
+    assert seen[0] == 0 and max(r.size for r in out) <= 2 * mixing.GROUP
+    assert len(out) == 400 and sum(r.prob for r in out) in (119, 120, 121)
+
+
 def test_nothing_to_take(spark):
     check(spark, [(1, None, "a"), (2, " ", None)], 0)
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
