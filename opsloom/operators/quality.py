@@ -12,7 +12,7 @@ from opsloom import schemas as S
 from opsloom.functions.barrier import computed_once, present
 from opsloom.functions.calendar import parse_iso
 from opsloom.functions.rounding import round_binary, stable_hash
-from opsloom.operators.scale import all_of, any_of, join_back, lookup, running
+from opsloom.operators.scale import all_of, any_of, join_back, lookup, lookup_uncounted, running
 
 Clock = str | datetime | Column
 
@@ -96,7 +96,7 @@ def mark_orphans(
 ) -> DataFrame:
     """Flag rows whose present key is not in the dimension; no dimension, or an empty one, flags none.
 
-    `spread_by` None keeps to a plain join, the form a stream-static join needs.
+    `spread_by` None keeps to one join without counting the rows, the form a stream-static join needs.
     """
     if dim is None:
         return df.withColumn(flag, F.lit(False))
@@ -104,7 +104,7 @@ def mark_orphans(
     filled = known.limit(1).agg((F.count(F.lit(1)) > 0).alias("filled")).scalar()
     marked = known.withColumn("_known", F.lit(True))
     if spread_by is None:
-        joined = df.join(marked, key, "left").select(*df.columns, "_known")
+        joined = lookup_uncounted(df, marked, key)
     else:
         joined = lookup(df, marked, key, spread_by, counted_on)
     return joined.withColumn(flag, filled & ~missing(key) & F.col("_known").isNull()).drop("_known")

@@ -117,6 +117,21 @@ def lookup(
     return join_back(rows, counts.join(side, key, "left"), [key], "_n", spread_by).drop("_n")
 
 
+def lookup_uncounted(rows: DataFrame, side: DataFrame, key: str, salts: int = 16) -> DataFrame:
+    """Left-join a dimension that is unique on `key` where the rows cannot be counted first, as on a stream.
+
+    A side that Catalyst sizes below the session's broadcast limit is left to Catalyst. A larger one
+    is repeated under every salt and each row meets it under one, taken from the row's own columns,
+    so the rows of a hot key, or those without one, spread over that many tasks.
+    """
+    extra = [c for c in side.columns if c != key]
+    if estimated_bytes(side) > broadcast_limit(side):
+        side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    on = [key, *[c for c in ("_salt",) if c in side.columns]]
+    return rows.join(side, on, "left").select(*[c for c in rows.columns if c != "_salt"], *extra)
+
+
 def running(
     steps: DataFrame,
     keys: Sequence[str],

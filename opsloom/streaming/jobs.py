@@ -1,7 +1,8 @@
 """Streaming forms: validation, dedup, sliding and trailing windows, cases and the lake.
 
 The ids that were seen are keyed state of the stream's query. Every batch writes below its own
-`batch_id` partition that a replay overwrites, so a restart changes nothing.
+`batch_id` partition that a replay overwrites, so a restart changes nothing; the sliding windows' store
+keeps the last states alone and says how it gets there.
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ from opsloom.operators import quality as Q
 from opsloom.operators.windows import breach_rate, trailing_window
 from opsloom.plans.cases import score_cases
 from opsloom.session import staged
-from opsloom.sources.lake import conform_events
+from opsloom.sources.lake import conform_events, stored_or_none
 
 BATCH = "batch_id"
+DAY_TEXT = T.StructField("day", T.StringType())
+SLOT = T.StructField("slot", T.IntegerType())
 
 
 def stream_validate(
@@ -176,23 +179,56 @@ def dedup_handler(path: str, seq: str = "seq") -> Callable[[DataFrame, int], Non
 
 
 def sliding_handler(path: str) -> Callable[[DataFrame, int], None]:
-    """Keeps what each batch says about the windows it touched, for `current_windows`.
+    """Keeps the last state of every window, for `current_windows`.
 
     Run `stream_sliding` with it in update mode: open windows are then known before the watermark
     passes them, so the last hours of the input are not missing.
+
+    A batch rewrites the days whose windows it touched and reads only those. Each day has two places,
+    `slot` 0 and 1: the new states go to the one that does not hold the day's last, so a batch that
+    fails half-way, or runs again, loses nothing, and the store holds a window twice at most.
     """
-    return lambda batch, batch_id: write_batch(batch, batch_id, path)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark, names = batch.sparkSession, batch.columns
+        fresh = staged(batch.withColumn("day", date_text(F.col("window_start"))), "windows")
+        # Days a batch has rows of: dates, not rows.
+        days = [r.day for r in fresh.select("day").distinct().collect()]
+        if not days:
+            return
+        fields = [*batch.schema.fields, T.StructField(BATCH, T.LongType()), DAY_TEXT, SLOT]
+        stored = stored_or_none(lambda: spark.read.schema(T.StructType(fields)).parquet(path))
+        if stored is None:
+            stored = spark.createDataFrame([], T.StructType(fields))
+        # What an earlier run of this batch left is not read.
+        before = _last_of_days(stored.where(F.col("day").isin(days) & (F.col(BATCH) < batch_id)))
+        places = before.groupBy("day").agg((F.lit(1) - F.max("slot")).alias("slot"))
+        kept = before.join(fresh, ["window_start", "window_end"], "left_anti").select(*names, "day")
+        states = fresh.unionByName(kept).join(places, "day", "left")
+        merged = staged(states.withColumn("slot", F.coalesce("slot", F.lit(0))), "windows")
+        (
+            merged.withColumn(BATCH, F.lit(batch_id).cast("long"))
+            .hint("rebalance", "day", "slot")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "slot")
+            .parquet(path)
+        )
+
+    return handle
+
+
+def _last_of_days(stored: DataFrame) -> DataFrame:
+    """Of each day the windows that the latest batch wrote."""
+    last = stored.groupBy("day").agg(F.max(BATCH).alias(BATCH))
+    return stored.join(last, ["day", BATCH], "left_semi")
 
 
 def current_windows(spark: SparkSession, path: str) -> DataFrame:
-    """The last state of every window. Rows here are windows times the batches that touched them."""
-    said = spark.read.parquet(path)
-    keys = ("window_start", "window_end")
-    values = [c for c in said.columns if c not in (*keys, BATCH)]
-    return said.groupBy(*keys).agg(F.max_by(F.struct(*values), BATCH).alias("_last")).select(*keys, "_last.*")
+    """The last state of every window that `sliding_handler` kept."""
+    return _last_of_days(spark.read.parquet(path)).drop("day", "slot", BATCH)
 
 
-DAY_TEXT = T.StructField("day", T.StringType())
 MARK = "watermark long"
 MICROS = 1_000_000
 

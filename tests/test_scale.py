@@ -1,7 +1,7 @@
 """Skew-safe building blocks against brute force."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -124,3 +124,26 @@ def test_positions(spark):
     want = sorted(rows, key=lambda x: (-x[0], x[1]))
     assert [(r.score, r.id) for r in sorted(got, key=lambda r: r.position)] == want
     assert sorted(r.position for r in got) == list(range(700))
+
+
+def test_lookup_uncounted_spreads_a_hot_key(spark):
+    """Nine tenths of the rows on one key, a dimension above the broadcast limit."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    before = {n: spark.conf.get(n) for n in names}
+    rows = spark.range(2000).select(
+        "id", F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 20 > 0, F.lit(None)).otherwise("lost").alias("key")
+    )
+    side = spark.createDataFrame([("hot", 1), ("other", 2)], "key string, known int")
+    want = [(r.id, r.key, r.known) for r in rows.join(side, "key", "left").orderBy("id").select("id", "key", "known").collect()]
+    try:
+        for name, value in zip(names, ("-1", "false", "32")):
+            spark.conf.set(name, value)
+        out = Sc.lookup_uncounted(rows, side, "key")
+        got = out.withColumn("task", F.spark_partition_id()).collect()
+        assert out.columns == ["id", "key", "known"]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted((r.id, r.key, r.known) for r in got) == want
+    tasks = Counter(r.task for r in got if r.key == "hot")
+    assert len(tasks) >= 8 and max(tasks.values()) < 1800 / 3

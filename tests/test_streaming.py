@@ -184,6 +184,39 @@ def test_sliding_stream_shows_open_windows(spark, scratch):
     assert got[0] == (3, 3) and got[-5] == (3, 3) and got[-10] == (2, 2) and got[400] == (2, 1) and got[345] == (2, 1)
 
 
+def test_window_store_keeps_last_states_only(spark, scratch):
+    """Every batch run twice, then a batch that dies after half its days; the store stays small and right."""
+    base = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    schema = "window_start timestamp, window_end timestamp, rolling_event_count long, rolling_breach_count long, rolling_breach_rate_pct double"
+
+    def states(hours, n):
+        rows = [(base + timedelta(hours=h), base + timedelta(hours=h + 1), n, 0, 0.0) for h in hours]
+        return spark.createDataFrame(rows, schema)
+
+    def now():
+        rows = St.current_windows(spark, out).collect()
+        return {round((r.window_start.timestamp() - base.timestamp()) / 3600): r.rolling_event_count for r in rows}
+
+    out = f"{scratch}/out"
+    handle = replayed(St.sliding_handler(out))
+    want = {}
+    for batch_id in range(12):
+        hours = range(batch_id * 4, batch_id * 4 + 12)
+        handle(states(hours, batch_id + 1), batch_id)
+        want |= dict.fromkeys(hours, batch_id + 1)
+        assert St.current_windows(spark, out).count() == len(want)
+    assert now() == want
+    handle(states([], 0), 12)
+    # Two places a day hold everything, whatever number of batches touched it.
+    assert spark.read.parquet(out).count() <= 2 * len(want)
+    assert spark.read.parquet(out).select("day", "slot").distinct().count() <= 2 * 3
+    # A failed attempt wrote other states under its batch id: the next attempt does not build on them.
+    handle(states([1, 30], 77), 13)
+    handle(states([30], 78), 13)
+    got = now()
+    assert got[30] == 78 and all(got[h] == n for h, n in want.items() if h not in (1, 30))
+
+
 def test_sliding_stream_drops_and_counts_late_rows(spark, scratch):
     base = datetime(2026, 1, 1, 12, tzinfo=timezone.utc)
     def batch(*minutes):
