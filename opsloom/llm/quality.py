@@ -15,6 +15,7 @@ from opsloom.llm.tokens import Words, utf8
 from opsloom.llm.toxicity import labelled_texts
 
 SAMPLE = 8_000  # labelled rows the model is fitted on, about
+BAG = 256  # passages of one such row, evenly spaced over the text, that the fit reads; scores read all
 PASSAGE = 64  # words
 HIDDEN, GATE = 16, 8
 THRESHOLD = 0.7
@@ -169,14 +170,19 @@ def learn(x: np.ndarray, owner: np.ndarray, labels: np.ndarray, turns: int = 500
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, label_col: str = "quality", sample: int = SAMPLE) -> Model | None:
-    """A model from labelled rows for which `training` holds; None without any such row."""
+    """A model from labelled rows for which `training` holds; None without any such row.
+
+    The driver gets `sample` rows of BAG passages at most, however long the texts are.
+    """
     rows = labelled_texts(docs, labels, label_col, training, sample)
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, parts = utf8(batch.column("text")), []
         for i, j in slices(texts):
             x, owner = passages(texts[i:j])
-            parts += [p.ravel().astype(np.float32) for p in np.split(x, np.searchsorted(owner, np.arange(1, j - i)))]
+            for p in np.split(x, np.searchsorted(owner, np.arange(1, j - i))):
+                some = p if len(p) <= BAG else p[np.linspace(0, len(p) - 1, BAG).astype(np.int64)]
+                parts.append(some.ravel().astype(np.float32))
         kind = pa.list_(pa.float32())
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"), pa.array(parts, kind)], ["doc_id", "label", "x"]

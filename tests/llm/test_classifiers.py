@@ -129,6 +129,19 @@ def test_passages_of_all_lengths():
     assert owner.tolist() == [0, 1] and x.shape == (2, quality.WIDTH)
 
 
+def test_the_fit_reads_a_bounded_number_of_passages(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(quality, "BAG", 5)
+    docs = spark.createDataFrame([(i, f"{'good' if i % 2 else 'BAD!'} " * (64 * n)) for i, n in enumerate((1, 3, 5, 6, 400))], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5)], "doc_id long, quality int")
+    seen = []
+    kept = quality.learn
+    monkeypatch.setattr(quality, "learn", lambda *a: seen.append(a) or kept(*a))
+    quality.fit(docs, labels, F.lit(True))
+    assert np.bincount(seen[0][1]).tolist() == [1, 3, 5, 5, 5]
+
+
 def test_attention_finds_the_one_bad_passage():
     rng = np.random.default_rng(0)
     owner = np.repeat(np.arange(200), 6)
