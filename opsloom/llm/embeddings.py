@@ -33,6 +33,8 @@ def _matrix(column) -> np.ndarray:
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
+    # Brought to a largest component of 1 first, so that no square overflows or vanishes.
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
     return vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
 
 

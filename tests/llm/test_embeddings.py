@@ -67,6 +67,15 @@ def test_unusable_vectors(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_very_large_and_very_small_components(spark):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=8)
+    rows = [(i, (near(rng, v, 0.999) * scale).tolist(), 1) for i, scale in enumerate((1.0, 1e200, 1e-200, 1e307, 1e-300))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = embeddings.near_duplicates(vectors).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in out) == [(i, 4, 0) for i in range(5)]
+
+
 def test_query_recall(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
