@@ -67,31 +67,45 @@ def _folded_window(
 
 
 def _framed_window(df: DataFrame, ts: str, flag: Column, minutes: int, by: Sequence[str]) -> DataFrame:
-    """The counts by one range frame over buckets as wide as the window.
+    """The counts by running sums inside buckets as wide as the window.
 
     A row's window lies in its own bucket and the one before, so every row also goes into the next
-    bucket, as a time and a flag only. One shuffle; a task holds the rows of two buckets of a key.
+    bucket, as the time it leaves the window there and a flag only. A count is what the bucket before
+    held, plus what has come, less what has left: frames that only grow, so a bucket takes time in
+    proportion to its rows, where a sliding frame adds up every window anew. One shuffle; a task
+    holds the rows of two buckets of a key.
     """
     width, at = minutes * MINUTE, F.unix_micros(ts)
-    bucket = chunk(at, width)
+    bucket, hit = chunk(at, width), flag.cast("long")
     names = df.columns
 
     def copy(place: Column, own: bool) -> Column:
         payload = [F.col(c) if own else F.lit(None).cast(df.schema[c].dataType) for c in names]
+        moment, sign = (at, 1) if own else (at + F.lit(width + 1), -1)
         return F.struct(
-            place.alias("_bucket"), F.lit(own).alias("_own"), at.alias("_at"), flag.cast("long").alias("_hit"),
+            place.alias("_bucket"), F.lit(own).alias("_own"), moment.alias("_at"),
+            F.lit(sign).cast("long").alias("_row"), (hit * F.lit(sign)).alias("_hit"),
             *[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)], *[p.alias(f"_c{i}") for i, p in enumerate(payload)],
         )
 
     both = df.select(F.inline(F.array(copy(bucket, True), copy(bucket + 1, False))))
-    frame = W.partitionBy(*[f"_k{i}" for i in range(len(by))], "_bucket").orderBy("_at").rangeBetween(-width, 0)
+    ordered = W.partitionBy(*[f"_k{i}" for i in range(len(by))], "_bucket").orderBy("_at")
+    upto = ordered.rangeBetween(W.unboundedPreceding, W.currentRow)
+    whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+
+    def held(name: str) -> Column:
+        """What the rows of the bucket before, all of which leave in this one or at its end, bring in."""
+        return F.coalesce(-F.sum(F.when(~F.col("_own"), F.col(name))).over(whole), F.lit(0))
+
     counted = both.select(
-        "*", F.count(F.lit(1)).over(frame).alias("_n"), F.sum("_hit").over(frame).alias("_hits")
+        "*",
+        (held("_row") + F.sum("_row").over(upto)).alias("_n"),
+        (held("_hit") + F.coalesce(F.sum("_hit").over(upto), F.lit(0))).alias("_hits"),
     ).where("_own")
     return counted.select(
         *[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)],
         F.col("_n").alias("rolling_event_count"),
-        F.coalesce("_hits", F.lit(0).cast("long")).alias("rolling_breach_count"),
+        F.col("_hits").alias("rolling_breach_count"),
     )
 
 
@@ -109,7 +123,7 @@ def trailing_window(
     Events without a time or a `by` key belong to no window and get NULLs. Rows are counted per key
     and bucket of the window's width first. Buckets with more than `hot_rows` rows are few by
     arithmetic; rows that see one go through the running sum, whose groups stay bounded, all others
-    through one range frame. Both give the same counts.
+    through running sums inside their bucket. Both give the same counts.
     """
     width, keys = minutes * MINUTE, [*by, "_bucket"]
     marked = df.withColumn("_bucket", chunk(F.unix_micros(ts), width))

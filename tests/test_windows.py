@@ -1,6 +1,7 @@
 """Trailing windows, velocity and version selection."""
 
 import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -51,6 +52,28 @@ def test_trailing_window_is_one_shuffle_without_hot_buckets(spark):
     assert found.columns == [*df.columns, "rolling_event_count", "rolling_breach_count", "rolling_breach_rate_pct"]
 
 
+def test_trailing_window_adds_no_window_up_anew(spark):
+    """Frames that slide cost rows times window; ones that start at the bucket's first row only grow."""
+    df = spark.range(50).selectExpr("id AS event_id", "timestamp_seconds(id) AS ts", "id % 2 = 0 AS flag")
+    found = Wn.trailing_window(df, "ts", F.col("flag"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    frames = re.findall(r"specifiedwindowframe\((\w+), ([^,]+),", plan)
+    assert frames and {start for _, start in frames} == {"unboundedpreceding$()"}
+
+
+def test_trailing_window_with_absent_flags_and_odd_times(spark):
+    """A missing flag counts as an event without a breach; times before 1970 and on a bucket's edge."""
+    hour = 3_600_000_000
+    rows = [(0, -hour - 1, True), (1, -hour, None), (2, -1, None), (3, 0, True), (4, 0, False), (5, hour, None), (6, hour + 1, True)]
+    df = spark.createDataFrame(rows, "event_id long, at long, flag boolean").withColumn("ts", F.timestamp_micros("at"))
+    got = Wn.trailing_window(df, "ts", F.col("flag")).collect()
+    want = {}
+    for i, t, _ in rows:
+        inside = [f for _, u, f in rows if t - hour <= u <= t]
+        want[i] = (len(inside), sum(bool(f) for f in inside))
+    assert {r.event_id: (r.rolling_event_count, r.rolling_breach_count) for r in got} == want
+
+
 @pytest.mark.parametrize("hot_rows", [10, 40, 10**9])
 @pytest.mark.parametrize("by", [(), ("key",)])
 def test_trailing_window_on_skewed_events(spark, by, hot_rows):
