@@ -96,12 +96,12 @@ def transition_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table, a file or a folder of part files, as a stream."""
     # A pattern names a single file as well as a folder of part files.
-    return _file_stream(spark, f"{sf_dir}/[e]vents.parquet")
+    return _file_stream(spark, f"{sf_dir}/[e]vents.parquet", maxFilesPerTrigger="1")
 
 
-def _file_stream(spark: SparkSession, path: str) -> DataFrame:
+def _file_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     prepare(spark)
-    raw = spark.readStream.schema(B.TABLES["events"]).option("maxFilesPerTrigger", 1).parquet(path)
+    raw = spark.readStream.schema(B.TABLES["events"]).options(**options).parquet(path)
     return B.bind_events(raw)
 
 
@@ -115,11 +115,13 @@ def _delivery_width(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     return (0, 1) if first is None else (first, (last - first) // DELIVERIES + 1)
 
 
-def delivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as a stream of three deliveries, out of order.
+def deliver_events(spark: SparkSession, sf_dir: str, run: Callable[[DataFrame], object]) -> None:
+    """Give all events to `run` as a stream of three deliveries, out of order.
 
     Each holds a third of the time range, but a fifth of the rows, and every row that repeats an id
-    once it is made dirty, come one delivery late.
+    once it is made dirty, come one delivery late. `run` starts the stream's query, always with the
+    same checkpoint, and ends when all that is there is done. A delivery is one batch, of however
+    many files it is: a batch has a fixed cost, which would otherwise grow with the number of files.
     """
     path = scratch_path(spark, "deliveries")
     events, n = B.table(spark, sf_dir, "events"), F.col("event_id")
@@ -129,7 +131,7 @@ def delivered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.least(block + moved.cast("int"), F.lit(DELIVERIES - 1))
     for i in range(DELIVERIES):
         events.where(part == i).write.mode("append").parquet(path)
-    return _file_stream(spark, path)
+        run(_file_stream(spark, path))
 
 
 def _patience(spark: SparkSession, sf_dir: str) -> int:
@@ -839,51 +841,74 @@ LAKE: dict[str, Query] = {
 # --- streams ------------------------------------------------------------------------------------
 
 
-def _sink_to_files(spark: SparkSession, stream: DataFrame) -> DataFrame:
-    """Run an append-mode stream over what is there into Parquet files and read them back."""
+def _deliver_to_files(
+    spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame], schema: str
+) -> DataFrame:
+    """Run an append-mode stream over the deliveries into Parquet files and read them back."""
     out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint")
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+
+    def run(stream: DataFrame) -> None:
+        query = (
+            build(stream).writeStream.format("parquet")
+            .option("path", out)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+
+    deliver_events(spark, sf_dir, run)
+    return spark.read.schema(schema).parquet(out)
+
+
+def _deliver(spark, sf_dir, build, handler, mode="append") -> None:
+    """Run a batch handler over the deliveries, from one checkpoint on to the next."""
+    checkpoint = scratch_path(spark, "checkpoint")
+    deliver_events(spark, sf_dir, lambda stream: St.run_available(build(stream), handler, checkpoint, mode))
 
 
 def stream_validate(spark, sf_dir):
     s = B.bind_star(spark, sf_dir)
-    raw = B.bind_dirty_events(delivered_events(spark, sf_dir))
-    checked = St.stream_validate(raw, s.customers, s.services, s.locations, B.DIRTY_AS_OF)
-    return shown(_sink_to_files(spark, checked.select("seq", "event_id", "rejection_reasons")))
+
+    def build(stream):
+        raw = B.bind_dirty_events(stream)
+        checked = St.stream_validate(raw, s.customers, s.services, s.locations, B.DIRTY_AS_OF)
+        return checked.select("seq", "event_id", "rejection_reasons")
+
+    return shown(_deliver_to_files(spark, sf_dir, build, "seq long, event_id string, rejection_reasons array<string>"))
 
 
 def stream_dedup(spark, sf_dir):
     out = scratch_path(spark, "dedup")
-    raw = B.bind_dirty_events(delivered_events(spark, sf_dir)).select("seq", "event_id")
-    St.run_available(St.with_first_ids(raw), St.dedup_handler(out), scratch_path(spark, "checkpoint"))
+
+    def build(stream):
+        return St.with_first_ids(B.bind_dirty_events(stream).select("seq", "event_id"))
+
+    _deliver(spark, sf_dir, build, St.dedup_handler(out))
     return spark.read.schema("seq long, event_id string, is_duplicate boolean").parquet(out).drop(St.BATCH)
 
 
 def stream_sliding(spark, sf_dir):
     out = scratch_path(spark, "sliding")
     late = f"{_patience(spark, sf_dir)} minutes"
-    windows = St.stream_sliding(delivered_events(spark, sf_dir), "timestamp", is_failure(), late=late)
-    St.run_available(windows, St.sliding_handler(out), scratch_path(spark, "checkpoint"), "update")
+
+    def build(stream):
+        return St.stream_sliding(stream, "timestamp", is_failure(), late=late)
+
+    _deliver(spark, sf_dir, build, St.sliding_handler(out), "update")
     return shown(St.current_windows(spark, out))
 
 
 def _run_trailing(spark, sf_dir, late_minutes):
     out = scratch_path(spark, "trailing")
-    rows = delivered_events(spark, sf_dir).select(
-        "event_id", "customer_id", "timestamp", is_failure().alias("is_breach")
-    )
+
+    def build(stream):
+        return stream.select("event_id", "customer_id", "timestamp", is_failure().alias("is_breach"))
+
     handler = St.trailing_handler(
         out, "timestamp", "is_breach", 60, ("customer_id",), late_minutes=late_minutes
     )
-    St.run_available(rows, handler, scratch_path(spark, "checkpoint"))
+    _deliver(spark, sf_dir, build, handler)
     return out
 
 
@@ -911,8 +936,7 @@ def stream_exceptions(spark, sf_dir):
         exposures=B.bind_exposures(B.table(spark, sf_dir, "orders")),
         team_pattern=TEAM_PATTERN,
     )
-    rows = St.with_first_ids(delivered_events(spark, sf_dir))
-    St.run_available(rows, handler, scratch_path(spark, "checkpoint"))
+    _deliver(spark, sf_dir, St.with_first_ids, handler)
     return shown(spark.read.parquet(out).drop(St.BATCH))
 
 
@@ -922,8 +946,7 @@ def stream_lake(spark, sf_dir):
     handler = St.lake_handler(
         f"{root}/lake", f"{root}/quarantine", f"{root}/metrics", s.customers, s.services, s.locations, B.DIRTY_AS_OF
     )
-    rows = St.with_first_ids(B.bind_dirty_events(delivered_events(spark, sf_dir)))
-    St.run_available(rows, handler, scratch_path(spark, "checkpoint"))
+    _deliver(spark, sf_dir, lambda stream: St.with_first_ids(B.bind_dirty_events(stream)), handler)
     return days(L.read_event_lake(spark, f"{root}/lake"))
 
 

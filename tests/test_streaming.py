@@ -324,3 +324,37 @@ def test_stream_queries_over_several_months(spark, sf, scratch):
     assert sorted(rows.collect()) == sorted(want.collect()) and rows.count() == 1000
     windows = queries["stream_sliding"](spark, scratch)
     assert windows.agg(F.sum("rolling_event_count")).first()[0] == 12 * 1000
+
+
+def test_a_delivery_is_one_batch_of_many_files(spark, sf, scratch, monkeypatch):
+    """Three deliveries are three batches, however many files a larger table makes of each."""
+    from opsloom.plans import registry
+
+    spark.read.parquet(f"{sf}/events.parquet").repartition(6).write.parquet(f"{scratch}/events.parquet")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    batches, handler = [], St.dedup_handler
+
+    def noted(path):
+        handle = handler(path)
+
+        def run(batch, batch_id):
+            batches.append(batch_id)
+            handle(batch, batch_id)
+
+        return run
+
+    monkeypatch.setattr(St, "dedup_handler", noted)
+    try:
+        for name in names:
+            spark.conf.set(name, "4096")
+        rows = registry.queries()["stream_dedup"](spark, scratch)
+        got = {r.seq: r.is_duplicate for r in rows.collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    dirty = B.bind_dirty_events(B.bind_events(B.table(spark, scratch, "events"))).select("seq", "event_id")
+    assert batches == [0, 1, 2]
+    # A repeat comes a delivery later than the id it repeats, so the least ordinal is its first.
+    want = {r.seq: r._duplicate for r in Q.mark_duplicates(dirty, ["event_id"], "seq").collect()}
+    assert got == want and len(got) == 1000
