@@ -32,6 +32,20 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
+# A row with a short key takes about this much of a broadcast hash table.
+HASHED_ROW_BYTES = 100
+
+
+def fits_broadcast(side: DataFrame) -> bool:
+    """Whether a table on one side of a join is small enough to go through the driver.
+
+    Catalyst's estimate rests on compressed files: a packed column of keys grows some fifty times in
+    a hash table. A side it takes for small is therefore counted as well.
+    """
+    limit = broadcast_limit(side)
+    return estimated_bytes(side) <= limit and side.count() * HASHED_ROW_BYTES <= limit
+
+
 def chunk(at: Column, width: int) -> Column:
     """Floor division of an integer column, exact for negative values too."""
     return F.call_function("div", at - F.pmod(at, F.lit(width)), F.lit(width))
@@ -104,29 +118,30 @@ def lookup(
 ) -> DataFrame:
     """Left-join a dimension that is unique on `key`.
 
-    A side that Catalyst sizes below the session's broadcast limit is left to Catalyst, which
-    broadcasts it. A larger one meets the fact's distinct keys first (counted map-side, so a hot key
+    A side below the session's broadcast limit, by Catalyst's size and by its rows, is left to
+    Catalyst, which broadcasts it. A larger one meets the fact's distinct keys first (counted map-side, so a hot key
     is one row), and the matched keys go back to the rows with hot keys split off. `counted_on` is
     an earlier form of `rows` with the same keys, which spares running the steps between again.
     """
-    if estimated_bytes(side) <= broadcast_limit(side):
+    if fits_broadcast(side):
         return rows.join(side, key, "left").select(*rows.columns, *[c for c in side.columns if c != key])
     source = rows if counted_on is None else counted_on
     counts = source.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     # Keys the dimension lacks stay in, so that a hot unknown key is split as well.
-    return join_back(rows, counts.join(side, key, "left"), [key], "_n", spread_by).drop("_n")
+    return join_back(rows, counts.join(side.hint("merge"), key, "left"), [key], "_n", spread_by).drop("_n")
 
 
 def lookup_uncounted(rows: DataFrame, side: DataFrame, key: str, salts: int = 16) -> DataFrame:
     """Left-join a dimension that is unique on `key` where the rows cannot be counted first, as on a stream.
 
-    A side that Catalyst sizes below the session's broadcast limit is left to Catalyst. A larger one
-    is repeated under every salt and each row meets it under one, taken from the row's own columns,
+    A side below the session's broadcast limit, by Catalyst's size and by its rows, is left to
+    Catalyst. A larger one goes through no driver: it is repeated under every salt and each row meets it under one, taken from the row's own columns,
     so the rows of a hot key, or those without one, spread over that many tasks.
     """
     extra = [c for c in side.columns if c != key]
-    if estimated_bytes(side) > broadcast_limit(side):
+    if not fits_broadcast(side):
         side = side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        side = side.hint("merge")
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
     on = [key, *[c for c in ("_salt",) if c in side.columns]]
     return rows.join(side, on, "left").select(*[c for c in rows.columns if c != "_salt"], *extra)

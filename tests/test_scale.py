@@ -147,3 +147,21 @@ def test_lookup_uncounted_spreads_a_hot_key(spark):
     assert sorted((r.id, r.key, r.known) for r in got) == want
     tasks = Counter(r.task for r in got if r.key == "hot")
     assert len(tasks) >= 8 and max(tasks.values()) < 1800 / 3
+
+
+def test_a_side_of_many_rows_in_small_files_is_not_broadcast(spark, scratch):
+    """200,000 keys take few bytes as packed Parquet and far more than the limit in a hash table."""
+    keys = F.col("id").cast("string").alias("key")
+    spark.range(200_000).select(keys, F.lit(True).alias("known")).coalesce(1).write.parquet(f"{scratch}/side")
+    side = spark.read.schema("key string, known boolean").parquet(f"{scratch}/side")
+    rows = spark.range(400).select("id", (F.col("id") * 1000).cast("string").alias("key"))
+    assert Sc.estimated_bytes(side) <= Sc.broadcast_limit(side)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for joined in (Sc.lookup_uncounted(rows, side, "key"), Sc.lookup(rows, side, "key", ["id"])):
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and ("BroadcastHashJoin" not in plan or "_hot_known" in plan)
+            assert joined.where("known").count() == 200 and joined.count() == 400
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
