@@ -273,3 +273,26 @@ def test_a_batch_at_two_clocks_replaces_its_quarantine(spark, scratch):
         held = spark.read.parquet(zones.quarantine)
         counts.append((L.read_event_lake(spark, zones.lake).count(), sorted(r.raw_record.event_id for r in held.collect())))
     assert counts == [(2, ["EVT-7", "EVT-8"]), (3, ["EVT-8"])]
+
+
+def test_ingest_deals_a_single_split_over_the_tasks(spark, sf, scratch, monkeypatch):
+    """One file of one row group is read by one task; the rules must not run in that one alone."""
+    from opsloom.plans import ingest as G
+    from opsloom.sources import binding as B
+
+    dirty = B.bind_dirty_events(B.bind_events(B.table(spark, sf, "events"))).coalesce(1)
+    files, real, name = {}, G.staged, "spark.sql.adaptive.coalescePartitions.enabled"
+
+    def noted(df, kind, *rest):
+        table = real(df, kind, *rest)
+        files[kind] = len(table.inputFiles())
+        return table
+
+    monkeypatch.setattr(G, "staged", noted)
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "false")
+        metrics = G.ingest(dirty, G.Zones.below(f"{scratch}/zones"), B.DIRTY_AS_OF).first()
+    finally:
+        spark.conf.set(name, before)
+    assert files["raw"] > 1 and metrics.rows_processed == dirty.count() == 1000
