@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from opsloom.llm.common import ready, staged, text_or_empty
 from opsloom.llm.components import components
+from opsloom.operators.scale import by_rows, rows_fit
 
 BITS = 64
 SEGMENTS = 2
@@ -107,13 +108,21 @@ def links(fingerprints: DataFrame, crowded: int = CROWDED) -> DataFrame:
     A half that more than `crowded` fingerprints share would compare them all with each other. Such
     values leave the tables; the fingerprints in them or one flip from them are linked under their
     whole values instead, where no entry can hold more than 65.
+
+    Catalyst takes both sides of the join for as large as the stored fingerprints, however many rows
+    each becomes. So their number decides: the tables are broadcast if they fit, else both sides are shuffled.
     """
     table = _table(fingerprints)
     sizes = table.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n"))
     hot = staged(sizes.where(F.col("n") > crowded).select("segment", "value"), "simhash-crowded")
     key = ["segment", "value"]
     calm = table.join(hot, key, "left_anti").withColumnRenamed("fp", "a")
-    pairs = calm.join(_probes(table), key).where(
+    probes = _probes(table)
+    if rows_fit(calm, SEGMENTS * fingerprints.count()):
+        calm = F.broadcast(calm)
+    else:
+        probes = probes.hint("merge")
+    pairs = calm.join(probes, key).where(
         (F.col("a") != F.col("b")) & (~F.col("itself") | (F.col("a") < F.col("b"))) & _close("a", "b")
     )
     crowd = _probes(table).join(hot, key, "left_semi").select(F.col("b").alias("fp")).distinct()
@@ -125,7 +134,7 @@ def _rooted(marked: DataFrame, least: Column) -> DataFrame:
     """Per fingerprint (column fp) of `marked`: root, the fingerprint that stands for its group, and the aggregate `least`."""
     by_fp = staged(marked.groupBy("fp").agg(least.alias("least")), "fingerprints")
     roots = components(links(by_fp.select("fp")))
-    return by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+    return by_fp.join(by_rows(roots.withColumnRenamed("node", "fp")), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least"
     )
 
@@ -150,7 +159,7 @@ def near_duplicates(
     # Roots without any other member need no second look.
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = staged(rooted.join(names, "root").select("fp", "component_id"), "simhash-names")
-    return marked.join(named, "fp").select(
+    return marked.join(by_rows(named), "fp").select(
         F.col("id").alias(id_col), hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
     )
 

@@ -36,14 +36,28 @@ def broadcast_limit(df: DataFrame) -> int:
 HASHED_ROW_BYTES = 100
 
 
+def rows_fit(side: DataFrame, rows: int) -> bool:
+    """Whether a hash table of that many rows stays below the session's broadcast limit."""
+    return rows * HASHED_ROW_BYTES <= broadcast_limit(side)
+
+
 def fits_broadcast(side: DataFrame) -> bool:
     """Whether a table on one side of a join is small enough to go through the driver.
 
     Catalyst's estimate rests on compressed files: a packed column of keys grows some fifty times in
     a hash table. A side it takes for small is therefore counted as well.
     """
-    limit = broadcast_limit(side)
-    return estimated_bytes(side) <= limit and side.count() * HASHED_ROW_BYTES <= limit
+    return estimated_bytes(side) <= broadcast_limit(side) and rows_fit(side, side.count())
+
+
+def by_rows(side: DataFrame) -> DataFrame:
+    """A stored side of a join that is broadcast only if its rows fit, whatever its files compress to.
+
+    One that Catalyst takes for large is left to it: the join then shuffles and goes on by measured sizes.
+    """
+    if estimated_bytes(side) > broadcast_limit(side):
+        return side
+    return F.broadcast(side) if rows_fit(side, side.count()) else side.hint("merge")
 
 
 def chunk(at: Column, width: int) -> Column:

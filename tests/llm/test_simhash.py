@@ -95,6 +95,29 @@ def test_links_connect_all_within_two_bits(spark, crowded):
     assert all(find(a) == find(b) for a, b in near)
 
 
+def test_a_broadcast_is_decided_by_rows_not_by_the_stored_size(spark, scratch):
+    numbers = spark.range(6000).select(F.xxhash64("id").alias("fp"))
+    pairs = numbers.where("pmod(fp, 50) = 0").select(F.col("fp").bitwiseXOR(F.lit(5)).alias("fp"))
+    numbers.unionByName(pairs).coalesce(1).write.parquet(f"{scratch}/prints")
+    prints = spark.read.parquet(f"{scratch}/prints")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def joined(most):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+        try:
+            found = simhash.links(prints)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            return sorted(map(tuple, found.collect())), set(re.findall(r"(\w+Join) \[segment.*?, Inner(?:, (Build\w+))?", plan))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+    # 0.05 MB of file are some 12,000 entries and 210,000 lookups.
+    by_shuffle, shuffled = joined("256k")
+    by_broadcast, tables = joined("10m")
+    assert shuffled == {("SortMergeJoin", "")} and tables == {("BroadcastHashJoin", "BuildLeft")}
+    assert by_shuffle == by_broadcast and len(by_shuffle) == pairs.count() > 50
+
+
 def test_empty_table_and_clashing_columns(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0

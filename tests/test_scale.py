@@ -165,3 +165,25 @@ def test_a_side_of_many_rows_in_small_files_is_not_broadcast(spark, scratch):
             assert joined.where("known").count() == 200 and joined.count() == 400
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_a_stored_side_is_broadcast_by_its_rows(spark, scratch):
+    # Some kilobytes of file: the keys are packed.
+    rows = spark.range(0, 4000, 1, 1).select("id", F.lit(1).alias("v"))
+    rows.write.parquet(f"{scratch}/many")
+    rows.limit(1000).write.parquet(f"{scratch}/few")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = {}
+    try:
+        for most in ("200k", "1k", "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            for name in ("many", "few"):
+                joined = spark.range(5000).join(Sc.by_rows(spark.read.parquet(f"{scratch}/{name}")), "id", "left")
+                plans[most, name] = plan_of(joined)
+                assert joined.agg(F.sum("v")).first()[0] == (4000 if name == "many" else 1000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" not in plans["200k", "many"] and "strategy=merge" in plans["200k", "many"]
+    assert "BroadcastHashJoin" in plans["200k", "few"]
+    # What Catalyst takes for large is left to it.
+    assert not any("strategy=" in plans[most, name] for most in ("1k", "-1") for name in ("many", "few"))
