@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from opsloom.llm.common import mapped, ready, slices, staged, text_or_empty
 from opsloom.llm.tokens import Words, utf8
-from opsloom.operators.scale import positions
+from opsloom.operators.scale import by_rows, positions
 
 WEIGHTS = (1, 2, 3)
 MOST = 3  # a source is taken this many times at most, and so is a document
@@ -225,7 +225,7 @@ def mix(
         "sized",
     )
     sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumnRenamed("source", "_s")
-    joined = sized.join(sources, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    joined = sized.join(by_rows(sources), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     all_rows = staged(
         joined.withColumn("share", share)
@@ -240,7 +240,7 @@ def mix(
     whole = rounded(open_rows.select(*[c.split()[0] for c in ROW.split(", ")]), seed).select("row", F.col("prob").alias("_prob"))
     sure = F.when(F.col("prob") > 0.5, 1.0).otherwise(0.0)
     taken = staged(
-        all_rows.join(whole, "row", "left").withColumn("prob", F.coalesce("_prob", sure)).drop("_prob"), "taken"
+        all_rows.join(by_rows(whole), "row", "left").withColumn("prob", F.coalesce("_prob", sure)).drop("_prob"), "taken"
     )
     taken = staged(_closer(taken), "taken")
     taken = _closer(taken)

@@ -180,5 +180,6 @@ def keep_one(docs: DataFrame, shingle: int = 3) -> DataFrame:
         "simhash-rows",
     )
     order = F.struct(F.col("doc.doc_id").isNull().alias("no_id"), F.col("doc.doc_id").alias("id"), "row")
-    kept = _rooted(marked, F.min(order)).groupBy("root").agg(F.min("least").alias("least")).select("least.row")
-    return marked.join(kept, "row", "left_semi").select("doc.*")
+    rooted = _rooted(marked, F.min(order))
+    kept = staged(rooted.groupBy("root").agg(F.min("least").alias("least")).select("least.row"), "simhash-kept")
+    return marked.join(by_rows(kept), "row", "left_semi").select("doc.*")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from opsloom.llm.common import mapped, ready, release, slices, staged, text_or_empty
 from opsloom.llm.tokens import Words, utf8
+from opsloom.operators.scale import by_rows
 
 # A perfect difference set: every residue modulo PERIOD is a difference of two marks. So for any two
 # places there is a shift below PERIOD that puts both on a mark.
@@ -125,7 +126,7 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
     )
     marked = staged(
         texts.select("row", F.posexplode("hashes").alias("index", "hash"))
-        .join(repeated, "hash", "left_semi")
+        .join(by_rows(repeated), "hash", "left_semi")
         .groupBy("row")
         .agg(F.collect_list("index").alias("anchors"))
         .join(texts.select("row", "k1", "k2"), "row")
@@ -137,7 +138,7 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
     once = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"))
     windows = staged(
         mapped(
-            once.join(marked, ["k1", "k2"]).select("k1", "k2", "text", "anchors"),
+            once.join(by_rows(marked), ["k1", "k2"]).select("k1", "k2", "text", "anchors"),
             _candidates(window),
             "k1 long, k2 long, starts array<int>, h1 array<long>, h2 array<long>",
         )
@@ -149,7 +150,7 @@ def repeated_windows(docs: DataFrame, text_col: str = "text", window: int = WIND
     # A window in a copied text is repeated without the count; it still counts for the others.
     again = staged(each.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"), "repeated-windows")
     found = (
-        each.join(again, ["h1", "h2"], "left_semi")
+        each.join(by_rows(again), ["h1", "h2"], "left_semi")
         .groupBy("row")
         .agg(F.sort_array(F.collect_list("starts")).alias("starts"))
         .join(windows.select("row", "k1", "k2"), "row")
@@ -220,7 +221,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
         text_or_empty(text_col).alias("_text"), *[F.col(f"`{c}`").alias(i) for c, i in zip(names, inner)]
     )
     keyed = plain.withColumns({f"_{k}": c for k, c in _text_key(F.col("_text")).items()})
-    joined = keyed.join(found, ["_k1", "_k2"], "left").withColumn("_whole", F.coalesce("_whole", F.lit(False)))
+    joined = keyed.join(by_rows(found), ["_k1", "_k2"], "left").withColumn("_whole", F.coalesce("_whole", F.lit(False)))
     kinds = [f"{i} {docs.schema[c].dataType.simpleString()}" for c, i in zip(names, inner)]
     schema = ", ".join([*kinds, *[f"{n} {t}" for n, t in OUTPUTS.items()]])
     kept = mapped(joined.select(*inner, "_text", "_starts", "_whole"), _kept(window, inner), schema)

@@ -1,10 +1,11 @@
 """The pipeline's stages, each on what its predecessor kept, against plain checks."""
 
+import random
 import re
 from collections import Counter
 
 import corpus_pipeline
-from opsloom.llm import toxicity
+from opsloom.llm import mixing, simhash, substrings, toxicity
 from opsloom.llm.common import held_out, staged, table
 from test_simhash import brute as groups
 from test_substrings import brute as cut
@@ -44,3 +45,43 @@ def test_stages(spark):
             assert offset == at
             at += length
         assert at <= 2048
+
+
+def test_stored_sides_of_many_rows_are_not_broadcast(spark, monkeypatch):
+    """At a limit of 64 KB, which some 650 rows fill, joins of a few thousand keys in a few KB of files."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passages = [" ".join(word() for _ in range(200)) for _ in range(100)]
+    rows = [(i, f"{passages[i % 100]} {word()} {i}" if i < 200 else " ".join(word() for _ in range(9 + i % 7)),
+             "en", f"s{i % 5}", 0) for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").coalesce(2)
+    plans, limit = {}, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def joins(df):
+        return set(re.findall(r"(\w+Join) .*?(Inner|LeftSemi|LeftOuter)", df._jdf.queryExecution().executedPlan().toString()))
+
+    def watched(df, name, *rest):
+        plans.setdefault(name, joins(df))
+        return staged(df, name, *rest)
+
+    for module in (simhash, substrings, mixing):
+        monkeypatch.setattr(module, "staged", watched)
+
+    def run(most):
+        plans.clear()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+        try:
+            kept = simhash.keep_one(docs)
+            plans["kept"] = joins(kept)
+            return [sorted(map(tuple, df.collect())) for df in (kept, substrings.without_repeats(docs), mixing.mix(docs))]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+    found = run("64k")
+    assert plans["kept"] == {("SortMergeJoin", "LeftSemi")}
+    assert ("SortMergeJoin", "LeftSemi") in plans["marked-texts"]
+    assert ("BroadcastHashJoin", "LeftSemi") not in plans["marked-texts"] | plans["kept"]
+    assert plans["taken"] == {("SortMergeJoin", "LeftOuter")}
+    assert found == run("10m")
+    assert plans["kept"] == {("BroadcastHashJoin", "LeftSemi")} and ("BroadcastHashJoin", "LeftOuter") in plans["taken"]
+    assert len(found[0]) > 1300 and sum(r[0] < 200 and len(r[1].split()) == 2 for r in found[1]) == 200
